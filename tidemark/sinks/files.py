@@ -62,8 +62,9 @@ def write_xml(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header and no row numbers."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV with a header and no row numbers; blanks at either end of a text are kept."""
+    writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def append_documents(df: DataFrame, path: str) -> None:

@@ -19,7 +19,8 @@ def _struct(schema: T.StructType | str) -> T.StructType:
 
 def read_json_arrays(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:
     """Files that each hold one JSON array of objects; one task per file."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    wanted = _struct(schema)
+    return spark.read.schema(wanted).option("multiLine", True).json(path).select(*wanted.names)
 
 
 def read_csv(
@@ -72,9 +73,12 @@ def load_staged(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_bad_line")
         .option("pathGlobFilter", pattern)
-        .option("enforceSchema", True)
+        .option("columnPruning", False)  # every field is parsed, whichever columns are wanted
         .csv(folder)
     )
     good = rows.filter(F.col("_bad_line").isNull()).select(*columns)
-    bad = rows.filter(F.col("_bad_line").isNotNull()).select(F.col("_bad_line").alias("line"))
+    # The reader refuses a scan of the raw line alone, so the line is shown through an expression
+    # that also names a parsed column.
+    parsed = F.length(F.concat_ws("", "_bad_line", columns[0])) >= 0
+    bad = rows.filter(F.col("_bad_line").isNotNull()).select(F.when(parsed, F.col("_bad_line")).alias("line"))
     return good, bad

@@ -14,7 +14,7 @@ from tidemark.operators.merge import absent_from, merge_daily_stats
 from tidemark.operators.policy import apply_row_policy
 from tidemark.plans import flights
 from tidemark.streaming.feeds import consume, has_pending
-from tidemark.tables.versions import ChangeLog, Snapshots, utc_now
+from tidemark.tables.versions import ChangeLog, Snapshots, append_row, utc_now
 
 SILVER_JOB = "PROCESS_FLIGHTS_SILVER"
 GOLD_JOB = "PROCESS_DAILY_STATS_GOLD"
@@ -93,7 +93,7 @@ class FlightsChain:
         """Add the statistics of newly inserted silver rows to gold; restored rows do not count."""
 
         def merge(batch: DataFrame, name: str) -> int:
-            if self.gold.commits.has_batch(name):
+            if self.gold.commits.state(batch=name).batch_seen:
                 return 0
             stats = flights.daily_stats(batch.filter(F.col("_action") == "INSERT")).persist()
             try:
@@ -131,7 +131,4 @@ class FlightsChain:
 
     def _log(self, job: str, rows: int, status: str) -> None:
         number = (self.audit().agg(F.max("log_id").alias("n")).first()["n"] or 0) + 1
-        entry = [(number, job, rows, status, self.clock())]
-        self.spark.createDataFrame(entry, flights.AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(
-            f"{self.home}/audit"
-        )
+        append_row(self.spark, f"{self.home}/audit", flights.AUDIT_SCHEMA, number, job, rows, status, self.clock())

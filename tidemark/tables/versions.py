@@ -11,6 +11,7 @@ A ``Snapshots`` table keeps one whole small table per version.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,15 @@ def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
+def append_row(spark: SparkSession, path: str, schema: str, *values) -> None:
+    """Append one row to a small parquet table."""
+    fields = T.StructType.fromDDL(schema).fields
+    row = spark.range(1, numPartitions=1).select(
+        *[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, values, strict=True)]
+    )
+    row.write.mode("append").parquet(path)
+
+
 class Commits:
     """The commit rows of one table: few and small, read by the driver."""
 
@@ -39,24 +49,36 @@ class Commits:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
 
     def add(self, version: int, kind: str, rows: int, batch: str | None, at: dt.datetime | None) -> None:
-        row = [(version, at or utc_now(), kind, rows, batch)]
-        self.spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        append_row(self.spark, self.path, COMMIT_SCHEMA, version, at or utc_now(), kind, rows, batch)
 
-    def last(self, as_of: dt.datetime | None = None) -> int:
+    def state(self, as_of: dt.datetime | None = None, batch: str | None = None) -> "State":
+        """What the commits up to a moment add up to, from one small aggregate."""
         rows = self.frame()
         if as_of is not None:
             rows = rows.filter(F.col("committed_at") <= F.lit(as_of))
-        return rows.agg(F.max("version").alias("v")).first()["v"] or 0
 
-    def has_batch(self, batch: str) -> bool:
-        return not self.frame().filter(F.col("batch") == batch).isEmpty()
+        def newest(*kinds: str) -> Column:
+            return F.coalesce(F.max(F.when(F.col("kind").isin(*kinds), F.col("version"))), F.lit(0))
+
+        found = rows.agg(
+            F.coalesce(F.max("version"), F.lit(0)).alias("last"),
+            (newest("DROP") > newest("UNDROP")).alias("dropped"),
+            newest("DELETE").alias("last_delete"),
+            newest("WRITE").alias("last_write"),
+            F.coalesce(F.bool_or(F.col("batch") == F.lit(batch)), F.lit(False)).alias("batch_seen"),
+        ).first()
+        return State(**found.asDict())
 
-    def dropped(self) -> bool:
-        last = (
-            self.frame().filter(F.col("kind").isin("DROP", "UNDROP"))
-            .agg(F.max_by("kind", F.struct("version", "committed_at")).alias("kind")).first()["kind"]
-        )
-        return last == "DROP"
+
+@dataclass(frozen=True)
+class State:
+    """The newest version and the newest version of each kind, 0 where there is none."""
+
+    last: int
+    dropped: bool
+    last_delete: int
+    last_write: int
+    batch_seen: bool
 
 
 class _Versioned:
@@ -68,17 +90,19 @@ class _Versioned:
     def _folder(self, version: int) -> str:
         return f"{self.path}/data/version={version}"
 
-    def _require_live(self) -> None:
-        if self.commits.dropped():
+    def _live(self, as_of: dt.datetime | None = None) -> State:
+        """The state now, or at a past moment; a dropped table has none now."""
+        state = self.commits.state(as_of)
+        if state.dropped and as_of is None:
             raise LookupError(f"table {self.path} is dropped")
+        return state
 
     def drop(self, at: dt.datetime | None = None) -> None:
         """Hide the table; its versions stay."""
-        self._require_live()
-        self.commits.add(self.commits.last() + 1, "DROP", 0, None, at)
+        self.commits.add(self._live().last + 1, "DROP", 0, None, at)
 
     def undrop(self, at: dt.datetime | None = None) -> None:
-        self.commits.add(self.commits.last() + 1, "UNDROP", 0, None, at)
+        self.commits.add(self.commits.state().last + 1, "UNDROP", 0, None, at)
 
 
 class ChangeLog(_Versioned):
@@ -101,9 +125,10 @@ class ChangeLog(_Versioned):
         self, df: DataFrame, action: str = "INSERT", batch: str | None = None, at: dt.datetime | None = None
     ) -> int:
         """Commit ``df`` as the next version and return its row count; a batch seen before adds nothing."""
-        if batch is not None and self.commits.has_batch(batch):
+        state = self.commits.state(batch=batch)
+        if state.batch_seen:
             return 0
-        version = self.commits.last() + 1
+        version = state.last + 1
         rows = df.select(*self.schema.names).withColumn("_action", F.lit(action))
         rows.write.mode("overwrite").parquet(self._folder(version))
         n = self.spark.read.schema(self.log_schema).parquet(self._folder(version)).count()
@@ -112,7 +137,7 @@ class ChangeLog(_Versioned):
 
     def log(self, upto: int | None = None) -> DataFrame:
         """All committed changes, with their ``version``."""
-        upto = self.commits.last() if upto is None else upto
+        upto = self.commits.state().last if upto is None else upto
         try:
             data = self.spark.read.schema(self.log_schema).parquet(f"{self.path}/data")
         except AnalysisException as error:
@@ -130,15 +155,10 @@ class ChangeLog(_Versioned):
         As long as nothing was deleted this is a plain scan. Otherwise rows
         are matched with the last deletion of their key.
         """
-        if as_of is None:
-            self._require_live()
-        upto = self.commits.last(as_of)
-        log = self.log(upto)
+        state = self._live(as_of)
+        log = self.log(state.last)
         present = log.filter(F.col("_action") != "DELETE")
-        had_deletes = not (
-            self.commits.frame().filter((F.col("kind") == "DELETE") & (F.col("version") <= upto)).isEmpty()
-        )
-        if had_deletes:
+        if state.last_delete:
             gone = (
                 log.filter(F.col("_action") == "DELETE")
                 .groupBy(F.col(self.key).alias("_gone"))
@@ -168,13 +188,8 @@ class Snapshots(_Versioned):
     """A small table rewritten whole with every version."""
 
     def current(self, as_of: dt.datetime | None = None) -> DataFrame:
-        if as_of is None:
-            self._require_live()
-        written = self.commits.frame().filter(F.col("kind") == "WRITE")
-        if as_of is not None:
-            written = written.filter(F.col("committed_at") <= F.lit(as_of))
-        version = written.agg(F.max("version").alias("v")).first()["v"]
-        if version is None:
+        version = self._live(as_of).last_write
+        if not version:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self._folder(version))
 
@@ -182,8 +197,9 @@ class Snapshots(_Versioned):
         self, df: DataFrame, changed: int | None = None, batch: str | None = None, at: dt.datetime | None = None
     ) -> None:
         """Commit ``df`` as the next version. The folder read by ``df`` is never the one written."""
-        if batch is not None and self.commits.has_batch(batch):
+        state = self.commits.state(batch=batch)
+        if state.batch_seen:
             return
-        version = self.commits.last() + 1
+        version = state.last + 1
         df.select(*self.schema.names).write.mode("overwrite").parquet(self._folder(version))
         self.commits.add(version, "WRITE", changed or 0, batch, at)
