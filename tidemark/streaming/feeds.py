@@ -30,29 +30,36 @@ def consume(
     return handled[0]
 
 
-def pending_files(spark: SparkSession, folder: str, checkpoint: str, pattern: str = "*") -> DataFrame:
-    """Files below ``folder`` that the stream with this checkpoint has not taken yet: ``path``."""
+def _files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """Paths of the files below a folder; none if there is no such folder."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     try:
-        present = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", pattern)
-            .load(folder)
-            .select("path")
-        )
+        return listing.load(folder).select("path")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "path string")
-    try:
-        entries = spark.read.text(f"{checkpoint}/sources/0")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return present
-    taken = entries.select(F.get_json_object("value", "$.path").alias("path")).filter("path is not null")
-    bare = F.regexp_replace("path", "^file:/+", "/")
-    return present.select(bare.alias("path")).join(taken.select(bare.alias("path")).distinct(), "path", "left_anti")
+
+
+def _consumed(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Paths taken by batches that were committed; a batch that failed half-way does not count."""
+    number = F.regexp_extract("path", "([0-9]+)$", 1).try_cast("long")
+    last = _files(spark, f"{checkpoint}/commits").agg(F.max(number).alias("n")).first()["n"]
+    if last is None:
+        return spark.createDataFrame([], "path string")
+    offset = F.max(F.get_json_object("value", "$.logOffset").try_cast("long")).alias("n")
+    reached = spark.read.text(f"{checkpoint}/offsets/{last}").agg(offset).first()["n"]
+    entries = spark.read.text(f"{checkpoint}/sources/0")
+    taken = F.get_json_object("value", "$.batchId").try_cast("long") <= reached
+    return entries.filter(taken).select(F.get_json_object("value", "$.path").alias("path"))
+
+
+def pending_files(spark: SparkSession, folder: str, checkpoint: str, pattern: str = "*") -> DataFrame:
+    """Files below ``folder`` that the stream with this checkpoint has not consumed yet: ``path``."""
+    bare = F.regexp_replace("path", "^file:/+", "/").alias("path")
+    return _files(spark, folder, pattern).select(bare).join(
+        _consumed(spark, checkpoint).select(bare).distinct(), "path", "left_anti"
+    )
 
 
 def has_pending(spark: SparkSession, folder: str, checkpoint: str, pattern: str = "*") -> bool:
