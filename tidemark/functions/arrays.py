@@ -63,7 +63,4 @@ def after_zero_max(values: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Distinct lower-case tokens of letters and digits."""
-    return F.filter(
-        F.array_distinct(F.split(F.lower(text), "[^\\p{L}\\p{N}]+")),
-        lambda token: token != "",
-    )
+    return F.array_remove(F.array_distinct(F.split(F.lower(text), "[^\\p{L}\\p{N}]+")), "")

@@ -66,9 +66,17 @@ def percentiles(
 
 
 def describe(
-    df: DataFrame, value: str, keys: list[str], buffered_values: int = BUFFERED_VALUES
+    df: DataFrame,
+    value: str,
+    keys: list[str],
+    buffered_values: int = BUFFERED_VALUES,
+    values_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum per group; NULL keys are left out."""
+    """Count, mean, sample deviation, minimum, quartiles and maximum per group; NULL keys are left out.
+
+    ``values_from`` is a cheaper frame that holds every value of the column,
+    such as a table before its joins, on which to judge how many there are.
+    """
     known = df.select(*keys, value)
     for k in keys:
         known = known.filter(F.col(k).isNotNull())
@@ -80,7 +88,8 @@ def describe(
         F.max(value).alias("max"),
     ]
     quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    if _fits_buffer(known, value, keys, buffered_values):
+    few = values_from is not None and _fits_buffer(values_from, value, [], buffered_values)
+    if few or _fits_buffer(known, value, keys, buffered_values):
         out = known.groupBy(*keys).agg(*moments, *[F.percentile(value, p).alias(n) for n, p in quartiles.items()])
     else:
         spread = percentiles(known, value, quartiles, keys, buffered_values)

@@ -34,10 +34,16 @@ def string_agg(
     tie = tie or []
     rows = df.select(*keys, value, *[c for c in tie if c not in keys and c != value])
     if distinct:
-        rows, tie = rows.select(*keys, value).distinct(), []
-    filled = rows.filter(F.col(value).isNotNull())
+        tie = []
     widest = at_most
-    if widest is None or widest > values_per_row:
+    if widest is None:
+        # No group holds more values than there are in all; a sketch of that number needs no shuffle.
+        found = rows.agg(F.approx_count_distinct(F.struct(value, *tie)).alias("n")).first()["n"]
+        widest = 2 * found
+    if distinct:
+        rows = rows.select(*keys, value).distinct()
+    filled = rows.filter(F.col(value).isNotNull())
+    if widest > values_per_row:
         widest = filled.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
     if (widest or 0) <= values_per_row:
         return rows.groupBy(*keys).agg(
@@ -56,6 +62,11 @@ def string_agg(
     )
 
 
+def rows_per_group(values: int, values_per_row: int = VALUES_PER_ROW) -> int:
+    """Rows that a group of so many values may take up."""
+    return max(1, -(-values // values_per_row))
+
+
 def _sorted_values(value: str, tie: list[str]) -> Column:
     if not tie:
         return F.array_sort(F.collect_list(value))

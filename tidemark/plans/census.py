@@ -49,8 +49,8 @@ def rich_all_hold(df: DataFrame, degrees: list[str] = HIGHER_DEGREES) -> DataFra
     )
 
 
-def age_by_race_and_sex(df: DataFrame) -> DataFrame:
-    return describe(df, "age", ["race", "sex"])
+def age_by_race_and_sex(df: DataFrame, ages_from: DataFrame | None = None) -> DataFrame:
+    return describe(df, "age", ["race", "sex"], values_from=ages_from)
 
 
 def max_age_of(df: DataFrame, race: str = "Asian-Pac-Islander", sex: str = "Male") -> DataFrame:

@@ -14,7 +14,8 @@ def mean_minus(df: DataFrame, val: str, amount) -> DataFrame:
 
 
 def ascending(df: DataFrame, val: str) -> DataFrame:
-    return df.select(val).orderBy(val)
+    """The values in order; equal ones are spread over tasks by where they were read."""
+    return df.select(val).orderBy(val, F.monotonically_increasing_id()).select(val)
 
 
 def median_and_percentile(df: DataFrame, val: str, p: float = 0.04) -> DataFrame:

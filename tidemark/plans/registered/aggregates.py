@@ -8,7 +8,7 @@ from tidemark.functions.predicates import holds_for_all, share
 from tidemark.operators.ranking import largest_group, value_counts
 from tidemark.operators.stats import describe, group_mean, groups_where, percentiles
 from tidemark.operators.text import string_agg
-from tidemark.plans.registered.rental import AMOUNT_SQL, amount
+from tidemark.plans.registered.rental import AMOUNT_SQL, amount, in_units
 from tidemark.registry import query
 
 
@@ -50,7 +50,7 @@ def a05(t):
 SELECT l_suppkey, CAST(sum({AMOUNT_SQL}) AS DOUBLE) AS total FROM lineitem GROUP BY l_suppkey
 """)
 def a06(t):
-    return t.lineitem.groupBy("l_suppkey").agg(F.sum(amount()).cast("double").alias("total"))
+    return t.lineitem.groupBy("l_suppkey").agg(in_units(F.sum(amount())).alias("total"))
 
 
 @query("A07_sum_or_zero", """

@@ -80,7 +80,7 @@ SELECT race, sex, count(age) AS "count", round(avg(age), 6) AS mean, round(stdde
        quantile_cont(age, 0.75) AS p75, max(age) AS max
 FROM people WHERE race IS NOT NULL AND sex IS NOT NULL GROUP BY race, sex ORDER BY race, sex""")
 def q28(t):
-    return c.age_by_race_and_sex(people_with_jobs(t)).withColumns(
+    return c.age_by_race_and_sex(people_with_jobs(t), people(t)).withColumns(
         {"mean": F.round("mean", 6), "std": F.round("std", 6)}
     )
 

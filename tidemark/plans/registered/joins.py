@@ -13,7 +13,7 @@ from tidemark.operators.merge import absent_from, insert_if_absent
 from tidemark.operators.ranking import top_k
 from tidemark.operators.series import distinct_first_seen, same_rows
 from tidemark.operators.text import string_agg
-from tidemark.plans.registered.rental import AMOUNT_SQL, amount, casts
+from tidemark.plans.registered.rental import AMOUNT_SQL, amount, casts, in_units
 from tidemark.registry import query
 
 
@@ -143,7 +143,7 @@ def j02(t):
     return (
         per_part.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("r_name", "p_type")
-        .agg(F.sum("n").alias("n"), F.sum("total").cast("double").alias("total"))
+        .agg(F.sum("n").alias("n"), in_units(F.sum("total")).alias("total"))
     )
 
 
@@ -216,7 +216,7 @@ FROM (SELECT DISTINCT l_suppkey AS s_suppkey, p_type FROM lineitem JOIN part ON
 """)
 def j09(t):
     titles = casts(t).join(t.part.select("p_partkey", "p_type", "p_name"), "p_partkey")
-    return string_agg(titles, ["s_suppkey", "p_type"], "p_name", "names", tie=["p_partkey"])
+    return string_agg(titles, ["s_suppkey", "p_type"], "p_name", "names", tie=["p_partkey"], at_most=t.part.count())
 
 
 @query("J10_row_products", """

@@ -15,7 +15,7 @@ from tidemark.functions.ordering import up
 from tidemark.functions.scalars import first_letter_up
 from tidemark.operators.policy import apply_row_policy
 from tidemark.operators.ranking import highest_levels, reaching_kth, top_k
-from tidemark.operators.text import string_agg
+from tidemark.operators.text import rows_per_group, string_agg
 from tidemark.plans import rental as r
 from tidemark.registry import Tables, query
 from tidemark.session import new_folder
@@ -25,13 +25,29 @@ AMOUNT_SQL = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS D
 
 
 def amount():
-    """Exact amount of a line; money arrives as double in the test tables."""
-    return F.col("l_extendedprice").cast("decimal(12,2)") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+    """Exact amount of a line in ten-thousandths; money arrives as double in the test tables.
+
+    Cents are whole numbers, so no decimal is built per factor; the product is
+    a decimal only for its sum, which would outgrow a long on a hot key.
+    """
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("long")
+    left_per_cent = F.lit(100) - F.rint(F.col("l_discount") * 100).cast("long")
+    return (cents * left_per_cent).cast("decimal(18,0)")
+
+
+def in_units(total):
+    """A sum of ``amount()`` in units of money."""
+    return total.cast("double") / 10_000
 
 
 def casts(t: Tables) -> DataFrame:
-    """Which supplier supplies which part, each pair once."""
-    return t.lineitem.select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("p_partkey")).distinct()
+    """Which supplier supplies which part, each pair once.
+
+    NULL keys join nothing and go here, so that a plan that reads the pairs
+    twice finds the same shuffle both times and runs it once.
+    """
+    pairs = t.lineitem.select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("p_partkey"))
+    return pairs.dropna().distinct()
 
 
 @query("Q06_parts_per_type", """
@@ -90,7 +106,7 @@ GROUP BY p_type
 
 @query("Q09_revenue_by_type", _SALES_SQL + "ORDER BY amount_sum DESC, name LIMIT 3")
 def q09(t):
-    return sales_by_type(t).select("name", F.col("total").cast("double").alias("amount_sum")).orderBy(
+    return sales_by_type(t).select("name", in_units(F.col("total")).alias("amount_sum")).orderBy(
         F.desc("amount_sum"), up("name")
     ).limit(3)
 
@@ -284,9 +300,12 @@ FROM supplier LEFT JOIN titles ON s_suppkey = l_suppkey GROUP BY s_suppkey, s_na
 """)
 def q19(t):
     titles = casts(t).join(t.part.select("p_partkey", "p_type", "p_name"), "p_partkey")
-    per_type = string_agg(titles, ["s_suppkey", "p_type"], "p_name", "titles", tie=["p_partkey"])
+    parts, types = t.part.count(), t.part.select("p_type").distinct().count()
+    per_type = string_agg(titles, ["s_suppkey", "p_type"], "p_name", "titles", tie=["p_partkey"], at_most=parts)
     entries = per_type.select("s_suppkey", F.concat("p_type", F.lit(": "), "titles").alias("entry"))
-    info = string_agg(entries, ["s_suppkey"], "entry", "film_info", distinct=True)
+    info = string_agg(
+        entries, ["s_suppkey"], "entry", "film_info", distinct=True, at_most=types * rows_per_group(parts)
+    )
     return t.supplier.select("s_suppkey", "s_name").join(info, "s_suppkey", "left").select(
         "s_suppkey", "s_name", F.coalesce("list_part", F.lit(1)).alias("list_part"), "film_info"
     )
@@ -296,7 +315,7 @@ def q19(t):
        + "ORDER BY total_sales DESC")
 def q20(t):
     return sales_by_type(t).select(
-        F.col("name").alias("category"), F.col("total").cast("double").alias("total_sales")
+        F.col("name").alias("category"), in_units(F.col("total")).alias("total_sales")
     ).orderBy(F.desc("total_sales"))
 
 
@@ -324,7 +343,7 @@ def q22(t):
         .orderBy("country", "city", "s_suppkey")
         .select(
             F.concat("city", F.lit(","), "country").alias("store"), F.col("s_name").alias("manager"),
-            F.col("total").cast("double").alias("total_sales"),
+            in_units(F.col("total")).alias("total_sales"),
         )
     )
 

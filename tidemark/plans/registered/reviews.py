@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import DROPPED_SYMBOLS
 from tidemark.operators.ranking import most_frequent
 from tidemark.plans import reviews as r
 from tidemark.registry import Tables, query
 
-PATTERN_SQL = DROPPED_SYMBOLS.replace("'", "''")
+# The characters that cleaning drops, as a class that DuckDB's regular expressions take.
+PATTERN_SQL = (
+    r"[^a-zA-Zа-яА-ЯёЁ0-9\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}.,!?;:()\"''-]"
+)
 
 
 def _reviews(t: Tables) -> DataFrame:

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as s
+from tidemark.plans.registered.reviews import PATTERN_SQL
 from tidemark.registry import query
 
 AS_OF = dt.date(2002, 1, 1)
@@ -41,7 +42,7 @@ def f04(t):
 
 
 @query("F05_strip_symbols", f"""
-SELECT conv_id, turn, regexp_replace(coalesce(text, ''), '{s.DROPPED_SYMBOLS.replace("'", "''")}', '', 'g') AS clean
+SELECT conv_id, turn, regexp_replace(coalesce(text, ''), '{PATTERN_SQL}', '', 'g') AS clean
 FROM conversations
 """)
 def f05(t):

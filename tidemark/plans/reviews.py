@@ -10,17 +10,25 @@ from tidemark.functions.predicates import shorter_than
 from tidemark.functions.scalars import day_text, fill_missing, strip_symbols
 
 
+def stripped(df: DataFrame, content: str = "content") -> DataFrame:
+    """Symbols removed from the content, if there is one."""
+    return df.withColumn(content, strip_symbols(F.col(content))) if content in df.columns else df
+
+
 def filled_and_stripped(raw: DataFrame, content: str = "content") -> DataFrame:
     """Missing values filled in every column, symbols removed from the content."""
-    filled = fill_missing(raw)
-    if content in filled.columns:
-        filled = filled.withColumn(content, strip_symbols(F.col(content)))
-    return filled
+    return stripped(fill_missing(raw), content)
 
 
 def clean(raw: DataFrame, at: str = "at", content: str = "content") -> DataFrame:
-    """The clean table in text order of ``at``; filled gaps sort before any digit."""
-    return filled_and_stripped(raw, content).orderBy(at)
+    """The clean table in text order of ``at``; filled gaps sort before any digit.
+
+    Rows of one ``at`` go by the hash of the row, so that a gap shared by many
+    rows is sorted by many tasks. Contents are cleaned after the sort has
+    spread the rows.
+    """
+    filled = fill_missing(raw)
+    return stripped(filled.orderBy(at, F.xxhash64(*[f"`{c}`" for c in filled.columns])), content)
 
 
 def frequent_contents(docs: DataFrame, k: int = 5, content: str = "content") -> DataFrame:
