@@ -21,8 +21,10 @@ def _cells(right: DataFrame, vector: str) -> int:
     return right.agg(F.sum(F.size(vector)).alias("n")).first()["n"] or 0
 
 
-def _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells) -> DataFrame:
-    """Rows ``left_id, x, held``: each left vector next to every right one, packed in arrays.
+def _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells) -> tuple[DataFrame, int]:
+    """Rows ``left_id, x, held``, and how many of them each left vector has.
+
+    ``held`` packs right vectors in an array; over its rows a left vector meets every right one.
 
     A right side of checked size is held as one array value and the left rows
     never move. A larger one is packed into blocks of that size, and each left
@@ -32,7 +34,7 @@ def _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells)
     x = left.select(F.col(left_id).alias("left_id"), F.col(left_vector).cast("array<double>").alias("x"))
     cells = _cells(right, right_vector)
     if cells <= held_cells:
-        return x.withColumn("held", right.agg(_packed(right_id, right_vector).alias("held")).scalar())
+        return x.withColumn("held", right.agg(_packed(right_id, right_vector).alias("held")).scalar()), 1
     blocks, salts = -(-cells // held_cells), 64
     packed = (
         right.groupBy(F.pmod(F.xxhash64(right_id), F.lit(blocks)).cast("int").alias("block"))
@@ -42,7 +44,7 @@ def _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells)
     visiting = x.withColumn("salt", F.pmod(F.xxhash64("left_id"), F.lit(salts)).cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     )
-    return visiting.join(packed, ["block", "salt"]).select("left_id", "x", "held")
+    return visiting.join(packed, ["block", "salt"]).select("left_id", "x", "held"), blocks
 
 
 def distance_matrix(
@@ -55,7 +57,7 @@ def distance_matrix(
     held_cells: int = HELD_CELLS,
 ) -> DataFrame:
     """Euclidean distance of every left vector to every right one: ``left_id, right_id, distance``."""
-    met = _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells)
+    met, _ = _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells)
     return met.select("left_id", "x", F.explode("held").alias("y")).select(
         "left_id", F.col("y.id").alias("right_id"), euclidean(F.col("x"), F.col("y.vec")).alias("distance")
     )
@@ -76,13 +78,14 @@ def nearest(
     Every block proposes its own ``n`` inside the row; the best of the
     proposals remain, so the matrix is never written out.
     """
-    met = _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells)
+    met, blocks = _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells)
     scored = F.transform(
         F.col("held"),
         lambda y: F.struct(euclidean(F.col("x"), y["vec"]).alias("distance"), y["id"].alias("right_id")),
     )
-    proposed = met.select("left_id", F.slice(F.array_sort(scored), 1, n).alias("best"))
-    best = proposed.groupBy("left_id").agg(F.flatten(F.collect_list("best")).alias("best"))
+    best = met.select("left_id", F.slice(F.array_sort(scored), 1, n).alias("best"))
+    if blocks > 1:
+        best = best.groupBy("left_id").agg(F.flatten(F.collect_list("best")).alias("best"))
     return best.select("left_id", F.inline(F.slice(F.array_sort("best"), 1, n))).select(
         "left_id", "right_id", "distance"
     )

@@ -10,20 +10,21 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import greatest_or_null
 from tidemark.operators.ranking import first_per_key
 
-# Rows of a batch whose keys may be broadcast to a scan of the target.
+# Rows of a batch whose key hashes, eight bytes each, may be broadcast to a scan of the target.
 BROADCAST_KEYS = 500_000
 
 
 def absent_from(batch: DataFrame, target: DataFrame, key: str, batch_rows: int | None = None) -> DataFrame:
     """Batch rows whose key the target lacks; a NULL key is never found.
 
-    A small batch is sent to the target's key column, so the target is
-    scanned in place and only the keys found travel; a larger batch uses a
-    shuffled anti-join.
+    Of a small batch the 64-bit hashes of the keys are sent to the target's
+    key column, so the target is scanned in place and only the keys that may
+    match travel to the exact anti-join; a larger batch shuffles both sides.
     """
     known = target.select(key)
     if batch_rows is not None and batch_rows <= BROADCAST_KEYS:
-        known = known.join(F.broadcast(batch.select(key).distinct()), key, "left_semi")
+        hashes = batch.select(F.xxhash64(key).alias("_hash")).distinct()
+        known = known.join(F.broadcast(hashes), F.xxhash64(key) == F.col("_hash"), "left_semi")
     return batch.join(known, key, "left_anti")
 
 

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from tidemark.session import checkpointed
 
 
-def running_total(df: DataFrame, keys: list[str], order: list[str], weight: Column, name: str) -> DataFrame:
+def running_total(
+    df: DataFrame, keys: list[str], order: list[str], weight: Column, name: str, total: str | None = None
+) -> DataFrame:
     """Exact running total of ``weight`` within ``keys`` along ``order``.
 
     The rows are range-partitioned by key and order, so a large group spreads
     over many slices. Each slice adds up its own rows, and the totals of the
     slices before it, a few rows per slice, are joined back. The checkpoint
     fixes which slice a row belongs to. ``keys`` + ``order`` must be unique.
+    ``total`` names a column for the sum over the whole group.
     """
     cut = checkpointed(
         df.withColumn("_weight", weight)
@@ -27,6 +30,7 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], weight: Colu
         *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)],
         F.col("_slice").alias("_in"),
         F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_total").over(Window.partitionBy(*keys)).alias("_whole"),
     )
     inside = (
         Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -38,5 +42,5 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], weight: Colu
         cut.withColumn("_inside", F.sum("_weight").over(inside))
         .join(before, same)
         .withColumn(name, F.col("_inside") + F.col("_before"))
-        .select(*df.columns, name)
+        .select(*df.columns, name, *([F.col("_whole").alias(total)] if total else []))
     )

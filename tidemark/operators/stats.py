@@ -40,16 +40,7 @@ def percentiles(
             *[F.percentile("_v", p).alias(name) for name, p in probabilities.items()]
         )
     counted = present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_total(counted, keys, ["_v"], F.col("_n"), "_upto")
-    size = ranked.groupBy(*keys).agg(F.max("_upto").alias("_size"))
-    aliased = size.select(*[F.col(k).alias(f"_size_{k}") for k in keys], "_size")
-    if keys:
-        same = F.lit(True)
-        for k in keys:
-            same = same & F.col(k).eqNullSafe(F.col(f"_size_{k}"))
-        placed = ranked.join(aliased, same)
-    else:
-        placed = ranked.withColumn("_size", size.select("_size").scalar())
+    placed = running_total(counted, keys, ["_v"], F.col("_n"), "_upto", total="_size")
 
     def at(position: Column) -> Column:
         """The value at a zero-based rank."""

@@ -127,11 +127,21 @@ class _Story:
         self._count("restored", silver.current())
         copy = silver.clone(f"{chain.home}/copy", at=chain.clock())
         self._count("cloned", copy.current())
+        self.copy = copy
+        self.readable = [("cloned", self._readable())]
         copy.drop(at=chain.clock())
+        self.readable.append(("dropped", self._readable()))
         copy.undrop(at=chain.clock())
+        self.readable.append(("undropped", self._readable()))
         self._count("undropped", copy.current())
         self.messages.append(chain.process_gold())
 
+    def _readable(self) -> bool:
+        try:
+            return not self.copy.current().isEmpty()
+        except LookupError:
+            return False
+
     def _count(self, step: str, df: DataFrame) -> None:
         self.counts.append((step, df.count()))
 
@@ -269,3 +279,55 @@ FROM (SELECT unnest(['loaded', 'deleted', 'as of before', 'restored', 'cloned',
 """)
 def q50(t):
     return t.spark.createDataFrame(story(t).counts, "step string, n long")
+
+
+@query("T05_replay", _RAW_SQL + """
+SELECT (SELECT count(*) FROM raw WHERE value < 10) + (SELECT count(*) FROM raw WHERE value < 50)
+       + (SELECT count(*) FROM raw) AS landed, (SELECT count(*) FROM silver) AS kept, 0 AS added_by_replay
+""")
+def t05(t):
+    chain = story(t).chain
+    landed = t.spark.read.parquet(chain.landing).agg(F.count(F.lit(1)).alias("landed"))
+    replay = chain.audit().filter("log_id = 7").agg(F.max("rows_affected")).scalar()
+    kept = chain.silver.current().agg(F.count(F.lit(1))).scalar()
+    return landed.select("landed", kept.alias("kept"), replay.alias("added_by_replay"))
+
+
+@query("T06_has_data", "SELECT unnest(['landed', 'consumed']) AS moment, unnest([true, false]) AS raw")
+def t06(t):
+    rows = sorted({(moment, raw_waits) for moment, raw_waits, _ in story(t).pending})
+    return t.spark.createDataFrame(rows, "moment string, raw boolean")
+
+
+@query("T07_layers", _GOLD_SQL + """
+SELECT 'silver' AS layer, count(*) AS n FROM silver UNION ALL SELECT 'gold', count(*) FROM gold
+UNION ALL SELECT 'rejects', 2 * count(*) FROM raw WHERE passenger_id IS NULL
+""")
+def t07(t):
+    """Rows per layer; the replay set every rejected row aside once more, under its own batch."""
+    chain = story(t).chain
+    layers = {"silver": chain.silver.current(), "gold": chain.gold.current(), "rejects": chain.rejects()}
+    counts = [df.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("n")) for name, df in layers.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query("T11_clone", _RAW_SQL + "SELECT flight_hash, day AS departure_date FROM silver")
+def t11(t):
+    return story(t).copy.current().select("flight_hash", F.col("departure_date").cast("string").alias("departure_date"))
+
+
+@query("T12_drop_undrop", """
+SELECT unnest(['cloned', 'dropped', 'undropped']) AS moment, unnest([true, false, true]) AS readable
+""")
+def t12(t):
+    return t.spark.createDataFrame(story(t).readable, "moment string, readable boolean")
+
+
+@query("G11_job_results", _RUNS_SQL + """
+SELECT procedure_name, count(*) AS runs, CAST(sum(rows_affected) AS BIGINT) AS rows_affected
+FROM runs GROUP BY procedure_name
+""")
+def g11(t):
+    return story(t).chain.audit().groupBy("procedure_name").agg(
+        F.count(F.lit(1)).alias("runs"), F.sum("rows_affected").alias("rows_affected")
+    )

@@ -46,8 +46,9 @@ def casts(t: Tables) -> DataFrame:
     NULL keys join nothing and go here, so that a plan that reads the pairs
     twice finds the same shuffle both times and runs it once.
     """
-    pairs = t.lineitem.select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("p_partkey"))
-    return pairs.dropna().distinct()
+    known = F.col("l_suppkey").isNotNull() & F.col("l_partkey").isNotNull()
+    pairs = t.lineitem.filter(known).select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("p_partkey"))
+    return pairs.distinct()
 
 
 @query("Q06_parts_per_type", """
@@ -216,12 +217,7 @@ def q14(t):
         .join(t.part.select("p_partkey", F.col("p_type").alias("name")), "p_partkey")
         .groupBy("name").agg(*sums)
     )
-    best = [
-        per_type.filter(F.col(f"in_{i}") > 0).orderBy(F.desc(f"in_{i}"), up("name")).limit(1)
-        .select(F.lit(label).alias("group_name"), "name", F.col(f"in_{i}").alias("rentals_count"))
-        for i, label in enumerate(labels)
-    ]
-    return best[0].unionByName(best[1])
+    return r.best_per_group(per_type, labels)
 
 
 def _places(t: Tables) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import most_frequent
 from tidemark.plans import reviews as r
+from tidemark.plans.census import with_age_group
 from tidemark.registry import Tables, query
 
 # The characters that cleaning drops, as a class that DuckDB's regular expressions take.
@@ -54,3 +55,14 @@ SELECT strftime(ts, '%Y-%m-%d') AS day, round(avg(value), 6) AS avg_score FROM e
 """)
 def q42(t):
     return r.score_by_day(t.events, "ts", "value").select("day", F.round("avg_score", 6).alias("avg_score"))
+
+
+@query("G09_text_and_band", f"""
+SELECT doc_id, regexp_replace(source || '#' || lang, '{PATTERN_SQL}', '', 'g') AS clean,
+       CASE WHEN n_chars BETWEEN 16 AND 35 THEN 'young' WHEN n_chars > 35 AND n_chars <= 70 THEN 'adult'
+            WHEN n_chars > 70 AND n_chars <= 100 THEN 'retiree' ELSE 'unknown' END AS "AgeGroup"
+FROM documents
+""")
+def g09(t):
+    marked = t.documents.select("doc_id", F.concat("source", F.lit("#"), "lang").alias("content"), "n_chars")
+    return with_age_group(r.stripped(marked), "n_chars").select("doc_id", F.col("content").alias("clean"), "AgeGroup")

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.tables.versions import Snapshots
+
 # Rows up to which a result may be written as one document by one task.
 SINGLE_DOCUMENT_ROWS = 100_000
 
@@ -73,20 +76,21 @@ def append_documents(df: DataFrame, path: str) -> None:
 
 
 class StoredView:
-    """A query result kept as a table and computed on request."""
+    """A query result kept as a table and computed on request; readers see the last finished refresh."""
 
-    def __init__(self, spark: SparkSession, path: str, build):
+    def __init__(self, spark: SparkSession, path: str, build: Callable[[], DataFrame]):
         self.spark, self.path, self.build = spark, path, build
-        self._filled = False
 
     def refresh(self) -> None:
-        self.build().write.mode("overwrite").parquet(self.path)
-        self._filled = True
+        result = self.build()
+        Snapshots(self.spark, self.path, result.schema).write(result)
 
     def read(self) -> DataFrame:
-        if not self._filled:
+        """Raises until the view has been refreshed once."""
+        stored = Snapshots(self.spark, self.path, self.build().schema)
+        if not stored.commits.state().last_write:
             raise LookupError(f"view at {self.path} has not been refreshed yet")
-        return self.spark.read.parquet(self.path)
+        return stored.current()
 
 
 def write_by_month(

@@ -16,12 +16,17 @@ from tidemark.plans import flights
 from tidemark.streaming.feeds import consume, has_pending
 from tidemark.tables.versions import ChangeLog, Snapshots, append_row, utc_now
 
+# The job names of the audit log.
 SILVER_JOB = "PROCESS_FLIGHTS_SILVER"
 GOLD_JOB = "PROCESS_DAILY_STATS_GOLD"
 
 
 class FlightsChain:
-    """The folders of one chain: landing files, silver log, gold snapshots, rejects, audit, checkpoints."""
+    """The folders of one chain: landing files, silver log, gold snapshots, rejects, audit, checkpoints.
+
+    A run takes everything that has arrived as one batch; ``files_per_batch``
+    cuts a large backlog into several, each merged and committed on its own.
+    """
 
     def __init__(
         self,
@@ -30,8 +35,10 @@ class FlightsChain:
         dedupe_source: bool = True,
         clock: Callable[[], dt.datetime] = utc_now,
         generation: str = "first",
+        files_per_batch: int | None = None,
     ):
         self.spark, self.home, self.clock = spark, home.rstrip("/"), clock
+        self.files_per_batch = files_per_batch
         self.dedupe_source, self.generation = dedupe_source, generation
         self.landing = f"{self.home}/raw"
         self.silver = ChangeLog(spark, f"{self.home}/silver", flights.SILVER_SCHEMA, "flight_hash")
@@ -39,7 +46,9 @@ class FlightsChain:
 
     def restarted(self, generation: str) -> "FlightsChain":
         """The same tables behind new streams, which see every landing file again."""
-        return FlightsChain(self.spark, self.home, self.dedupe_source, self.clock, generation)
+        return FlightsChain(
+            self.spark, self.home, self.dedupe_source, self.clock, generation, self.files_per_batch
+        )
 
     def _checkpoint(self, job: str) -> str:
         return f"{self.home}/checkpoints/{self.generation}/{job}"
@@ -78,12 +87,9 @@ class FlightsChain:
         """Merge new raw rows into silver; rows whose hash is present are left alone."""
 
         def merge(batch: DataFrame, name: str) -> int:
-            rows = flights.silver_batch(batch, self.dedupe_source, self.clock()).persist()
-            try:
-                fresh = absent_from(rows, self.silver.current(), "flight_hash", rows.count())
-                added = self.silver.append(fresh, batch=name, at=self.clock())
-            finally:
-                rows.unpersist()
+            rows = flights.silver_batch(batch, self.dedupe_source, self.clock())
+            fresh = absent_from(rows, self.silver.current(), "flight_hash", batch.count())
+            added = self.silver.append(fresh, batch=name, at=self.clock())
             flights.rejected(batch).write.mode("overwrite").parquet(f"{self.home}/rejects/batch={name}")
             return added
 
@@ -121,8 +127,10 @@ class FlightsChain:
 
         try:
             if has_pending(self.spark, folder, self._checkpoint(stream), "*.parquet"):
-                source = self.spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(folder)
-                consume(source, handle, self._checkpoint(stream))
+                reader = self.spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
+                if self.files_per_batch:
+                    reader = reader.option("maxFilesPerTrigger", self.files_per_batch)
+                consume(reader.parquet(folder), handle, self._checkpoint(stream))
         except Exception:
             self._log(job, 0, "FAILED")
             raise
