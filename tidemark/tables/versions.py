@@ -18,6 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Deleted keys, as counted by the commits, up to which they are broadcast to a scan.
+BROADCAST_KEYS = 500_000
+
 COMMIT_SCHEMA = "version long, committed_at timestamp, kind string, rows long, batch string"
 
 
@@ -63,22 +66,23 @@ class Commits:
         found = rows.agg(
             F.coalesce(F.max("version"), F.lit(0)).alias("last"),
             (newest("DROP") > newest("UNDROP")).alias("dropped"),
-            newest("DELETE").alias("last_delete"),
+            F.collect_list(F.when(F.col("kind") == "DELETE", F.struct("version", "rows"))).alias("deletes"),
             newest("WRITE").alias("last_write"),
             F.coalesce(F.bool_or(F.col("batch") == F.lit(batch)), F.lit(False)).alias("batch_seen"),
         ).first()
-        return State(**found.asDict())
+        deletes = {d["version"]: d["rows"] for d in found["deletes"]}
+        return State(found["last"], found["dropped"], found["last_write"], found["batch_seen"], deletes)
 
 
 @dataclass(frozen=True)
 class State:
-    """The newest version and the newest version of each kind, 0 where there is none."""
+    """The newest version, the newest one written whole (0 if there is none), and the rows of each deletion."""
 
     last: int
     dropped: bool
-    last_delete: int
     last_write: int
     batch_seen: bool
+    deletes: dict[int, int]
 
 
 class _Versioned:
@@ -149,23 +153,33 @@ class ChangeLog(_Versioned):
             data = data.withColumn("version", F.lit(0))
         return data.filter(F.col("version") <= upto)
 
+    def _gone(self, log: DataFrame, deletes: dict[int, int]) -> DataFrame:
+        """The keys of some deletions, each with its last one; broadcast if the commits say they are few."""
+        gone = (
+            log.filter(F.col("version").isin(list(deletes)))
+            .groupBy(F.col(self.key).alias("_gone"))
+            .agg(F.max("version").alias("_gone_at"))
+        )
+        return F.broadcast(gone) if sum(deletes.values()) <= BROADCAST_KEYS else gone
+
     def current(self, as_of: dt.datetime | None = None) -> DataFrame:
         """The rows present now, or at a past moment.
 
         As long as nothing was deleted this is a plain scan. Otherwise rows
-        are matched with the last deletion of their key.
+        are matched with the last deletion of their key; deletions are read
+        from their own folders.
         """
-        state = self._live(as_of)
+        return self._present(self._live(as_of))
+
+    def _present(self, state: State) -> DataFrame:
         log = self.log(state.last)
-        present = log.filter(F.col("_action") != "DELETE")
-        if state.last_delete:
-            gone = (
-                log.filter(F.col("_action") == "DELETE")
-                .groupBy(F.col(self.key).alias("_gone"))
-                .agg(F.max("version").alias("_gone_at"))
-            )
-            present = present.join(gone, F.col(self.key) == F.col("_gone"), "left").filter(
-                F.col("_gone_at").isNull() | (F.col("_gone_at") < F.col("version"))
+        present = log
+        if state.deletes:
+            gone = self._gone(log, state.deletes)
+            present = (
+                log.filter(~F.col("version").isin(list(state.deletes)))
+                .join(gone, F.col(self.key) == F.col("_gone"), "left")
+                .filter(F.col("_gone_at").isNull() | (F.col("_gone_at") < F.col("version")))
             )
         return present.select(*self.schema.names)
 
@@ -173,9 +187,20 @@ class ChangeLog(_Versioned):
         return self.append(self.current().filter(predicate), "DELETE", at=at)
 
     def restore(self, as_of: dt.datetime, predicate: Column, at: dt.datetime | None = None) -> int:
-        """Put matching rows of a past moment back if they are missing now."""
-        missing = self.current(as_of).filter(predicate).join(self.current().select(self.key), self.key, "left_anti")
-        return self.append(missing.select(*self.schema.names), "RESTORE", at=at)
+        """Put matching rows of a past moment back if they are missing now.
+
+        Only keys deleted since then can be missing, so both tables are cut
+        down to those before they are compared.
+        """
+        then, now = self.commits.state(as_of), self._live()
+        since = {version: rows for version, rows in now.deletes.items() if version > then.last}
+        if not since:
+            return 0
+        gone = self._gone(self.log(now.last), since)
+        touched = F.col(self.key) == F.col("_gone")
+        old = self._present(then).filter(predicate).join(gone, touched, "left_semi")
+        still = self._present(now).select(self.key).join(gone, touched, "left_semi")
+        return self.append(old.join(still, self.key, "left_anti").select(*self.schema.names), "RESTORE", at=at)
 
     def clone(self, path: str, at: dt.datetime | None = None) -> "ChangeLog":
         """An independent copy of the present rows."""
