@@ -93,6 +93,16 @@ def test_top_rows(spark):
     assert rows(r.most_frequent(texts, "t", "id", 2)) == [("b", 2), ("a", 2)]
 
 
+def test_joins(spark):
+    from tidemark.operators import joins as j
+
+    one = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    many = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c"), (None, "d")], "k int, v string")
+    assert sorted(rows(j.left_join_many(one, many, "k")), key=str) == [(1, "a"), (1, "b"), (2, None), (None, None)]
+    assert rows(j.having(one, many, "k")) == [(1,)]
+    assert sorted(rows(j.without(one, many, "k")), key=str) == [(2,), (None,)]
+
+
 def test_unknown_texts_raise_no_error_in_ansi_mode(spark):
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
     assert col(spark, ["oops"], lambda c: c.try_cast("double")) == [None]

@@ -12,7 +12,7 @@ HELD_CELLS = 1_000_000
 
 
 def _packed(id_column: str, vector: str):
-    return F.array_sort(
+    return F.sort_array(
         F.collect_list(F.struct(F.col(id_column).alias("id"), F.col(vector).cast("array<double>").alias("vec")))
     )
 
@@ -83,9 +83,9 @@ def nearest(
         F.col("held"),
         lambda y: F.struct(euclidean(F.col("x"), y["vec"]).alias("distance"), y["id"].alias("right_id")),
     )
-    best = met.select("left_id", F.slice(F.array_sort(scored), 1, n).alias("best"))
+    best = met.select("left_id", F.slice(F.sort_array(scored), 1, n).alias("best"))
     if blocks > 1:
         best = best.groupBy("left_id").agg(F.flatten(F.collect_list("best")).alias("best"))
-    return best.select("left_id", F.inline(F.slice(F.array_sort("best"), 1, n))).select(
+    return best.select("left_id", F.inline(F.slice(F.sort_array("best"), 1, n))).select(
         "left_id", "right_id", "distance"
     )

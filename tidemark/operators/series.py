@@ -24,35 +24,35 @@ def _blocked(df: DataFrame, series: str, pos: str, val: str, block: int) -> Data
 
 
 def run_lengths(df: DataFrame, series: str, pos: str, val: str, block: int = BLOCK) -> DataFrame:
-    """Runs of adjacent equal values: ``series, start_pos, val, run_length``. NULL equals NULL."""
-    rows = _blocked(df, series, pos, val, block)
+    """Runs of adjacent equal values: ``series, start_pos, val, run_length``. NULL equals NULL.
+
+    Inside a block a run lasts until the next row that starts one, or to the
+    last row of the block. Only the first and the last run of a block can go on
+    in a neighbouring one; those are joined up along the series.
+    """
     inside = Window.partitionBy("series", "block").orderBy("pos")
-    starts = rows.withColumn(
-        "starts",
-        F.when(F.row_number().over(inside) == 1, 1)
-        .when(F.col("val").eqNullSafe(F.lag("val").over(inside)), 0)
-        .otherwise(1),
+    marked = _blocked(df, series, pos, val, block).select(
+        "series", "block", "pos", "val",
+        F.row_number().over(inside).alias("at"),
+        F.lead("pos").over(inside).isNull().alias("ends"),
+        F.coalesce(F.lag("pos").over(inside).isNull() | ~F.col("val").eqNullSafe(F.lag("val").over(inside)),
+                   F.lit(True)).alias("starts"),
     )
-    numbered = starts.withColumn("run", F.sum("starts").over(inside))
-    pieces = numbered.groupBy("series", "block", "run").agg(
-        F.min("pos").alias("start_pos"), F.count(F.lit(1)).alias("n"), F.first("val").alias("val")
-    )
-    whole = Window.partitionBy("series", "block")
-    pieces = pieces.withColumn("last_run", F.max("run").over(whole))
-    interior = (F.col("run") > 1) & (F.col("run") < F.col("last_run"))
-    done = pieces.filter(interior).select("series", "start_pos", "val", F.col("n").alias("run_length"))
+    turns = marked.filter(F.col("starts") | F.col("ends"))
+    next_at, next_starts = F.lead("at").over(inside), F.lead("starts").over(inside)
+    runs = turns.select(
+        "series", "block", "starts", F.col("pos").alias("start_pos"), "val",
+        F.when(F.col("ends"), 1).when(next_starts, next_at - F.col("at")).otherwise(next_at - F.col("at") + 1)
+        .alias("n"),
+        ((F.col("at") == 1) | F.col("ends") | ~next_starts).alias("at_edge"),
+    ).filter("starts")
+    done = runs.filter(~F.col("at_edge")).select("series", "start_pos", "val", F.col("n").alias("run_length"))
 
     along = Window.partitionBy("series").orderBy("start_pos")
-    edge = pieces.filter(~interior)
-    opens = edge.withColumn(
-        "opens",
-        F.when(F.row_number().over(along) == 1, 1)
-        .when(F.lag("block").over(along) == F.col("block"), 1)
-        .when(F.col("val").eqNullSafe(F.lag("val").over(along)), 0)
-        .otherwise(1),
-    )
+    goes_on = (F.lag("block").over(along) != F.col("block")) & F.col("val").eqNullSafe(F.lag("val").over(along))
+    edge = runs.filter("at_edge").withColumn("opens", F.when(goes_on, 0).otherwise(1))
     merged = (
-        opens.withColumn("run_id", F.sum("opens").over(along))
+        edge.withColumn("run_id", F.sum("opens").over(along))
         .groupBy("series", "run_id")
         .agg(F.min("start_pos").alias("start_pos"), F.first("val").alias("val"), F.sum("n").alias("run_length"))
         .select("series", "start_pos", "val", "run_length")

@@ -69,9 +69,9 @@ def rows_per_group(values: int, values_per_row: int = VALUES_PER_ROW) -> int:
 
 def _sorted_values(value: str, tie: list[str]) -> Column:
     if not tie:
-        return F.array_sort(F.collect_list(value))
-    kept = F.filter(F.collect_list(F.struct(value, *tie)), lambda item: item[value].isNotNull())
-    return F.transform(F.array_sort(kept), lambda item: item[value])
+        return F.sort_array(F.collect_list(value))
+    kept = F.collect_list(F.when(F.col(value).isNotNull(), F.struct(value, *tie)))
+    return F.sort_array(kept).getField(value)
 
 
 def word_index(df: DataFrame, id_column: str, text: Column, block: int = 4096) -> DataFrame:
@@ -85,5 +85,5 @@ def word_index(df: DataFrame, id_column: str, text: Column, block: int = 4096) -
     return (
         df.select(F.col(id_column).alias("id"), F.explode(words(text)).alias("term"))
         .groupBy("term", F.floor(F.col("id") / F.lit(block)).alias("block"))
-        .agg(F.count(F.lit(1)).alias("n_ids"), F.array_sort(F.collect_list("id")).alias("ids"))
+        .agg(F.count(F.lit(1)).alias("n_ids"), F.sort_array(F.collect_list("id")).alias("ids"))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.arrays import row_products
 from tidemark.functions.ordering import down, up
 from tidemark.functions.predicates import above_up_to, in_list, is_not, on_days, shorter_than
+from tidemark.operators.joins import having, left_join_many, without
 from tidemark.operators.merge import absent_from, insert_if_absent
 from tidemark.operators.ranking import top_k
 from tidemark.operators.series import distinct_first_seen, same_rows
@@ -154,7 +155,7 @@ def j03(t):
     full = t.lineitem.filter(F.col("l_quantity") == 50).select(
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber"
     )
-    return t.orders.select("o_orderkey").join(full, "o_orderkey", "left")
+    return left_join_many(t.orders.select("o_orderkey"), full, "o_orderkey")
 
 
 @query("J04_anti_join", """
@@ -165,7 +166,7 @@ def j04(t):
     sold = t.lineitem.filter((F.col("l_quantity") == 50) & (F.col("l_tax") == 0)).select(
         F.col("l_partkey").alias("p_partkey")
     )
-    return t.part.select("p_partkey", "p_name").join(sold, "p_partkey", "left_anti")
+    return without(t.part.select("p_partkey", "p_name"), sold, "p_partkey")
 
 
 @query("J05_left_then_inner", """
@@ -186,7 +187,7 @@ SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custke
 """)
 def j06(t):
     dear = t.orders.filter(F.col("o_totalprice") > 450000).select(F.col("o_custkey").alias("c_custkey"))
-    return t.customer.select("c_custkey").join(dear, "c_custkey", "left_semi")
+    return having(t.customer.select("c_custkey"), dear, "c_custkey")
 
 
 @query("J07_conditions_in_where", """
@@ -275,13 +276,11 @@ def o03(t):
 
 @query("O04_sort_filled_text", """
 SELECT event_id, CASE WHEN event_type = 'view' THEN '-' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS "at"
-FROM events ORDER BY "at", event_id LIMIT 3000
+FROM events ORDER BY "at", event_id
 """)
 def o04(t):
     at = F.when(F.col("event_type") != "view", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-    return (
-        t.events.select("event_id", F.coalesce(at, F.lit("-")).alias("at")).orderBy("at", "event_id").limit(3000)
-    )
+    return t.events.select("event_id", F.coalesce(at, F.lit("-")).alias("at")).orderBy("at", "event_id")
 
 
 @query("O05_two_keys_limit", """

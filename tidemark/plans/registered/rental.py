@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.ordering import up
 from tidemark.functions.scalars import first_letter_up
+from tidemark.operators.joins import without
 from tidemark.operators.policy import apply_row_policy
 from tidemark.operators.ranking import highest_levels, reaching_kth, top_k
 from tidemark.operators.text import rows_per_group, string_agg
@@ -117,7 +118,7 @@ SELECT o_orderkey FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey WHER
 """)
 def q10(t):
     items = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"))
-    return t.orders.select("o_orderkey").join(items, "o_orderkey", "left_anti").orderBy("o_orderkey")
+    return without(t.orders.select("o_orderkey"), items, "o_orderkey").orderBy("o_orderkey")
 
 
 @query("Q10_parts_never_returned_large", """
@@ -129,7 +130,7 @@ def q10_parts(t):
     returned = t.lineitem.filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 40)).select(
         F.col("l_partkey").alias("p_partkey")
     )
-    return t.part.select("p_partkey", "p_name").join(returned, "p_partkey", "left_anti").orderBy("p_name", "p_partkey")
+    return without(t.part.select("p_partkey", "p_name"), returned, "p_partkey").orderBy("p_name", "p_partkey")
 
 
 def _small_parts_per_supplier(t: Tables) -> DataFrame:

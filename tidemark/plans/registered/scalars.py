@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as s
+from tidemark.operators.joins import left_join_many
 from tidemark.plans.registered.reviews import PATTERN_SQL
 from tidemark.registry import query
 
@@ -55,7 +56,7 @@ FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey AND l_quantity = 50
 """)
 def f06(t):
     full = t.lineitem.filter(F.col("l_quantity") == 50).select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
-    return s.fill_missing(t.orders.select("o_orderkey").join(full, "o_orderkey", "left"))
+    return s.fill_missing(left_join_many(t.orders.select("o_orderkey"), full, "o_orderkey"))
 
 
 @query("F07_to_text", "SELECT CAST(o_orderkey AS VARCHAR) AS key_text, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders")

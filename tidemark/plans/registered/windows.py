@@ -71,8 +71,8 @@ def w06(t):
     return first_max(t.events, "user_id", "event_id", "value")
 
 
-@query("W07_positions_in_group", """
+@query("W05_positions_in_group", """
 SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS pos FROM events
 """)
-def w07(t):
+def w05_positions(t):
     return running_total(t.events.select("event_type", "event_id"), ["event_type"], ["event_id"], F.lit(1), "pos")

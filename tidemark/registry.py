@@ -5,6 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+
+# Schemas of the tables opened so far; a declared schema spares the job that reads a file footer.
+_SCHEMAS: dict[str, StructType] = {}
 
 
 class Tables:
@@ -17,7 +22,10 @@ class Tables:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._open:
-            self._open[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            path = f"{self.folder}/{name}.parquet"
+            if path not in _SCHEMAS:
+                _SCHEMAS[path] = self.spark.read.parquet(path).schema
+            self._open[name] = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         return self._open[name]
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -112,7 +112,8 @@ class _Versioned:
 class ChangeLog(_Versioned):
     """An append-only table of rows with an ``_action``: INSERT, DELETE or RESTORE.
 
-    INSERT and RESTORE rows are present until a later DELETE of their key.
+    INSERT and RESTORE rows are present until a later DELETE of their key,
+    which is never NULL and names one row, or rows that go together.
     Readers that follow the table take INSERT rows only, so rows put back
     from the past are not counted again downstream.
     """
