@@ -19,6 +19,7 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
     }
     settings.update(conf)
