@@ -121,6 +121,34 @@ def test_write_that_was_never_committed_is_replaced(spark, tmp_path):
     assert log.current().count() == 5
 
 
+def test_same_state_without_broadcasts(spark, tmp_path, monkeypatch):
+    """The ways for large batches and large deletions give the same table."""
+    from tidemark.operators import merge
+    from tidemark.tables import versions
+
+    monkeypatch.setattr(merge, "BROADCAST_KEYS", -1)
+    monkeypatch.setattr(versions, "BROADCAST_KEYS", -1)
+    chain = FlightsChain(spark, str(tmp_path), clock=clock())
+    for batch in BATCHES:
+        chain.land(raw(spark, batch))
+        chain.process_silver()
+    france = F.col("country_name") == "France"
+    before = chain.clock()
+    assert chain.silver.delete_where(france, at=chain.clock()) == 2
+    assert chain.silver.restore(before, france, at=chain.clock()) == 2
+    assert chain.silver.restore(before, france, at=chain.clock()) == 0
+    assert sorted(rows(chain.silver.current(), "passenger_id")) == [("P1",), ("P2",), ("P3",), ("P4",)]
+
+
+def test_backlog_in_several_batches(spark, tmp_path):
+    chain = FlightsChain(spark, str(tmp_path), clock=clock(), files_per_batch=1)
+    for batch in BATCHES:
+        chain.land(raw(spark, batch).coalesce(1))
+    assert chain.run()[0] == "Processed 4 rows into Silver."
+    assert chain.silver.commits.state().last == 2
+    assert gold(chain)[0][2] == 3
+
+
 def test_twins_in_one_batch(spark, tmp_path):
     twins = raw(spark, [BATCHES[0][0], BATCHES[0][0]])
     assert f.silver_batch(twins).count() == 1

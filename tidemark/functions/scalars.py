@@ -75,11 +75,17 @@ def month_end(day: Column) -> Column:
     return F.last_day(day)
 
 
+def moment(value: dt.datetime) -> Column:
+    """A point in time to compare a column with: a naive value is wall-clock time, whatever the machine's zone."""
+    if value.tzinfo is not None:
+        return F.lit(value)
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def days_over(start: Column, stop: Column, allowed_days: Column) -> Column:
     """Whole days by which ``stop - start`` exceeds the allowed days; 0 if it does not, or is open."""
-    spent = F.unix_seconds(stop.cast("timestamp")) - F.unix_seconds(start.cast("timestamp"))
-    excess = spent - allowed_days.cast("long") * F.lit(86400)
-    return F.when(excess > 0, F.floor(excess / F.lit(86400))).otherwise(F.lit(0)).cast("long")
+    excess = (stop - start) - F.make_dt_interval(days=allowed_days.cast("int"))
+    return F.greatest(F.coalesce(F.extract(F.lit("DAY"), excess), F.lit(0)), F.lit(0)).cast("long")
 
 
 def whole_number(column: Column) -> Column:
@@ -110,6 +116,10 @@ def percent_text(fraction: Column) -> Column:
     return F.concat(F.format_number(fraction * 100, 2), F.lit("%"))
 
 
+def fixed_text(column: Column, digits: int = 1) -> Column:
+    return F.format_number(column, digits)
+
+
 def silver_message(n: int) -> str:
     return f"Processed {n} rows into Silver."
 

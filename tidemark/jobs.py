@@ -81,9 +81,17 @@ def rooms_job(
 
 
 def rental_tables(spark: SparkSession, db: Database, slices: int = 16) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """The fifteen rental tables over JDBC, large ones in parallel slices, and those that failed."""
+    """The fifteen rental tables over JDBC, large ones in parallel slices, and those that failed.
+
+    Language names arrive padded with blanks; the search vector of a film has no Spark type.
+    """
     cut = {name: Slices(column, slices) if column else None for name, column in RENTAL_TABLES.items()}
-    return load_tables(spark, db, cut)
+    opened, failed = load_tables(spark, db, cut)
+    if "language" in opened:
+        opened["language"] = opened["language"].withColumn("name", F.rtrim("name"))
+    if "film" in opened:
+        opened["film"] = opened["film"].drop("fulltext")
+    return opened, failed
 
 
 def rental_reports(t: rental.Catalog) -> dict[str, DataFrame]:

@@ -200,6 +200,13 @@ def f23(t):
     )
 
 
+@query("F23_one_digit_text", """
+SELECT l_returnflag, printf('%.1f', avg(l_quantity)) AS mean FROM lineitem GROUP BY l_returnflag
+""")
+def f23_digit(t):
+    return t.lineitem.groupBy("l_returnflag").agg(s.fixed_text(F.avg("l_quantity")).alias("mean"))
+
+
 @query("F25_parameters", """
 SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderdate >= DATE '1999-01-01' AND o_orderstatus = 'O' GROUP BY o_custkey
 """)
