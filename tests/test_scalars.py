@@ -89,6 +89,9 @@ def test_top_rows(spark):
     assert rows(r.largest_group(spark.createDataFrame([("b", 2), ("a", 2)], "k string, n int"), "k", "n")) == [("a", 2)]
     twins = spark.createDataFrame([(1, "x", 2), (1, "y", 1), (None, "z", 1)], "id int, v string, pos int")
     assert sorted(rows(r.first_per_key(twins, ["id"], "pos"), "v")) == [("y",), ("z",)]
+    plan = r.first_per_key(twins, ["id"], "pos")._jdf.queryExecution().executedPlan().toString()
+    before, after = plan.split("Exchange hashpartitioning")
+    assert "Partial" in after and "Final" in before
     texts = spark.createDataFrame([(1, "b"), (2, "a"), (3, "a"), (4, "b"), (5, "c")], "id long, t string")
     assert rows(r.most_frequent(texts, "t", "id", 2)) == [("b", 2), ("a", 2)]
 

@@ -49,6 +49,7 @@ def load_once(spark: SparkSession, files: str, schema: str, table: str) -> DataF
 
 def room_reports(room: DataFrame, student: DataFrame, as_of: dt.date) -> dict[str, DataFrame]:
     """The five reports on rooms and students; the last two are lists of room names."""
+    # The report names.
     one_sex = {name: rooms.rooms_of_one_sex(room, student, sex) for name, sex in (("male", "M"), ("female", "F"))}
     return {
         "students_count_in_rooms": rooms.students_per_room(room, student),

@@ -8,21 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import moment
+from tidemark.operators.ranking import first_per_key
 
 
 def state_as_of(
     log: DataFrame, keys: list[str], ts: str, order: list[str], as_of: dt.datetime, deleted: Column
 ) -> DataFrame:
-    """The last row per key with ``ts <= as_of``, keys whose last row is a deletion left out.
-
-    The last row is found by an aggregate with partial results, so a key with
-    a long history shrinks before the shuffle.
-    """
-    rest = [c for c in log.columns if c not in keys]
+    """The last row per key with ``ts <= as_of``, keys whose last row is a deletion left out."""
     seen = log.filter(F.col(ts) <= moment(as_of))
-    last = F.max_by(F.struct(*rest), F.struct(ts, *order)).alias("last_row")
-    state = seen.groupBy(*keys).agg(last).select(*keys, *[F.col("last_row")[c].alias(c) for c in rest])
-    return state.filter(~F.coalesce(deleted, F.lit(False)))
+    last = first_per_key(seen, keys, F.desc(ts), *[F.desc(c) for c in order])
+    return last.filter(~F.coalesce(deleted, F.lit(False)))
 
 
 def delete_where(df: DataFrame, predicate: Column) -> DataFrame:

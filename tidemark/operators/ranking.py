@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.ordering import down, up
@@ -37,18 +37,14 @@ def reaching_kth(df: DataFrame, measure: str, k: int) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:
-    """The first row of each key in the given order, by an aggregate with partial results.
+    """The first row of each key in the given order; NULL keys form a group of their own.
 
-    A key that holds a large part of the rows shrinks to one row per input
-    partition before the shuffle, which a ``row_number`` window would not do.
-    NULL keys form a group of their own.
+    The rank is used for nothing but the filter, so Spark keeps one row per key
+    of every input partition before the shuffle (``WindowGroupLimit``), and a
+    key that holds a large part of the rows arrives as a few.
     """
-    rest = [c for c in df.columns if c not in keys]
-    order = [F.col(o) if isinstance(o, str) else o for o in order]
-    best = F.min_by(F.struct(*rest), F.struct(*order)).alias("first_row")
-    return df.groupBy(*keys).agg(best).select(
-        *[k for k in keys], *[F.col("first_row")[c].alias(c) for c in rest]
-    ).select(*df.columns)
+    along = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(along)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def largest_group(counts: DataFrame, label: str, size: str) -> DataFrame:
