@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +13,7 @@ from tidemark.llm.labelled import remainder
 #: Labels with this remainder of the crc32 of their id are never learned from: (parts, held out).
 QUALITY_FOLD, TOXIC_FOLD = (4, 2), (3, 1)
 WEIGHTS = [5.0, 2.0, 1.0]
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+VOCABULARY = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -72,7 +71,9 @@ def op9_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return tokens.token_counts(_table(spark, folder, "documents"), VOCABULARY)
+    import public_tokenizers
+
+    return tokens.token_counts(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:

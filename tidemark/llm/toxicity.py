@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from array import array
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -79,11 +80,11 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def _telling(docs: list[np.ndarray], label: np.ndarray) -> np.ndarray:
+def _telling(docs: list[np.ndarray], subs: np.ndarray, sub_end: np.ndarray, label: np.ndarray) -> np.ndarray:
     """Buckets that clearly more toxic than clean texts have; rarer ones would only be learned by heart."""
     counts = np.zeros((2, BUCKETS))
-    for found, y in zip(docs, label):
-        counts[y, found] += 1
+    for words, y in zip(docs, label):
+        counts[y, np.unique(np.concatenate([subs[sub_end[i] : sub_end[i + 1]] for i in np.unique(words).tolist()]))] += 1
     n = np.bincount(label, minlength=2)[:, None]
     rate = (counts + 0.5) / (n + 1)
     both = counts.sum(axis=0) / n.sum()
@@ -102,14 +103,17 @@ def fit(texts: list[str], label: np.ndarray, steps: int = 300, rate: float = 0.1
         return None
     number: dict[str, int] = {}
     docs = [np.fromiter((number.setdefault(w, len(number)) for w in words_of(t) or [""]), np.int32) for t in texts]
-    split = [np.fromiter(subwords(w), np.int32) for w in number]
-    telling = _telling([np.unique(np.concatenate([split[i] for i in set(d.tolist())])) for d in docs], label)
+    flat, sizes = array("i"), array("i")
+    for word in number:
+        found = subwords(word)
+        flat.extend(found)
+        sizes.append(len(found))
+    subs, n_subs = np.frombuffer(flat, np.int32), np.frombuffer(sizes, np.int32)
+    telling = _telling(docs, subs, np.concatenate([[0], np.cumsum(n_subs)]), label)
     # What words hold of the telling buckets, as (word, column) pairs.
-    n_subs = np.array([len(s) for s in split])
-    subs, owner = np.concatenate(split), np.repeat(np.arange(len(split)), n_subs)
-    column = np.searchsorted(telling, subs)
     held = np.isin(subs, telling)
-    owner, column = owner[held], column[held]
+    owner = np.repeat(np.arange(len(n_subs), dtype=np.int32), n_subs)[held]
+    column = np.searchsorted(telling, subs[held])
     share_of = 1 / n_subs[owner]
 
     ids = np.concatenate(docs)
