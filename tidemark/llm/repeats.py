@@ -7,13 +7,16 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ROW, map_batches, row_key, stored, text_or_empty
+from tidemark.llm.common import map_batches, stored, text_or_empty
 
 #: Bits of ``packed`` for the number of starts and for the offset of the pointer.
 _FIELD = 16
+#: Starts in the parts that runs are taken apart into.
+_WIDTHS = (16, 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -48,60 +51,113 @@ def pointers(data: bytes, span: int, length: int) -> tuple[np.ndarray, np.ndarra
 
 
 class Buckets:
-    """The classes of one document's starts, for a string length and a pointer span."""
+    """The classes of a document's starts, for strings of ``length`` bytes."""
 
     def __init__(self, length: int):
         if not 32 <= length < 1 << _FIELD:
             raise ValueError("length must be 32 to 65,535 bytes")
         self.length, self.span = length, length * 2 // 3
-        self.gram = length - self.span + 1  # what follows the pointer inside every string of its run
 
-    def rows(self, data: bytes) -> tuple[list[tuple], list[tuple[int, int]]]:
-        """Rows (bucket, class, first start, packed) and the runs (first start, number) known to be repeated.
+    def row(self, view: memoryview, first: int, number: int, offset: int, width: int) -> tuple[int, ...]:
+        """(bucket, high, low, first, packed) of starts ``first`` and on, whose pointer is ``offset`` after the first.
 
-        ``bucket`` is the initial q-gram bucket, a digest of the bytes that
-        follow the pointer; ``class`` a digest of all bytes of the run's strings
-        with the place of the pointer. A class that occurs twice in this
-        document is repeated; one row then stands for its runs.
+        The offsets of all starts lie in one interval of ``width``. The bucket is
+        a digest of the bytes that every string with an offset in that interval
+        has around its pointer; high and low are one of all bytes of these very
+        strings and of where the pointer is.
+        """
+        pointer, low = first + offset, offset // width * width
+        top = min(low + width, self.span) - 1
+        packed = number << _FIELD | offset
+        bucket = xxhash.xxh3_64_intdigest(view[pointer - low : pointer + self.length - top], low) - (1 << 63)
+        return bucket, *_signed(xxhash.xxh3_128_digest(view[first : first + number - 1 + self.length], packed)), first, packed
+
+    def rows(self, data: bytes) -> tuple[list[tuple], list[tuple]]:
+        """The rows of a document, and (first, packed) of runs known to be repeated.
+
+        A class that occurs twice in this document is repeated; one row then
+        stands for its runs.
         """
         out, known, seen = [], [], {}
         if len(data) < self.length:
             return out, known
-        bucket_of, class_of, view = xxhash.xxh3_64_intdigest, xxhash.xxh3_128_digest, memoryview(data)
+        view = memoryview(data)
         for a, b, p in zip(*(x.tolist() for x in pointers(data, self.span, self.length))):
-            packed = (b - a + 1) << _FIELD | p - a
-            name = class_of(view[a : b + self.length], packed)
-            if name in seen:
-                if seen[name] is not None:
-                    known.append(seen[name])
-                    seen[name] = None
-                known.append((a, b - a + 1))
+            row = self.row(view, a, b - a + 1, p - a, self.span)
+            if row[1:3] in seen:
+                known += seen[row[1:3]]
+                seen[row[1:3]] = []
+                known.append(row[3:])
                 continue
-            seen[name] = (a, b - a + 1)
-            bucket = bucket_of(view[p : p + self.gram]) - (1 << 63)
-            out.append((bucket, *_signed(name), a, packed))
+            seen[row[1:3]] = [row[3:]]
+            out.append(row)
         return out, known
 
+    def parts(self, data: bytes, runs: list[dict], width: int) -> list[tuple]:
+        """The rows of the parts of some runs whose offsets lie in one interval of ``width``."""
+        out, view = [], memoryview(data)
+        for run in runs:
+            first, number, offset = run["first"], run["packed"] >> _FIELD, run["packed"] & (1 << _FIELD) - 1
+            while number > 0:
+                some = min(number, offset % width + 1)
+                out.append(self.row(view, first, some, offset, width))
+                first, number, offset = first + some, number - some, offset - some
+        return out
+
+
+_ROWS = "id_hash bigint, text_hash bigint, bucket bigint, high bigint, low bigint, first bigint, packed bigint"
+_KEY = ["id_hash", "text_hash"]
+
+
+def _table(batch: pa.RecordBatch, index: list[int], rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows)) if rows else [()] * 5
+    keys, taken = {k: batch.column(k) for k in _KEY}, pa.array(index, pa.int64())
+    return pa.table({**{k: v.take(taken) for k, v in keys.items()},
+                     **{k: pa.array(c, pa.int64()) for k, c in zip(("bucket", "high", "low", "first", "packed"), columns)}})
+
+
+def _pressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Id, the two hashes that name a row, and the compressed text, in which form texts are shuffled."""
+
+    def press(batch: pa.RecordBatch) -> pa.RecordBatch:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        texts = pa.array([compress(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *(batch.column(k) for k in _KEY), texts], ["doc_id", *_KEY, "pressed"])
+
+    rows = _doc_rows(docs, id_col, text_col)
+    return map_batches(rows, press, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, id_hash bigint, text_hash bigint, pressed binary")
+
 
 def _doc_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias(ROW), text_or_empty(text_col).alias("text"))
+    text = text_or_empty(text_col)
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col).cast("string")).alias("id_hash"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def repeated_runs(docs: DataFrame, length: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(``__row``, first, number): runs of starts of strings of ``length`` bytes that start anywhere else too.
+def _refined(rows: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """(repeated runs, runs to take apart) of one level.
 
-    Bucket-pointer refinement with Spark's shuffles as the sort:
+    Buckets of one run are done. Runs whose class is shared are repeated. Where a
+    bucket has several classes, one run of each has to be taken apart. Counts are
+    partial sums, and one run stands for all of its class.
+    """
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    active = stored(rows.join(shared, "bucket"), f"repeat-active-{label}")
+    classes = stored(active.groupBy("bucket", "high", "low").agg(
+        F.count("*").alias("runs"), F.min(F.struct(*_KEY, "first", "packed")).alias("one")), f"repeat-classes-{label}")
+    whole = active.join(classes.where("runs > 1").select("bucket", "high", "low"), ["bucket", "high", "low"]).select(*_KEY, "first", "packed")
+    mixed = classes.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    return whole, classes.join(mixed, "bucket").select("one.*")
 
-    1. Starts of a document with the same pointer form a run, which enters the
-       initial bucket of the q-gram at its pointer. Buckets of one run are done.
-    2. Inside a bucket, runs are refined by the identifier of all their bytes.
-       Runs in a class with others are repeated. A bucket of one class is done.
-    3. In the other buckets one run per class is taken apart: its starts enter
-       buckets of their first half, and those met again are refined by the
-       bucket at the later offset, the second half, as two halves make the string.
 
-    Counts are partial sums per bucket and class, and one run stands for all of
-    its class, so a passage in every document is nowhere gathered.
+def repeated_runs(docs: DataFrame, length: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_hash, text_hash, first, packed): runs of starts of strings of ``length`` bytes that start anywhere else too.
+
+    Bucket-pointer refinement with Spark's shuffles as the sort. Starts of a
+    document with the same pointer form a run, which enters the initial bucket of
+    the q-gram around its pointer. Buckets of one run drop out, shared classes
+    are repeated, and what is left is refined by later offsets from the pointer:
+    runs are cut into parts of 16 and of one start, whose buckets reach ever
+    further to both sides until they are the strings themselves.
     """
     make = Buckets(length)
 
@@ -112,58 +168,39 @@ def repeated_runs(docs: DataFrame, length: int, id_col: str = "doc_id", text_col
             index += [i] * len(found)
             rows += found
             known_index += [i] * len(twice)
-            known += twice
-        n, names = len(known), ["bucket", "high", "low", "first", "packed"]
-        columns = list(zip(*rows)) if rows else [()] * 5
-        columns = [list(c) for c in columns]
-        columns = [c + x for c, x in zip(columns, [[None] * n, [None] * n, [None] * n, [k[0] for k in known], [k[1] << _FIELD for k in known]])]
-        return pa.table({ROW: batch.column(ROW).take(pa.array(index + known_index, pa.int64())), **{k: pa.array(c, pa.int64()) for k, c in zip(names, columns)}})
-
-    texts = _doc_rows(docs, id_col, text_col)
-    runs = stored(map_batches(texts.select(ROW, "text"), scan, f"{ROW} string, bucket bigint, high bigint, low bigint, first bigint, packed bigint"), "repeat-runs")
-    number = F.shiftright("packed", _FIELD)
-    known = runs.where("bucket is null").select(ROW, "first", number.alias("number"))
-    # A class known from one document alone still meets partners in others below.
-    shared = runs.where("bucket is not null").select("bucket").groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    active = stored(runs.where("bucket is not null").join(shared, "bucket"), "repeat-active")
-    classes = active.groupBy("bucket", "high", "low").agg(F.count("*").alias("runs"), F.min(F.struct(ROW, "first", "packed")).alias("one"))
-    classes = stored(classes, "repeat-classes")
-    whole = active.join(classes.where("runs > 1").select("bucket", "high", "low"), ["bucket", "high", "low"]).select(ROW, "first", number.alias("number"))
-
-    mixed = classes.groupBy("bucket").agg(F.count("*").alias("n_classes")).where("n_classes > 1").select("bucket")
-    apart = classes.join(mixed, "bucket").select(F.col(f"one.{ROW}").alias(ROW), F.col("one.first").alias("first"), F.col("one.packed").alias("packed"), (F.col("runs") > 1).alias("done"))
-    wanted = apart.groupBy(ROW).agg(F.collect_list(F.struct("first", "packed", "done")).alias("runs"))
-    half = length // 2
-
-    def take_apart(batch: pa.RecordBatch) -> pa.Table:
-        index, start, left, high, low, done = [], [], [], [], [], []
-        digest, bucket_of = xxhash.xxh3_128_digest, xxhash.xxh3_64_intdigest
-        for i, (text, some) in enumerate(zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist())):
-            view = memoryview(text.encode("utf-8", "surrogatepass"))
-            for run in some:
-                for at in range(run["first"], run["first"] + (run["packed"] >> _FIELD)):
-                    index.append(i)
-                    start.append(at)
-                    left.append(bucket_of(view[at : at + half]) - (1 << 63))
-                    a, b = _signed(digest(view[at : at + length]))
-                    high.append(a)
-                    low.append(b)
-                    done.append(run["done"])
-        numbers = {k: pa.array(v, pa.int64()) for k, v in (("first", start), ("left", left), ("high", high), ("low", low))}
-        return pa.table({ROW: batch.column(ROW).take(pa.array(index, pa.int64())), **numbers, "done": pa.array(done, pa.bool_())})
-
-    holders = texts.select(ROW, "text").join(wanted, ROW).dropDuplicates([ROW])
-    starts = stored(map_batches(holders, take_apart, f"{ROW} string, first bigint, left bigint, high bigint, low bigint, done boolean"), "repeat-starts")
-    twice = starts.groupBy("left", "high", "low").agg(F.count("*").alias("n")).where("n > 1").select("left", "high", "low")
-    single = starts.where("not done").join(twice, ["left", "high", "low"]).select(ROW, "first", F.lit(1).cast("long").alias("number"))
-    return known.union(whole).union(single)
+            known += [(None, None, None, *k) for k in twice]
+        return _table(batch, index + known_index, rows + known)
+
+    runs = stored(map_batches(_doc_rows(docs, id_col, text_col).select(*_KEY, "text"), scan, _ROWS), "repeat-runs")
+    found = [runs.where("bucket is null").select(*_KEY, "first", "packed")]
+    whole, apart = _refined(runs.where("bucket is not null"), "long")
+    found.append(whole)
+    for width in _WIDTHS:
+        def take_apart(batch: pa.RecordBatch, width: int = width) -> pa.Table:
+            index, rows = [], []
+            expand = zstandard.ZstdDecompressor().decompress
+            for i, (text, some) in enumerate(zip(batch.column("pressed").to_pylist(), batch.column("runs").to_pylist())):
+                part = make.parts(expand(text), some, width)
+                index += [i] * len(part)
+                rows += part
+            return _table(batch, index, rows)
+
+        wanted = apart.groupBy(*_KEY).agg(F.collect_list(F.struct("first", "packed")).alias("runs"))
+        # Rows equal in id and text hold the same strings, and those are repeated already.
+        holders = _pressed(docs, id_col, text_col).drop("doc_id").join(wanted, _KEY)
+        whole, apart = _refined(stored(map_batches(holders, take_apart, _ROWS), f"repeat-parts-{width}"), str(width))
+        found.append(whole)
+    out = found[0]
+    for more in found[1:]:
+        out = out.union(more)
+    return out
 
 
 def _removed(data: bytes, runs: list[dict], length: int) -> tuple[bytes, int, list[tuple[int, int]]]:
     """What is kept, the number of bytes removed, and the removed spans."""
     spans = []
     for run in sorted(runs, key=lambda r: r["first"]):
-        a, b = run["first"], run["first"] + run["number"] - 1 + length
+        a, b = run["first"], run["first"] + (run["packed"] >> _FIELD) - 1 + length
         if spans and a <= spans[-1][1]:
             spans[-1][1] = max(spans[-1][1], b)
         else:
@@ -186,13 +223,14 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     character. An empty table gives no rows; other columns are not read.
     """
     runs = repeated_runs(docs, length, id_col, text_col)
-    per_doc = runs.groupBy(ROW).agg(F.collect_set(F.struct("first", "number")).alias("runs"))
-    joined = _doc_rows(docs, id_col, text_col).join(per_doc, ROW, "left").drop(ROW)
+    per_doc = runs.groupBy(*_KEY).agg(F.collect_set(F.struct("first", "packed")).alias("runs"))
+    joined = _pressed(docs, id_col, text_col).join(per_doc, _KEY, "left").drop(*_KEY)
 
     def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for text, some in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
-            data = text.encode("utf-8", "surrogatepass")
+        expand = zstandard.ZstdDecompressor().decompress
+        for text, some in zip(batch.column("pressed").to_pylist(), batch.column("runs").to_pylist()):
+            data = expand(text)
             kept, gone, spans = _removed(data, some or [], length)
             out.append((len(data), gone, len(spans), [{"start": a, "end": b} for a, b in spans], hashlib.sha256(kept).hexdigest(), kept if with_kept else None))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.string(), pa.binary()]
