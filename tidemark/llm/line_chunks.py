@@ -66,9 +66,9 @@ def _chunk_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return map_batches(rows, run, f"row_key string, doc_id {kind}, line bigint, high bigint, low bigint")
 
 
-def _without(text: str, doomed: list[dict] | None) -> tuple[str, int, int]:
+def _without(text: str, doomed: list[dict]) -> tuple[str, int, int]:
     """The text without the doomed chunks whose bytes are those of the first occurrence; lines, lines removed."""
-    wanted = {d["line"]: d["body"] for d in doomed or ()}
+    wanted = {d["line"]: d["body"] for d in doomed}
     kept, n_lines, n_gone = [], 0, 0
     for at, body, size in chunks(text):
         n_lines += size
@@ -115,8 +115,9 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     firsts = repeated.groupBy(F.col("first_key").alias(ROW)).agg(F.collect_set("first_line").alias("lines"))
     holders = keyed.select(ROW, text_or_empty(text_col).alias("text")).join(firsts, ROW).dropDuplicates([ROW]).select("text", "lines")
     bodies = map_batches(holders, cut, "high bigint, low bigint, body binary")
+    # Bodies join the repeats, one row per chunk, before the repeats join the rows, of which one chunk may have many.
+    repeated = repeated.join(bodies, ["high", "low"])
     doomed = rows.join(repeated, ["high", "low"]).where((F.col("row_key") != F.col("first_key")) | (F.col("line") != F.col("first_line")))
-    doomed = doomed.select("row_key", "line", "high", "low").distinct().join(bodies, ["high", "low"])
     removals = doomed.groupBy(F.col("row_key").alias(ROW)).agg(F.collect_list(F.struct("line", "body")).alias("__doomed"))
 
     plain = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
