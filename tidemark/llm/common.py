@@ -39,6 +39,12 @@ def with_row_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.withColumn(ROW, row_key(id_col, text_col))
 
 
+def numbered(docs: DataFrame, *used: str) -> tuple:
+    """``docs`` with columns named c0, c1, …, and the new names of those used; no name of a caller meets one of an operator."""
+    names = docs.columns
+    return docs.toDF(*(f"c{i}" for i in range(len(names)))), *(f"c{names.index(u)}" for u in used)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again, so that a lost executor costs no recomputation."""
     path = new_folder(df.sparkSession, label)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ROW, lower_ascii, row_key, text_or_empty, with_row_key
+from tidemark.llm.common import ROW, lower_ascii, numbered, row_key, text_or_empty, with_row_key
 
 #: What separates words once A-Z are in lower case: ASCII without digits and small letters.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -108,13 +108,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 13, one_in: in
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove must be 'documents' or 'spans'")
+    names = docs.columns
+    docs, id_col, text_col = numbered(docs, id_col, text_col)
     report = contamination(docs, benchmark, n, one_in, id_col, text_col)
     hit = report.where("contaminated" if remove == "documents" else "n_hit > 0").select(
         F.col("row_key").alias(ROW), F.col("spans").alias("__spans")).dropDuplicates([ROW])
     keyed = with_row_key(docs, id_col, text_col)
     if remove == "documents":
-        return keyed.join(hit.select(ROW), ROW, "left_anti").select(*docs.columns)
+        return keyed.join(hit.select(ROW), ROW, "left_anti").select(*docs.columns).toDF(*names)
     joined = keyed.join(hit, ROW, "left")
     kept = F.filter(words_of(F.col(text_col)), lambda w, i: ~F.exists("__spans", lambda s: (s["start"] <= i) & (i < s["end"])))
     cleaned = F.when(F.col("__spans").isNotNull(), F.array_join(kept, " ")).otherwise(F.col(text_col))
-    return joined.select(*(cleaned.alias(c) if c == text_col else F.col(c) for c in docs.columns))
+    return joined.select(*(cleaned.alias(c) if c == text_col else F.col(c) for c in docs.columns)).toDF(*names)

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ROW, map_batches, row_key, stored, text_or_empty, with_row_key
+from tidemark.llm.common import ROW, map_batches, numbered, row_key, stored, text_or_empty, with_row_key
 
 #: A chunk ends after a line where the rolling hash over this many line hashes is divisible by ENDS.
 WINDOW, ENDS = 2, 3
@@ -94,6 +94,9 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     nowhere; the text of a repeated chunk travels once per distinct chunk and
     once per removal, other texts once, to meet their removals.
     """
+    docs = docs.select(*(c for c in docs.columns if c not in ("n_lines", "n_removed")))
+    names = docs.columns
+    docs, id_col, text_col = numbered(docs, id_col, text_col)
     rows = stored(_chunk_rows(docs, id_col, text_col), "chunk-rows")
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_key", "line")
     repeated = rows.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
@@ -120,7 +123,7 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     doomed = rows.join(repeated, ["high", "low"]).where((F.col("row_key") != F.col("first_key")) | (F.col("line") != F.col("first_line")))
     removals = doomed.groupBy(F.col("row_key").alias(ROW)).agg(F.collect_list(F.struct("line", "body")).alias("__doomed"))
 
-    plain = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    plain = docs.columns
     joined = keyed.select(*plain, ROW).join(removals, ROW, "left").drop(ROW)
     text_at = plain.index(text_col)
 
@@ -132,4 +135,4 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
         return pa.RecordBatch.from_arrays(columns, [*plain, "n_lines", "n_removed"])
 
     kinds = ", ".join(f"`{f.name}` {'string' if f.name == text_col else f.dataType.simpleString()}" for f in joined.schema.fields[:-1])
-    return map_batches(joined, clean, f"{kinds}, n_lines bigint, n_removed bigint")
+    return map_batches(joined, clean, f"{kinds}, n_lines bigint, n_removed bigint").toDF(*names, "n_lines", "n_removed")

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import INK, ROW, row_key, stored, text_or_empty, with_row_key
+from tidemark.llm.common import INK, ROW, numbered, row_key, stored, text_or_empty, with_row_key
 
 #: Units that one flight phase takes together.
 BLOCK = 4096
@@ -168,6 +168,8 @@ def mix(docs: DataFrame, weights: list[float], most: float = 3.0, id_col: str =
     """``docs`` as the mix takes them: rows not taken go, and a column ``copies`` says how often each other is taken."""
     mixed = mix_units(units_of(docs, id_col, text_col, source_col), weights, most).where("copies > 0").select(
         F.col("row_key").alias(ROW), F.col("source").alias("__source"), F.col("copies").alias("__copies"))
+    names = docs.columns
+    docs, id_col, text_col, source_col = numbered(docs, id_col, text_col, source_col)
     keyed = with_row_key(docs, id_col, text_col)
     joined = keyed.join(mixed, (keyed[ROW] == mixed[ROW]) & keyed[source_col].eqNullSafe(mixed["__source"]), "inner")
-    return joined.select(*(keyed[c] for c in docs.columns if c != "copies"), F.col("__copies").alias("copies"))
+    return joined.select(*(keyed[c].alias(name) for c, name in zip(docs.columns, names) if name != "copies"), F.col("__copies").alias("copies"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, text_or_empty
+from tidemark.llm.common import map_batches, numbered, text_or_empty
 from tidemark.llm.labelled import labelled_sample
 
 #: Labelled documents of each class that are fitted on, and preference pairs drawn from them.
@@ -102,20 +102,25 @@ def quality_scores(docs: DataFrame, ranking: Ranking | None, text_col: str = "te
     A null text is scored like an empty one. Rows and other columns stay as they
     are; a column of the same name is replaced. Nothing is shuffled.
     """
-    plain = [c for c in docs.columns if c != score_col]
+    text_col, docs = "c0", docs.select(F.col(text_col), *(c for c in docs.columns if c != score_col))
+    names = docs.columns[1:]
+    docs = docs.toDF(*(f"c{i}" for i in range(len(names) + 1)))
+    plain = docs.columns[1:]
     rows = docs.select(*plain, text_or_empty(text_col).alias("__text"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(len(plain)).to_pylist()
         scores = ranking.score(np.array([features(t) for t in texts])) if ranking and texts else np.full(len(texts), 0.5)
-        return pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(plain))), pa.array(scores, pa.float64())], [*plain, score_col])
+        return pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(plain))), pa.array(scores, pa.float64())], [*plain, "score"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return map_batches(rows, run, f"{kinds}, `{score_col}` double")
+    return map_batches(rows, run, f"{kinds}, score double").toDF(*names, score_col)
 
 
 def keep_good(docs: DataFrame, ranking: Ranking | None, text_col: str = "text", cut: float = CUT) -> DataFrame:
     """``docs`` without those scored below ``cut``; all stay if nothing could be fitted."""
     if ranking is None:
         return docs
-    return quality_scores(docs, ranking, text_col, "__score").where(F.col("__score") >= cut).select(*docs.columns)
+    names = docs.columns
+    docs, text_col = numbered(docs, text_col)
+    return quality_scores(docs, ranking, text_col).where(F.col("score") >= cut).drop("score").toDF(*names)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ROW, map_batches, row_key, stored, text_or_empty, with_row_key
+from tidemark.llm.common import ROW, map_batches, numbered, row_key, stored, text_or_empty, with_row_key
 from tidemark.llm.components import connected_components
 
 BITS, BLOCK_BITS = 64, 16
@@ -116,8 +116,10 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, s
     A row without an id stays only if its whole group has none. Of rows equal in
     id and text one stays.
     """
+    names = docs.columns
+    docs, id_col, text_col = numbered(docs, id_col, text_col)
     found = near_duplicates(docs, shingle, distance, seed, id_col, text_col)
     first = found.groupBy("group_print").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("f")).select(F.col("f.row_key").alias(ROW))
     kept = with_row_key(docs, id_col, text_col).join(first, ROW)
     one = Window.partitionBy(ROW).orderBy(F.lit(1))
-    return kept.withColumn("__nth", F.row_number().over(one)).where("__nth = 1").select(*docs.columns)
+    return kept.withColumn("__nth", F.row_number().over(one)).where("__nth = 1").select(*docs.columns).toDF(*names)

@@ -164,7 +164,10 @@ def toxicity_scores(docs: DataFrame, detector: Detector | None, text_col: str =
     stay as they are; a column of the same name is replaced. Nothing is shuffled;
     the detector (4 MB) goes to each worker once.
     """
-    plain = [c for c in docs.columns if c != score_col]
+    text_col, docs = "c0", docs.select(F.col(text_col), *(c for c in docs.columns if c != score_col))
+    names = docs.columns[1:]
+    docs = docs.toDF(*(f"c{i}" for i in range(len(names) + 1)))
+    plain = docs.columns[1:]
     rows = docs.select(*plain, F.array_remove(F.split(F.lower(text_or_empty(text_col)), BLANKS), "").alias("__words"))
     shared, key = docs.sparkSession.sparkContext.broadcast(detector), str(uuid.uuid4())
 
@@ -174,7 +177,7 @@ def toxicity_scores(docs: DataFrame, detector: Detector | None, text_col: str =
             _KNOWN[key] = {}
         words = batch.column(len(plain))
         scores = shared.value.scores(words, _KNOWN[key]) if shared.value else np.full(len(words), 0.5)
-        return pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(plain))), pa.array(scores, pa.float64())], [*plain, score_col])
+        return pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(plain))), pa.array(scores, pa.float64())], [*plain, "score"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return map_batches(rows, run, f"{kinds}, `{score_col}` double")
+    return map_batches(rows, run, f"{kinds}, score double").toDF(*names, score_col)
