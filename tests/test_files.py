@@ -19,50 +19,70 @@ def part_files(path, suffix=""):
 
 def test_json_round_trip(spark, tmp_path):
     path = str(tmp_path / "j")
-    data = [{"room": "101", "count": 5}]
-    assert sinks.write_json(spark.createDataFrame([("101", 5)], "room string, count int"), path) == "array"
+    frame = spark.createDataFrame([("north", 3, None), ('a "b" [c], {', 4, 1.5)], "wing string, beds int, note double")
+    sinks.write_json(frame, path, single_file=True)
     (file,) = part_files(path)
-    assert json.loads(file.read_text(encoding="utf-8")) == data
-    assert rows(sources.read_json_arrays(spark, path, "room string, count int")) == [("101", 5)]
+    assert json.loads(file.read_text(encoding="utf-8")) == [
+        {"wing": "north", "beds": 3, "note": None}, {"wing": 'a "b" [c], {', "beds": 4, "note": 1.5}]
+    assert sorted(rows(sources.read_json_arrays(spark, path, "wing string, beds int"))) == [('a "b" [c], {', 4), ("north", 3)]
 
 
 def test_json_of_plain_values_and_text(spark, tmp_path):
     path = str(tmp_path / "j")
-    sinks.write_json(spark.createDataFrame([("Ёж <&>",), ("b",)], "value string"), path)
+    sinks.write_json(spark.createDataFrame([("Ёж <&>",), ("b",), (None,)], "value string"), path, single_file=True)
     text = part_files(path)[0].read_text(encoding="utf-8")
-    assert "Ёж" in text and sorted(json.loads(text)) == ["b", "Ёж <&>"]
+    assert "Ёж" in text and json.loads(text) == ["Ёж <&>", "b", None]
 
 
-def test_large_json_becomes_lines(spark, tmp_path):
-    path = str(tmp_path / "j")
-    assert sinks.write_json(spark.range(100), path, document_rows=10) == "lines"
-    assert spark.read.schema("id long").json(path).count() == 100
+def test_json_keeps_all_rows_in_order_beyond_any_limit(spark, tmp_path):
+    many, one, none = (str(tmp_path / n) for n in ("many", "one", "none"))
+    frame = spark.range(120_000).repartition(4).orderBy("id")
+    sinks.write_json(frame, many)
+    assert sources.read_json_arrays(spark, many, "id long").distinct().count() == 120_000
+    arrays = [json.loads(f.read_text()) for f in part_files(many)]
+    assert [r["id"] for a in arrays for r in a] == list(range(120_000))
+    sinks.write_json(frame, one, single_file=True)
+    (file,) = part_files(one)
+    assert [r["id"] for r in json.loads(file.read_text())] == list(range(120_000))
+    sinks.write_json(frame.limit(0), none, single_file=True)
+    assert json.loads(part_files(none)[0].read_text()) == []
 
 
 def test_xml(spark, tmp_path):
     path = str(tmp_path / "x")
-    df = spark.createDataFrame([("101", 5, None), ("<&>", 6, "Ё")], "room string, count int, note string")
-    assert sinks.write_xml(df.coalesce(1), path, "rooms", "room") == "document"
-    root = ET.fromstring(part_files(path)[0].read_text(encoding="utf-8"))
-    assert root.tag == "rooms"
-    assert [[(e.tag, e.text) for e in item] for item in root] == [
-        [("room", "101"), ("count", "5"), ("note", "None")], [("room", "<&>"), ("count", "6"), ("note", "Ё")]]
+    frame = spark.createDataFrame([("north", None), ("<&>", "Ё")], "wing string, note string")
+    sinks.write_xml(frame, path, "wings", "wing", single_file=True)
+    (file,) = part_files(path)
+    root = ET.fromstring(file.read_text(encoding="utf-8"))
+    assert root.tag == "wings" and [{e.tag: e.text for e in entry} for entry in root] == [{"wing": "north", "note": "None"}, {"wing": "<&>", "note": "Ё"}]
     plain = str(tmp_path / "p")
-    sinks.write_xml(spark.createDataFrame([("a",), ("b",)], "value string"), plain)
+    sinks.write_xml(spark.createDataFrame([("a",), ("b",)], "value string"), plain, single_file=True)
     root = ET.fromstring(part_files(plain)[0].read_text(encoding="utf-8"))
-    assert root.tag == "items" and sorted((e.tag, e.text) for e in root) == [("item", "a"), ("item", "b")]
+    assert root.tag == "items" and [(e.tag, e.text) for e in root] == [("item", "a"), ("item", "b")]
 
 
-def test_large_xml_is_written_in_parts(spark, tmp_path):
+def test_xml_is_written_in_parts(spark, tmp_path):
     path = str(tmp_path / "x")
-    assert sinks.write_xml(spark.range(0, 100, 1, 4), path, document_rows=10) == "parts"
+    sinks.write_xml(spark.range(0, 100, 1, 4), path)
     found = [e.find("id").text for f in part_files(path) for e in ET.fromstring(f.read_text())]
-    assert sorted(map(int, found)) == list(range(100))
+    assert sorted(map(int, found)) == list(range(100)) and len(part_files(path)) == 4
+
+
+def test_a_large_csv_file_is_read_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "c")
+    sinks.write_csv(spark.range(200_000).selectExpr("id", "repeat('x', 40) AS pad").coalesce(1), path)
+    assert len(part_files(path)) == 1
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        back = sources.read_csv(spark, path, "id long, pad string")
+        assert back.rdd.getNumPartitions() > 4 and back.count() == 200_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_csv_missing_values_and_quotes(spark, tmp_path):
     (tmp_path / "a.csv").write_text('n,s\n1,"two\nlines, ""quoted"""\nNA,null\nbad,ok\n')
-    got = rows(sources.read_csv(spark, str(tmp_path), "n int, s string"))
+    got = rows(sources.read_csv(spark, str(tmp_path), "n int, s string"), multi_line=True)
     assert got == [(1, 'two\nlines, "quoted"'), (None, None), (None, "ok")]
 
 

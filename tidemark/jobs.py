@@ -65,9 +65,9 @@ def export(reports: Mapping[str, DataFrame], path: str, fmt: str) -> None:
         raise ValueError(f"format {fmt!r} is neither json nor xml")
     for name, df in reports.items():
         if fmt == "json":
-            write_json(df, f"{path}/json_output/{name}")
+            write_json(df, f"{path}/json_output/{name}", single_file=True)
         else:
-            write_xml(df, f"{path}/xml_output/{name}", "rooms", "room")
+            write_xml(df, f"{path}/xml_output/{name}", "rooms", "room", single_file=True)
 
 
 def rooms_job(

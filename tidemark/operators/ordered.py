@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from tidemark.session import checkpointed
 
 
+def block_of(column: str, block: int) -> Column:
+    """The number of the block of ``block`` consecutive integers that holds a value, in whole numbers throughout."""
+    return F.expr(f"(`{column}` - pmod(`{column}`, {int(block)})) div {int(block)}")
+
+
 def running_total(
     df: DataFrame, keys: list[str], order: list[str], weight: Column, name: str, total: str | None = None
 ) -> DataFrame:

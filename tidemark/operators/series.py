@@ -11,13 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordered import block_of
+
 BLOCK = 65_536
 
 
 def _blocked(df: DataFrame, series: str, pos: str, val: str, block: int) -> DataFrame:
     return df.select(
         F.col(series).alias("series"),
-        F.floor(F.col(pos) / F.lit(block)).alias("block"),
+        block_of(pos, block).alias("block"),
         F.col(pos).alias("pos"),
         F.col(val).alias("val"),
     )

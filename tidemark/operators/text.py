@@ -6,73 +6,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.arrays import words
-from tidemark.operators.ordered import running_total
-
-# Values one aggregated text may hold; longer lists continue in further rows.
-VALUES_PER_ROW = 100_000
+from tidemark.operators.ordered import block_of
 
 
 def string_agg(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    name: str,
-    sep: str = ", ",
-    tie: list[str] | None = None,
-    distinct: bool = False,
-    at_most: int | None = None,
-    values_per_row: int = VALUES_PER_ROW,
+    df: DataFrame, keys: list[str], value: str, name: str, sep: str = ", ", distinct: bool = False
 ) -> DataFrame:
-    """The values of each group joined in ascending order, NULL skipped, NULL if there are none.
+    """One row per group: its values joined in ascending order, NULL skipped, NULL if there are none.
 
-    ``list_part`` is 1 for every group that fits one text. A group with more
-    than ``values_per_row`` values continues in rows 2, 3, … in order, so no
-    text and no task grows with the group. Without ``distinct``, ``tie`` names
-    columns that make the order unique. ``at_most`` is a bound on the values
-    of any one group if the caller knows one, such as the size of the table
-    the values come from; without it the largest group is counted first.
+    Equal values are counted first, with partial counts, so a group is gathered
+    as its distinct values only. A text is one value of a row and has to fit
+    one (2 GB); beyond that the query fails and cuts nothing.
     """
-    tie = tie or []
-    rows = df.select(*keys, value, *[c for c in tie if c not in keys and c != value])
-    if distinct:
-        tie = []
-    widest = at_most
-    if widest is None:
-        # No group holds more values than there are in all; a sketch of that number needs no shuffle.
-        found = rows.agg(F.approx_count_distinct(F.struct(value, *tie)).alias("n")).first()["n"]
-        widest = 2 * found
-    if distinct:
-        rows = rows.select(*keys, value).distinct()
-    filled = rows.filter(F.col(value).isNotNull())
-    if widest > values_per_row:
-        widest = filled.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
-    if (widest or 0) <= values_per_row:
-        return rows.groupBy(*keys).agg(
-            F.array_join(_sorted_values(value, tie), sep).alias("_text"), F.count(value).alias("_n")
-        ).select(*keys, F.lit(1).alias("list_part"), F.when(F.col("_n") > 0, F.col("_text")).alias(name))
-
-    at = running_total(filled, keys, [value, *tie], F.lit(1), "_at")
-    listed = (
-        at.withColumn("list_part", F.ceil(F.col("_at") / F.lit(values_per_row)).cast("int"))
-        .groupBy(*keys, "list_part")
-        .agg(F.array_join(_sorted_values(value, tie), sep).alias(name))
-    )
-    without = rows.groupBy(*keys).agg(F.count(value).alias("_n")).filter("_n = 0")
-    return listed.unionByName(
-        without.select(*keys, F.lit(1).alias("list_part"), F.lit(None).cast("string").alias(name))
-    )
-
-
-def rows_per_group(values: int, values_per_row: int = VALUES_PER_ROW) -> int:
-    """Rows that a group of so many values may take up."""
-    return max(1, -(-values // values_per_row))
+    counted = df.groupBy(*keys, value).agg(F.count(value).cast("int").alias("_n"))
+    known = F.when(F.col(value).isNotNull(), F.struct(F.col(value).alias("v"), F.col("_n").alias("n")))
+    grouped = counted.groupBy(*keys).agg(F.sort_array(F.collect_list(known)).alias("_values"))
 
+    def text(x: Column) -> Column:
+        one = x["v"].cast("string")
+        return one if distinct else F.when(x["n"] == 1, one).otherwise(F.array_join(F.array_repeat(one, x["n"]), sep))
 
-def _sorted_values(value: str, tie: list[str]) -> Column:
-    if not tie:
-        return F.sort_array(F.collect_list(value))
-    kept = F.collect_list(F.when(F.col(value).isNotNull(), F.struct(value, *tie)))
-    return F.sort_array(kept).getField(value)
+    return grouped.select(*keys, F.when(F.size("_values") > 0, F.array_join(F.transform("_values", text), sep)).alias(name))
 
 
 def word_index(df: DataFrame, id_column: str, text: Column, block: int = 4096) -> DataFrame:
@@ -83,6 +37,6 @@ def word_index(df: DataFrame, id_column: str, text: Column, block: int = 4096) -
     """
     return (
         df.select(F.col(id_column).alias("id"), F.explode(words(text)).alias("term"))
-        .groupBy("term", F.floor(F.col("id") / F.lit(block)).alias("block"))
+        .groupBy("term", block_of("id", block).alias("block"))
         .agg(F.count(F.lit(1)).alias("n_ids"), F.sort_array(F.collect_list("id")).alias("ids"))
     )

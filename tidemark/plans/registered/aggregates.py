@@ -241,14 +241,14 @@ def a25(t):
 
 
 @query("A26_group_concat", """
-SELECT c_nationkey, 1 AS list_part, string_agg(c_name, ', ' ORDER BY c_name, c_custkey) AS names FROM customer GROUP BY c_nationkey
+SELECT c_nationkey, string_agg(c_name, ', ' ORDER BY c_name, c_custkey) AS names FROM customer GROUP BY c_nationkey
 """)
 def a26(t):
-    return string_agg(t.customer, ["c_nationkey"], "c_name", "names", tie=["c_custkey"])
+    return string_agg(t.customer, ["c_nationkey"], "c_name", "names")
 
 
 @query("A26_group_concat_distinct", """
-SELECT l_orderkey, 1 AS list_part, string_agg(DISTINCT l_returnflag, ', ' ORDER BY l_returnflag) AS flags FROM lineitem GROUP BY l_orderkey
+SELECT l_orderkey, string_agg(DISTINCT l_returnflag, ', ' ORDER BY l_returnflag) AS flags FROM lineitem GROUP BY l_orderkey
 """)
 def a26_distinct(t):
     return string_agg(t.lineitem, ["l_orderkey"], "l_returnflag", "flags", distinct=True)

@@ -100,7 +100,7 @@ def s08(t):
 def s09(t):
     path = new_folder(t.spark, "csv")
     sinks.write_csv(t.documents.select("doc_id", "n_chars", "text"), path)
-    back = sources.read_csv(t.spark, path, "doc_id long, n_chars long, text string", na_values=[], trim=False)
+    back = sources.read_csv(t.spark, path, "doc_id long, n_chars long, text string", na_values=[], multi_line=True, trim=False)
     return back.select("doc_id", F.md5("text").alias("digest"), "n_chars")
 
 

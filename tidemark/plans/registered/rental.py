@@ -16,7 +16,7 @@ from tidemark.functions.scalars import first_letter_up
 from tidemark.operators.joins import without
 from tidemark.operators.policy import apply_row_policy
 from tidemark.operators.ranking import highest_levels, reaching_kth, top_k
-from tidemark.operators.text import rows_per_group, string_agg
+from tidemark.operators.text import string_agg
 from tidemark.plans import rental as r
 from tidemark.registry import Tables, query
 from tidemark.session import new_folder
@@ -255,18 +255,18 @@ def q16(t):
 
 def _film_list(t: Tables, actor_name, title) -> DataFrame:
     named = casts(t).join(t.supplier.select("s_suppkey", actor_name.alias("actor")), "s_suppkey")
-    listed = string_agg(named, ["p_partkey"], "actor", "actors", tie=["s_suppkey"], at_most=t.supplier.count())
+    listed = string_agg(named, ["p_partkey"], "actor", "actors")
     return t.part.join(listed, "p_partkey").select(
         F.col("p_partkey").alias("fid"), title.alias("title"), F.col("p_type").alias("category"),
         F.col("p_retailprice").alias("price"), F.col("p_size").alias("length"), F.col("p_brand").alias("rating"),
-        "list_part", "actors",
+        "actors",
     )
 
 
 def _film_list_sql(actor: str, title: str) -> str:
     return f"""
 SELECT p_partkey AS fid, {title} AS title, p_type AS category, p_retailprice AS price, p_size AS length,
-       p_brand AS rating, 1 AS list_part, string_agg({actor}, ', ' ORDER BY {actor}, s_suppkey) AS actors
+       p_brand AS rating, string_agg({actor}, ', ' ORDER BY {actor}, s_suppkey) AS actors
 FROM part JOIN (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) ON p_partkey = l_partkey
 JOIN supplier ON l_suppkey = s_suppkey
 GROUP BY p_partkey, p_name, p_type, p_retailprice, p_size, p_brand
@@ -291,20 +291,17 @@ WITH titles AS (
   SELECT l_suppkey, p_type, string_agg(p_name, ', ' ORDER BY p_name, p_partkey) AS titles
   FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) JOIN part ON p_partkey = l_partkey
   GROUP BY l_suppkey, p_type)
-SELECT s_suppkey, s_name, 1 AS list_part,
+SELECT s_suppkey, s_name,
        string_agg(DISTINCT p_type || ': ' || titles, ', ' ORDER BY p_type || ': ' || titles) AS film_info
 FROM supplier LEFT JOIN titles ON s_suppkey = l_suppkey GROUP BY s_suppkey, s_name
 """)
 def q19(t):
     titles = casts(t).join(t.part.select("p_partkey", "p_type", "p_name"), "p_partkey")
-    parts, types = t.part.count(), t.part.select("p_type").distinct().count()
-    per_type = string_agg(titles, ["s_suppkey", "p_type"], "p_name", "titles", tie=["p_partkey"], at_most=parts)
+    per_type = string_agg(titles, ["s_suppkey", "p_type"], "p_name", "titles")
     entries = per_type.select("s_suppkey", F.concat("p_type", F.lit(": "), "titles").alias("entry"))
-    info = string_agg(
-        entries, ["s_suppkey"], "entry", "film_info", distinct=True, at_most=types * rows_per_group(parts)
-    )
+    info = string_agg(entries, ["s_suppkey"], "entry", "film_info", distinct=True)
     return t.supplier.select("s_suppkey", "s_name").join(info, "s_suppkey", "left").select(
-        "s_suppkey", "s_name", F.coalesce("list_part", F.lit(1)).alias("list_part"), "film_info"
+        "s_suppkey", "s_name", "film_info"
     )
 
 
@@ -503,7 +500,7 @@ def g10_none(t):
 
 
 @query("G08_group_concat", """
-SELECT p_brand, 1 AS list_part, string_agg(DISTINCT p_name, ', ' ORDER BY p_name) AS names FROM part GROUP BY p_brand
+SELECT p_brand, string_agg(DISTINCT p_name, ', ' ORDER BY p_name) AS names FROM part GROUP BY p_brand
 """)
 def g08(t):
     return string_agg(t.part, ["p_brand"], "p_name", "names", distinct=True)

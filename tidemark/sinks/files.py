@@ -3,33 +3,44 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.tables.versions import Snapshots
 
-# Rows up to which a result may be written as one document by one task.
-SINGLE_DOCUMENT_ROWS = 100_000
 
+def _array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of one JSON array around the JSON texts of a partition."""
+    mark = "["
+    for batch in batches:
+        lines = []
+        for text in batch.column(0).to_pylist():
+            if text is not None:
+                lines.append(mark + text)
+                mark = ","
+        yield pa.RecordBatch.from_pydict({"value": lines})
+    yield pa.RecordBatch.from_pydict({"value": ["[]" if mark == "[" else "]"]})
 
-def _fits_one_document(df: DataFrame, limit: int) -> bool:
-    return df.limit(limit + 1).count() <= limit
 
+def write_json(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """One JSON array per part file, written in parallel and row by row at any size.
 
-def write_json(df: DataFrame, path: str, document_rows: int = SINGLE_DOCUMENT_ROWS) -> str:
-    """A small result as one JSON array file, a larger one as parallel JSON lines; says which.
-
-    A frame with the single column ``value`` becomes an array of plain values.
+    ``single_file`` writes one array with one task, for results known to be
+    small; rows keep the order of a sorted frame. A frame with the single column
+    ``value`` becomes an array of plain values.
     """
-    if not _fits_one_document(df, document_rows):
-        df.write.mode("overwrite").json(path)
-        return "lines"
-    item = F.col("value") if df.columns == ["value"] else F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    options = {"ignoreNullFields": "false"}
-    df.agg(F.to_json(F.collect_list(item), options).alias("value")).coalesce(1).write.mode("overwrite").text(path)
-    return "array"
+    item = F.array("value") if df.columns == ["value"] else F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    text = F.to_json(item, {"ignoreNullFields": "false"})
+    if df.columns == ["value"]:
+        text = F.substring(text, 2, F.length(text) - 2)  # the value without the brackets of its array
+    rows = df.select(text.alias("value"))
+    if single_file:
+        # The null row is written as nothing; with it a result without rows is an empty array.
+        rows = rows.union(df.sparkSession.range(1).select(F.lit(None).cast("string"))).coalesce(1)
+    rows.mapInArrow(_array_lines, "value string").write.mode("overwrite").text(path)
 
 
 def write_json_arrays(df: DataFrame, path: str, block: str) -> None:
@@ -44,24 +55,20 @@ def write_json_arrays(df: DataFrame, path: str, block: str) -> None:
     )
 
 
-def write_xml(
-    df: DataFrame, path: str, root: str = "items", item: str = "item", document_rows: int = SINGLE_DOCUMENT_ROWS
-) -> str:
+def write_xml(df: DataFrame, path: str, root: str = "items", item: str = "item", single_file: bool = False) -> None:
     """XML with one ``item`` element per row below ``root``; a missing value is the text ``None``.
 
-    A small result is one document; a larger one is written in parallel, one
-    document per part file. A frame with the single column ``value`` gives
-    elements with plain content.
+    One document per part file, written in parallel at any size; ``single_file``
+    writes one document with one task, for results known to be small. A frame
+    with the single column ``value`` gives elements with plain content.
     """
     text = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("None")).alias(c) for c in df.columns]
     rows = df.select(*text)
     if df.columns == ["value"]:
         rows = rows.select(F.col("value").alias("_VALUE"))
-    single = _fits_one_document(df, document_rows)
-    if single:
+    if single_file:
         rows = rows.coalesce(1)
     rows.write.mode("overwrite").format("xml").option("rootTag", root).option("rowTag", item).save(path)
-    return "document" if single else "parts"
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -75,6 +82,10 @@ def append_documents(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+# Files that the rows of one month are spread over at most.
+MONTH_FILES = 8
+
+
 class StoredView:
     """A query result kept as a table and computed on request; readers see the last finished refresh."""
 
@@ -99,5 +110,7 @@ def write_by_month(
     """Rows of ``[first, stop)`` written to one folder per month; returns the rows outside that range."""
     inside = (F.col(ts) >= F.lit(first)) & (F.col(ts) < F.lit(stop))
     kept = df.filter(inside).withColumn(month, F.date_format(ts, "yyyy-MM"))
+    # Rows of a month meet in a few tasks, so that a month has a few files and not one per task.
+    kept = kept.withColumn("_salt", F.pmod(F.xxhash64(ts), F.lit(MONTH_FILES))).repartition(month, "_salt").drop("_salt")
     kept.write.mode("overwrite").partitionBy(month).parquet(path)
     return df.filter(~F.coalesce(inside, F.lit(False)))

@@ -28,10 +28,14 @@ def read_csv(
     path: str | list[str],
     schema: T.StructType | str,
     na_values: list[str] = NA_VALUES,
-    multi_line: bool = True,
+    multi_line: bool = False,
     trim: bool = True,
 ) -> DataFrame:
-    """CSV with a header; texts in ``na_values`` become NULL before the columns get their types."""
+    """CSV with a header; texts in ``na_values`` become NULL before the columns get their types.
+
+    Large files are split over tasks. ``multi_line`` allows line feeds inside
+    quoted texts, and makes every file one task.
+    """
     wanted = _struct(schema)
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted.fields])
     raw = (

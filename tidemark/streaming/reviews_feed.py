@@ -13,13 +13,17 @@ from tidemark.streaming.feeds import consume
 
 def ingest(
     spark: SparkSession, landing: str, documents: str, checkpoint: str, columns: list[str],
-    at: str = "at", content: str = "content",
+    at: str = "at", content: str = "content", multi_line: bool = True,
 ) -> int:
-    """Clean every new, non-empty file and append its rows; returns the batches handled."""
+    """Clean every new, non-empty file and append its rows; returns the batches handled.
+
+    Reviews may hold line feeds, which makes every file one task: land them in
+    files of bounded size, or say ``multi_line=False`` where they hold none.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     raw = (
         spark.readStream.schema(schema)
-        .option("header", True).option("multiLine", True).option("escape", '"')
+        .option("header", True).option("multiLine", multi_line).option("escape", '"')
         .csv(landing)
     )
 
