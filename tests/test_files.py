@@ -82,7 +82,7 @@ def test_a_large_csv_file_is_read_by_several_tasks(spark, tmp_path):
 
 def test_csv_missing_values_and_quotes(spark, tmp_path):
     (tmp_path / "a.csv").write_text('n,s\n1,"two\nlines, ""quoted"""\nNA,null\nbad,ok\n')
-    got = rows(sources.read_csv(spark, str(tmp_path), "n int, s string"), multi_line=True)
+    got = rows(sources.read_csv(spark, str(tmp_path), "n int, s string", multi_line=True))
     assert got == [(1, 'two\nlines, "quoted"'), (None, None), (None, "ok")]
 
 

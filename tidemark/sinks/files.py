@@ -21,7 +21,7 @@ def _array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if text is not None:
                 lines.append(mark + text)
                 mark = ","
-        yield pa.RecordBatch.from_pydict({"value": lines})
+        yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
     yield pa.RecordBatch.from_pydict({"value": ["[]" if mark == "[" else "]"]})
 
 
