@@ -110,17 +110,95 @@ def test_failed_run_leaves_an_audit_row_and_repeats(spark, tmp_path, monkeypatch
     assert chain.process_silver() == "Processed 3 rows into Silver."
 
 
-def test_write_that_was_never_committed_is_replaced(spark, tmp_path):
+def ids(spark, first, stop):
+    return spark.range(first, stop).select(F.col("id").cast("int").alias("id"))
+
+
+def orphan(df, log, write="w-lost"):
+    """A write that was lost before its commit."""
+    df.withColumn("_action", F.lit("INSERT")).write.parquet(log._folder(write))
+
+
+def test_write_that_was_never_committed(spark, tmp_path):
     log = ChangeLog(spark, str(tmp_path), "id int", "id")
-    log.append(spark.range(3).select(F.col("id").cast("int")), batch="a")
-    spark.range(7).selectExpr("cast(id + 10 as int) id", "'INSERT' _action").write.parquet(log._folder(2))
+    log.append(ids(spark, 0, 3), batch="a")
+    orphan(ids(spark, 10, 17), log)
+    orphan(ids(spark, 20, 29), log, "batch-b")
     assert log.current().count() == 3
-    assert log.append(spark.range(2).selectExpr("cast(id + 50 as int) id"), batch="b") == 2
+    assert log.append(ids(spark, 50, 52), batch="b") == 2
+    assert sorted(rows(log.current())) == [(0,), (1,), (2,), (50,), (51,)]
+    assert log.append(ids(spark, 0, 9), batch="b") == 2  # what the batch added the first time
     assert log.current().count() == 5
-    assert log.append(spark.range(9).selectExpr("cast(id as int) id"), batch="b") == 0
+    log.drop()
+    log.undrop()
     assert log.current().count() == 5
 
 
+def test_two_writers_keep_the_rows_of_both(spark, tmp_path, monkeypatch):
+    one, two = (ChangeLog(spark, str(tmp_path), "id int", "id") for _ in range(2))
+    one.append(ids(spark, 0, 2))
+    held = two.commits.state()
+    assert one.append(ids(spark, 10, 20)) == 10
+    with monkeypatch.context() as patch:
+        patch.setattr(two.commits, "state", lambda *args, **kwargs: held)
+        assert two.append(ids(spark, 30, 33)) == 3
+        assert two.append(ids(spark, 0, 1), "DELETE") == 1
+    assert one.current().count() == 14
+    assert sorted(r[0] for r in rows(one.log(), "version")) == [1] * 2 + [2] * 14
+
+
+def recount(chain):
+    kept = ["stat_date", "airport_name", "total_flights", "passengers_served"]
+    whole = f.daily_stats(chain.silver.current()).select(*kept)
+    return sorted(rows(whole), key=str) == sorted(rows(chain.gold.current().select(*kept)), key=str)
+
+
+def test_gold_counts_committed_rows_once(spark, tmp_path):
+    chain = FlightsChain(spark, str(tmp_path), clock=clock())
+    batch = raw(spark, BATCHES[0])
+    orphan(f.silver_batch(batch, True, chain.clock()).select(*chain.silver.schema.names), chain.silver)
+    assert chain.process_gold() == "Gold Layer Updated. Rows merged: 0"
+    assert chain.gold.current().count() == 0
+    chain.land(batch)
+    assert chain.run() == ["Processed 3 rows into Silver.", "Gold Layer Updated. Rows merged: 2"]
+    assert recount(chain)
+
+
+def test_new_checkpoint_drops_no_rows(spark, tmp_path):
+    """Streams of the same generation behind new checkpoints count their batches from nought again."""
+    chain = FlightsChain(spark, str(tmp_path), clock=clock())
+    chain.land(raw(spark, BATCHES[0]))
+    chain.run()
+    chain.land(raw(spark, BATCHES[1]))
+    moved = FlightsChain(spark, str(tmp_path), clock=clock())
+    moved._checkpoint = lambda job: f"{tmp_path}/moved/{job}" if job == "silver" else chain._checkpoint(job)
+    assert moved.run() == ["Processed 1 rows into Silver.", "Gold Layer Updated. Rows merged: 1"]
+    assert moved.pending() == {"raw": False, "silver": False}
+    assert moved.silver.current().count() == 4 and recount(moved)
+
+
+def test_batch_that_fails_after_its_commit_is_reported_when_it_comes_again(spark, tmp_path, monkeypatch):
+    chain = FlightsChain(spark, str(tmp_path), clock=clock())
+    chain.land(raw(spark, BATCHES[0]))
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(f, "rejected", broken)
+        with pytest.raises(Exception):
+            chain.process_silver()
+    assert chain.silver.current().count() == 3
+    assert chain.process_silver() == "Processed 3 rows into Silver."
+    merge = chain.gold.write
+    with monkeypatch.context() as patch:
+        patch.setattr(chain.gold, "write", lambda *args: (merge(*args), broken()))
+        with pytest.raises(Exception):
+            chain.process_gold()
+    assert chain.process_gold() == "Gold Layer Updated. Rows merged: 2"
+    assert chain.silver.current().count() == 3 and recount(chain)
+
+
 def test_same_state_without_broadcasts(spark, tmp_path, monkeypatch):
     """The ways for large batches and large deletions give the same table."""
     from tidemark.operators import merge

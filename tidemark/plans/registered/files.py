@@ -179,7 +179,7 @@ def s12(t):
     home, documents = _reviews(t)
     reviews_feed.follow(
         t.spark, f"{home}/documents", documents.drop("batch").schema,
-        lambda batch, number: sinks.append_documents(batch, f"{home}/second"), f"{home}/second_checkpoint",
+        lambda batch, name: sinks.append_documents(batch, f"{home}/second"), f"{home}/second_checkpoint",
     )
     return t.spark.read.parquet(f"{home}/second").agg(F.count(F.lit(1)).alias("n"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -10,23 +11,31 @@ from pyspark.sql import functions as F
 
 
 def consume(
-    source: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, skip_empty: bool = True
+    source: DataFrame, handle: Callable[[DataFrame, str], None], checkpoint: str, skip_empty: bool = True
 ) -> int:
     """Hand everything new in ``source`` to ``handle`` and return the number of batches handled.
 
     The offset moves only after ``handle`` returns, so a failed batch comes
-    again under the same number. Empty batches are only reported back.
+    again under the same name. Names hold the id that the stream keeps in its
+    checkpoint, so a stream behind a new checkpoint never takes up old names.
+    Empty batches are only reported back.
     """
-    handled = [0]
+    handled, started, ids = [0], threading.Event(), []
 
     def each(batch: DataFrame, number: int) -> None:
         if skip_empty and batch.isEmpty():
             return
-        handle(batch, number)
+        started.wait()
+        handle(batch, f"{ids[0]}-{number}")
         handled[0] += 1
 
-    query = source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    query.trigger(availableNow=True).start().awaitTermination()
+    query = (
+        source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+    ids.append(query.id)
+    started.set()
+    query.awaitTermination()
     return handled[0]
 
 

@@ -14,7 +14,7 @@ from tidemark.operators.merge import absent_from, merge_daily_stats
 from tidemark.operators.policy import apply_row_policy
 from tidemark.plans import flights
 from tidemark.streaming.feeds import consume, has_pending
-from tidemark.tables.versions import ChangeLog, Snapshots, append_row, utc_now
+from tidemark.tables.versions import COMMIT_SCHEMA, ChangeLog, Snapshots, append_row, utc_now
 
 # The job names of the audit log.
 SILVER_JOB = "PROCESS_FLIGHTS_SILVER"
@@ -80,7 +80,7 @@ class FlightsChain:
         """Whether each stream has data it has not consumed."""
         return {
             "raw": has_pending(self.spark, self.landing, self._checkpoint("silver"), "*.parquet"),
-            "silver": has_pending(self.spark, f"{self.silver.path}/data", self._checkpoint("gold"), "*.parquet"),
+            "silver": has_pending(self.spark, self.silver.commits.path, self._checkpoint("gold"), "*.parquet"),
         }
 
     def process_silver(self) -> str:
@@ -96,12 +96,17 @@ class FlightsChain:
         return silver_message(self._run(SILVER_JOB, "silver", self.landing, flights.RAW_SCHEMA, merge))
 
     def process_gold(self) -> str:
-        """Add the statistics of newly inserted silver rows to gold; restored rows do not count."""
+        """Add the statistics of newly inserted silver rows to gold; restored rows do not count.
+
+        The stream follows silver's commits, so rows of a write that was lost
+        before its commit are never seen.
+        """
 
         def merge(batch: DataFrame, name: str) -> int:
-            if self.gold.commits.state(batch=name).batch_seen:
-                return 0
-            stats = flights.daily_stats(batch.filter(F.col("_action") == "INSERT")).persist()
+            known = self.gold.commits.state(batch=name).batch_rows
+            if known is not None:
+                return known
+            stats = flights.daily_stats(self.silver.rows_of(batch.filter(F.col("kind") == "INSERT"))).persist()
             try:
                 touched = stats.count()
                 if touched:
@@ -111,8 +116,7 @@ class FlightsChain:
                 stats.unpersist()
             return touched
 
-        folder = f"{self.silver.path}/data"
-        return gold_message(self._run(GOLD_JOB, "gold", folder, self.silver.log_schema, merge))
+        return gold_message(self._run(GOLD_JOB, "gold", self.silver.commits.path, COMMIT_SCHEMA, merge))
 
     def run(self) -> list[str]:
         """Both jobs in order over whatever has arrived."""
@@ -122,8 +126,8 @@ class FlightsChain:
         """One stream run and its audit row, which is also written for a run without data or a failed one."""
         rows = [0]
 
-        def handle(batch: DataFrame, number: int) -> None:
-            rows[0] += merge(batch, f"{self.generation}-{number}")
+        def handle(batch: DataFrame, name: str) -> None:
+            rows[0] += merge(batch, name)
 
         try:
             if has_pending(self.spark, folder, self._checkpoint(stream), "*.parquet"):

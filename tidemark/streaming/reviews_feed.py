@@ -27,10 +27,10 @@ def ingest(
         .csv(landing)
     )
 
-    def handle(batch: DataFrame, number: int) -> None:
+    def handle(batch: DataFrame, name: str) -> None:
         known = batch.select(*[F.when(~F.col(c).isin(NA_VALUES), F.col(c)).alias(c) for c in columns])
         rows = reviews.filled_and_stripped(known, content)
-        rows.sortWithinPartitions(at).write.mode("overwrite").parquet(f"{documents}/batch={number}")
+        rows.sortWithinPartitions(at).write.mode("overwrite").parquet(f"{documents}/batch=of-{name}")
 
     return consume(raw, handle, checkpoint)
 

@@ -1,16 +1,20 @@
 """Tables whose past can be read, kept as plain parquet folders.
 
-A ``ChangeLog`` only ever appends: every commit adds one folder
-``data/version=<n>`` of rows with an ``_action`` and then one row to
-``commits``. A version without a commit row does not exist, and a retried
-write replaces its own folder, so a lost job leaves nothing behind.
-
-A ``Snapshots`` table keeps one whole small table per version.
+A ``ChangeLog`` only ever appends: every commit writes one folder
+``data/write=<name>`` of rows with an ``_action`` and then one row to
+``commits`` that names the folder. A folder without a commit row does not
+exist for readers. Writes of a batch are named by the batch, so a retried one
+replaces its own folder; all others get a name of their own, so writers that
+meet never share a folder, and rows of both are kept.
+
+A ``Snapshots`` table keeps one whole small table per version. It replaces
+what it read, so it wants one writer at a time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -21,7 +25,7 @@ from pyspark.sql import types as T
 # Deleted keys, as counted by the commits, up to which they are broadcast to a scan.
 BROADCAST_KEYS = 500_000
 
-COMMIT_SCHEMA = "version long, committed_at timestamp, kind string, rows long, batch string"
+COMMIT_SCHEMA = "version long, committed_at timestamp, kind string, rows long, batch string, write string"
 
 
 def utc_now() -> dt.datetime:
@@ -37,6 +41,11 @@ def append_row(spark: SparkSession, path: str, schema: str, *values) -> None:
     row.write.mode("append").parquet(path)
 
 
+def _write_name(batch: str | None) -> str:
+    """A folder name that is no number, so that it is never read as one."""
+    return f"w-{uuid.uuid4().hex}" if batch is None else f"batch-{batch}"
+
+
 class Commits:
     """The commit rows of one table: few and small, read by the driver."""
 
@@ -51,38 +60,41 @@ class Commits:
                 raise
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
 
-    def add(self, version: int, kind: str, rows: int, batch: str | None, at: dt.datetime | None) -> None:
-        append_row(self.spark, self.path, COMMIT_SCHEMA, version, at or utc_now(), kind, rows, batch)
+    def add(
+        self, version: int, kind: str, rows: int, batch: str | None, at: dt.datetime | None, write: str | None = None
+    ) -> None:
+        append_row(self.spark, self.path, COMMIT_SCHEMA, version, at or utc_now(), kind, rows, batch, write)
 
-    def state(self, as_of: dt.datetime | None = None, batch: str | None = None) -> "State":
-        """What the commits up to a moment add up to, from one small aggregate."""
+    def state(self, as_of: dt.datetime | None = None, batch: str | None = None, after: int = 0) -> "State":
+        """What the commits up to a moment add up to, from one small aggregate; deletions count after a version."""
         rows = self.frame()
         if as_of is not None:
             rows = rows.filter(F.col("committed_at") <= F.lit(as_of))
 
-        def newest(*kinds: str) -> Column:
-            return F.coalesce(F.max(F.when(F.col("kind").isin(*kinds), F.col("version"))), F.lit(0))
+        def newest(kind: str) -> Column:
+            return F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("version"))), F.lit(0))
 
+        order = F.struct("version", "committed_at", "write")
+        late_delete = (F.col("kind") == "DELETE") & (F.col("version") > after)
         found = rows.agg(
             F.coalesce(F.max("version"), F.lit(0)).alias("last"),
             (newest("DROP") > newest("UNDROP")).alias("dropped"),
-            F.collect_list(F.when(F.col("kind") == "DELETE", F.struct("version", "rows"))).alias("deletes"),
-            newest("WRITE").alias("last_write"),
-            F.coalesce(F.bool_or(F.col("batch") == F.lit(batch)), F.lit(False)).alias("batch_seen"),
+            F.max(F.when(F.col("kind") == "WRITE", order))["write"].alias("last_write"),
+            F.max(F.when(F.col("batch") == F.lit(batch), F.col("rows"))).alias("batch_rows"),
+            F.coalesce(F.sum(F.when(late_delete, F.col("rows"))), F.lit(0)).alias("deleted"),
         ).first()
-        deletes = {d["version"]: d["rows"] for d in found["deletes"]}
-        return State(found["last"], found["dropped"], found["last_write"], found["batch_seen"], deletes)
+        return State(**found.asDict())
 
 
 @dataclass(frozen=True)
 class State:
-    """The newest version, the newest one written whole (0 if there is none), and the rows of each deletion."""
+    """The newest version, the folder written whole last, the rows a batch committed (None: not seen), rows deleted."""
 
     last: int
     dropped: bool
-    last_write: int
-    batch_seen: bool
-    deletes: dict[int, int]
+    last_write: str | None
+    batch_rows: int | None
+    deleted: int
 
 
 class _Versioned:
@@ -91,8 +103,8 @@ class _Versioned:
         self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         self.commits = Commits(spark, self.path)
 
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/data/version={version}"
+    def _folder(self, write: str) -> str:
+        return f"{self.path}/data/write={write}"
 
     def _live(self, as_of: dt.datetime | None = None) -> State:
         """The state now, or at a past moment; a dropped table has none now."""
@@ -129,39 +141,53 @@ class ChangeLog(_Versioned):
     def append(
         self, df: DataFrame, action: str = "INSERT", batch: str | None = None, at: dt.datetime | None = None
     ) -> int:
-        """Commit ``df`` as the next version and return its row count; a batch seen before adds nothing."""
+        """Commit ``df`` as the next version and return its row count.
+
+        A batch seen before adds nothing and returns what it added then.
+        """
         state = self.commits.state(batch=batch)
-        if state.batch_seen:
-            return 0
-        version = state.last + 1
+        if state.batch_rows is not None:
+            return state.batch_rows
+        write = _write_name(batch)
         rows = df.select(*self.schema.names).withColumn("_action", F.lit(action))
-        rows.write.mode("overwrite").parquet(self._folder(version))
-        n = self.spark.read.schema(self.log_schema).parquet(self._folder(version)).count()
-        self.commits.add(version, action, n, batch, at)
+        rows.write.mode("overwrite").parquet(self._folder(write))
+        n = self.spark.read.schema(self.log_schema).parquet(self._folder(write)).count()
+        self.commits.add(state.last + 1, action, n, batch, at, write)
         return n
 
-    def log(self, upto: int | None = None) -> DataFrame:
-        """All committed changes, with their ``version``."""
-        upto = self.commits.state().last if upto is None else upto
+    def log(self, upto: int | None = None, kind: str | None = None, after: int = 0) -> DataFrame:
+        """All committed changes, with their ``version``; or those of one kind, or after a version.
+
+        Commits name the folders, so the scan reads no folder but theirs.
+        """
+        commits = self.commits.frame().filter(F.col("write").isNotNull() & (F.col("version") > after))
+        if upto is not None:
+            commits = commits.filter(F.col("version") <= upto)
+        if kind is not None:
+            commits = commits.filter(F.col("kind") == kind)
+        return self.rows_of(commits)
+
+    def rows_of(self, commits: DataFrame) -> DataFrame:
+        """The changes that some commit rows stand for, with their ``version``."""
+        folders = T.StructType([*self.log_schema.fields, T.StructField("write", T.StringType())])
         try:
-            data = self.spark.read.schema(self.log_schema).parquet(f"{self.path}/data")
+            data = self.spark.read.schema(folders).parquet(f"{self.path}/data")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             empty = self.spark.createDataFrame([], self.log_schema)
-            return empty.withColumn("version", F.lit(0))
-        if "version" not in data.columns:
-            data = data.withColumn("version", F.lit(0))
-        return data.filter(F.col("version") <= upto)
+            return empty.withColumn("version", F.lit(0).cast("long"))
+        named = commits.select(F.col("version").alias("_at"), F.col("write").alias("_write"))
+        met = data.join(named, F.col("write") == F.col("_write"))
+        return met.select(*self.log_schema.names, F.col("_at").alias("version"))
 
-    def _gone(self, log: DataFrame, deletes: dict[int, int]) -> DataFrame:
-        """The keys of some deletions, each with its last one; broadcast if the commits say they are few."""
+    def _gone(self, upto: int, after: int, rows: int) -> DataFrame:
+        """The keys of deletions, each with its last one; broadcast if the commits say they are few."""
         gone = (
-            log.filter(F.col("version").isin(list(deletes)))
-            .groupBy(F.col(self.key).alias("_gone"))
+            self.log(upto, "DELETE", after).groupBy(F.col(self.key).alias("_gone"))
             .agg(F.max("version").alias("_gone_at"))
         )
-        return F.broadcast(gone) if sum(deletes.values()) <= BROADCAST_KEYS else gone
+        return F.broadcast(gone) if rows <= BROADCAST_KEYS else gone
 
     def current(self, as_of: dt.datetime | None = None) -> DataFrame:
         """The rows present now, or at a past moment.
@@ -173,14 +199,14 @@ class ChangeLog(_Versioned):
         return self._present(self._live(as_of))
 
     def _present(self, state: State) -> DataFrame:
-        log = self.log(state.last)
-        present = log
-        if state.deletes:
-            gone = self._gone(log, state.deletes)
+        """A deletion has read all versions before its own, and leaves alone what came beside or after it."""
+        present = self.log(state.last)
+        if state.deleted:
+            gone = self._gone(state.last, 0, state.deleted)
             present = (
-                log.filter(~F.col("version").isin(list(state.deletes)))
+                present.filter(F.col("_action") != "DELETE")
                 .join(gone, F.col(self.key) == F.col("_gone"), "left")
-                .filter(F.col("_gone_at").isNull() | (F.col("_gone_at") < F.col("version")))
+                .filter(F.col("_gone_at").isNull() | (F.col("_gone_at") <= F.col("version")))
             )
         return present.select(*self.schema.names)
 
@@ -194,10 +220,10 @@ class ChangeLog(_Versioned):
         down to those before they are compared.
         """
         then, now = self.commits.state(as_of), self._live()
-        since = {version: rows for version, rows in now.deletes.items() if version > then.last}
+        since = self.commits.state(after=then.last).deleted
         if not since:
             return 0
-        gone = self._gone(self.log(now.last), since)
+        gone = self._gone(now.last, then.last, since)
         touched = F.col(self.key) == F.col("_gone")
         old = self._present(then).filter(predicate).join(gone, touched, "left_semi")
         still = self._present(now).select(self.key).join(gone, touched, "left_semi")
@@ -214,18 +240,18 @@ class Snapshots(_Versioned):
     """A small table rewritten whole with every version."""
 
     def current(self, as_of: dt.datetime | None = None) -> DataFrame:
-        version = self._live(as_of).last_write
-        if not version:
+        write = self._live(as_of).last_write
+        if write is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._folder(version))
+        return self.spark.read.schema(self.schema).parquet(self._folder(write))
 
     def write(
         self, df: DataFrame, changed: int | None = None, batch: str | None = None, at: dt.datetime | None = None
     ) -> None:
         """Commit ``df`` as the next version. The folder read by ``df`` is never the one written."""
         state = self.commits.state(batch=batch)
-        if state.batch_seen:
+        if state.batch_rows is not None:
             return
-        version = state.last + 1
-        df.select(*self.schema.names).write.mode("overwrite").parquet(self._folder(version))
-        self.commits.add(version, "WRITE", changed or 0, batch, at)
+        write = _write_name(batch)
+        df.select(*self.schema.names).write.mode("overwrite").parquet(self._folder(write))
+        self.commits.add(state.last + 1, "WRITE", changed or 0, batch, at, write)
