@@ -1,21 +1,19 @@
-"""Rental reports on the sales tables.
+"""Rental reports on the sales tables, mapped onto the names that the reports use.
 
-Actors are suppliers, films are parts, a film's category is its type, and
-line items are at once inventory, rental and payment rows.
+Actors, staff and stores are suppliers, films are parts, a film's category is
+its type, and cities are nations. A supplier acts in the parts it supplies and
+stocks one copy of each; a copy is rented once per order and paid by lines.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.ordering import up
-from tidemark.functions.scalars import first_letter_up
-from tidemark.operators.joins import without
 from tidemark.operators.policy import apply_row_policy
-from tidemark.operators.ranking import highest_levels, reaching_kth, top_k
 from tidemark.operators.text import string_agg
 from tidemark.plans import rental as r
 from tidemark.registry import Tables, query
@@ -52,140 +50,170 @@ def casts(t: Tables) -> DataFrame:
     return pairs.distinct()
 
 
+def catalog(t: Tables) -> dict[str, DataFrame]:
+    """The sales tables under the names of the rental schema."""
+    pairs = casts(t).select(F.struct("p_partkey", "s_suppkey").alias("inventory_id"), "p_partkey", "s_suppkey")
+    copy = F.struct(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey"))
+    rental_id = F.struct("l_orderkey", "l_partkey", "l_suppkey")
+    rented = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey").distinct()
+    seller_name = [F.col("s_name").alias("first_name"), F.concat(F.lit("N"), "s_nationkey").alias("last_name")]
+    return {
+        "actor": t.supplier.select(F.col("s_suppkey").alias("actor_id"), *seller_name),
+        "film": t.part.select(
+            F.col("p_partkey").alias("film_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("description"),
+            F.col("p_retailprice").alias("rental_rate"), F.col("p_size").alias("length"), F.col("p_brand").alias("rating"),
+        ),
+        "category": t.part.select(F.col("p_type").alias("category_id"), F.col("p_type").alias("name")).distinct(),
+        "film_category": t.part.select(F.col("p_partkey").alias("film_id"), F.col("p_type").alias("category_id")),
+        "film_actor": casts(t).select(F.col("s_suppkey").alias("actor_id"), F.col("p_partkey").alias("film_id")),
+        "inventory": pairs.select(
+            "inventory_id", F.col("p_partkey").alias("film_id"), F.col("s_suppkey").alias("store_id")
+        ),
+        "rental": rented.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey").select(
+            rental_id.alias("rental_id"), copy.alias("inventory_id")
+        ),
+        "payment": t.lineitem.select(
+            rental_id.alias("rental_id"), (amount() * F.lit(Decimal("0.0001"))).alias("amount")
+        ),
+        "customer": t.customer.select(
+            F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("first_name"),
+            F.col("c_mktsegment").alias("last_name"), F.col("c_nationkey").alias("address_id"),
+            F.col("c_nationkey").alias("store_id"), (F.col("c_acctbal") > 0).alias("activebool"),
+            F.when(F.col("c_acctbal") > 0, 1).when(F.col("c_acctbal") < 0, 0).alias("active"),
+        ),
+        "staff": t.supplier.select(
+            F.col("s_suppkey").alias("staff_id"), *seller_name, F.col("s_nationkey").alias("address_id"),
+            F.col("s_suppkey").alias("store_id"),
+        ),
+        "store": t.supplier.select(
+            F.col("s_suppkey").alias("store_id"), F.col("s_suppkey").alias("manager_staff_id"),
+            F.col("s_nationkey").alias("address_id"),
+        ),
+        "address": t.nation.select(
+            F.col("n_nationkey").alias("address_id"), F.col("n_name").alias("address"),
+            F.col("n_nationkey").cast("string").alias("postal_code"), F.col("n_name").alias("phone"),
+            F.col("n_nationkey").alias("city_id"),
+        ),
+        "city": t.nation.select(
+            F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city"), F.col("n_regionkey").alias("country_id")
+        ),
+        "country": t.region.select(F.col("r_regionkey").alias("country_id"), F.col("r_name").alias("country")),
+    }
+
+
+def _as_double(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn(column, F.col(column).cast("double"))
+
+
+# An actor and the pairs of actor and film, in SQL.
+ACTOR_SQL = "s_suppkey AS actor_id, s_name AS first_name, 'N' || s_nationkey AS last_name"
+PAIRS_SQL = "(SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)"
+PLACES_SQL = "nation ON {} = n_nationkey JOIN region ON n_regionkey = r_regionkey"
+ADDRESS_SQL = (
+    'n_name AS address, CAST(n_nationkey AS VARCHAR) AS "zip code", n_name AS phone, n_name AS city, r_name AS country'
+)
+
+
 @query("Q06_parts_per_type", """
-SELECT p_type AS name, count(p_partkey) AS film_count FROM part GROUP BY p_type ORDER BY film_count DESC, name
+SELECT p_type AS name, count(p_partkey) AS film_count FROM part WHERE p_type IS NOT NULL
+GROUP BY p_type ORDER BY film_count DESC, name
 """)
 def q06(t):
-    return (
-        t.part.groupBy(F.col("p_type").alias("name")).agg(F.count("p_partkey").alias("film_count"))
-        .orderBy(F.desc("film_count"), up("name"))
-    )
+    return r.films_per_category(catalog(t))
 
 
-@query("Q07_supplier_orders", """
-SELECT s_suppkey, s_name, count(*) AS rental_count
-FROM supplier JOIN lineitem ON s_suppkey = l_suppkey JOIN orders ON l_orderkey = o_orderkey
-GROUP BY s_suppkey, s_name ORDER BY rental_count DESC, s_suppkey LIMIT 10
+@query("Q07_supplier_orders", f"""
+WITH rented AS (
+  SELECT l_partkey, count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey FROM lineitem)
+  JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey)
+SELECT {ACTOR_SQL}, CAST(sum(n) AS BIGINT) AS rental_count
+FROM supplier JOIN {PAIRS_SQL} ON s_suppkey = l_suppkey JOIN rented USING (l_partkey)
+GROUP BY s_suppkey, s_name, s_nationkey ORDER BY rental_count DESC, actor_id LIMIT 10
 """)
 def q07(t):
-    lines = t.lineitem.select("l_suppkey", "l_orderkey").join(
-        t.orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey"
-    )
-    counts = lines.groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.count(F.lit(1)).alias("rental_count"))
-    named = t.supplier.select("s_suppkey", "s_name").join(counts, "s_suppkey")
-    return top_k(named, 10, F.desc("rental_count"), up("s_suppkey"))
+    return r.actors_by_rentals(catalog(t), 10)
 
 
-@query("Q08_supplier_parts", """
-SELECT s_suppkey, s_name, count(DISTINCT l_partkey) AS film_count
+@query("Q08_supplier_parts", f"""
+SELECT {ACTOR_SQL}, count(DISTINCT l_partkey) AS film_count
 FROM supplier JOIN lineitem ON s_suppkey = l_suppkey
-GROUP BY s_suppkey, s_name ORDER BY film_count DESC, s_suppkey LIMIT 10
+GROUP BY s_suppkey, s_name, s_nationkey ORDER BY film_count DESC, actor_id LIMIT 10
 """)
 def q08(t):
-    counts = casts(t).groupBy("s_suppkey").agg(F.count("p_partkey").alias("film_count"))
-    named = t.supplier.select("s_suppkey", "s_name").join(counts, "s_suppkey")
-    return top_k(named, 10, F.desc("film_count"), up("s_suppkey"))
-
-
-def sales_by_type(t: Tables) -> DataFrame:
-    """Revenue of all ordered lines per part type, added up per part before the types are looked up."""
-    sold = t.lineitem.select("l_orderkey", "l_partkey", amount().alias("amount")).join(
-        t.orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey"
-    )
-    per_part = sold.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.sum("amount").alias("amount"))
-    return (
-        t.part.select("p_partkey", F.col("p_type").alias("name")).join(per_part, "p_partkey")
-        .groupBy("name").agg(F.sum("amount").alias("total"))
-    )
+    return r.actors_by_films(catalog(t), 10)
 
 
 _SALES_SQL = f"""
 SELECT p_type AS name, CAST(sum({AMOUNT_SQL}) AS DOUBLE) AS amount_sum
 FROM part JOIN lineitem ON p_partkey = l_partkey JOIN orders ON l_orderkey = o_orderkey
-GROUP BY p_type
+WHERE p_type IS NOT NULL AND l_suppkey IS NOT NULL GROUP BY p_type
 """
 
 
 @query("Q09_revenue_by_type", _SALES_SQL + "ORDER BY amount_sum DESC, name LIMIT 3")
 def q09(t):
-    return sales_by_type(t).select("name", in_units(F.col("total")).alias("amount_sum")).orderBy(
-        F.desc("amount_sum"), up("name")
-    ).limit(3)
+    return _as_double(r.revenue_by_category(catalog(t), 3), "amount_sum")
 
 
 @query("Q10_orders_without_items", """
-SELECT o_orderkey FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey WHERE l_orderkey IS NULL ORDER BY o_orderkey
+SELECT o_orderkey AS film_id, o_orderpriority AS title
+FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey WHERE l_orderkey IS NULL ORDER BY title, film_id
 """)
 def q10(t):
-    items = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"))
-    return without(t.orders.select("o_orderkey"), items, "o_orderkey").orderBy("o_orderkey")
+    """Orders as films and lines as their copies, since every part is stocked."""
+    return r.films_without_inventory({
+        "film": t.orders.select(F.col("o_orderkey").alias("film_id"), F.col("o_orderpriority").alias("title")),
+        "inventory": t.lineitem.select(F.col("l_orderkey").alias("film_id")),
+    })
 
 
 @query("Q10_parts_never_returned_large", """
-SELECT p_partkey, p_name FROM part
+SELECT p_partkey AS film_id, p_name AS title FROM part
 WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R' AND l_quantity > 40)
 ORDER BY p_name, p_partkey
 """)
 def q10_parts(t):
-    returned = t.lineitem.filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 40)).select(
-        F.col("l_partkey").alias("p_partkey")
+    returned = t.lineitem.filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 40))
+    return r.films_without_inventory(
+        catalog(t) | {"inventory": returned.select(F.col("l_partkey").alias("film_id"))}
     )
-    return without(t.part.select("p_partkey", "p_name"), returned, "p_partkey").orderBy("p_name", "p_partkey")
 
 
-def _small_parts_per_supplier(t: Tables) -> DataFrame:
-    small = t.part.filter(F.col("p_type") == "SMALL").select("p_partkey")
-    return casts(t).join(small, "p_partkey").groupBy("s_suppkey").agg(F.count("p_partkey").alias("film_count"))
-
-
-_SMALL_SQL = """
+_SMALL_SQL = f"""
 WITH counts AS (
-  SELECT s_suppkey, s_name, count(DISTINCT p_partkey) AS film_count
+  SELECT {ACTOR_SQL}, count(DISTINCT p_partkey) AS film_count
   FROM supplier JOIN lineitem ON s_suppkey = l_suppkey JOIN part ON l_partkey = p_partkey
-  WHERE p_type = 'SMALL' GROUP BY s_suppkey, s_name)
+  WHERE p_type = 'SMALL' GROUP BY s_suppkey, s_name, s_nationkey)
 """
 
 
 @query("Q11_threshold_ties", _SMALL_SQL + """
-SELECT s_suppkey, s_name, film_count FROM counts
+SELECT actor_id, first_name, last_name, film_count FROM counts
 WHERE film_count >= (SELECT min(film_count) FROM (SELECT film_count FROM counts ORDER BY film_count DESC LIMIT 3))
-ORDER BY film_count DESC, s_suppkey
+ORDER BY film_count DESC, actor_id
 """)
 def q11(t):
-    best = reaching_kth(_small_parts_per_supplier(t), "film_count", 3)
-    return best.join(t.supplier.select("s_suppkey", "s_name"), "s_suppkey").select(
-        "s_suppkey", "s_name", "film_count"
-    ).orderBy(F.desc("film_count"), up("s_suppkey"))
+    return r.top_actors_threshold(catalog(t), "SMALL", 3)
 
 
 @query("Q12_dense_rank", _SMALL_SQL + """
-SELECT s_suppkey, s_name, film_count, rank FROM (
+SELECT first_name, last_name, film_count, rank FROM (
   SELECT *, dense_rank() OVER (ORDER BY film_count DESC) AS rank FROM counts)
-WHERE rank <= 3 ORDER BY rank, s_suppkey
+WHERE rank <= 3 ORDER BY rank, last_name, first_name
 """)
 def q12(t):
-    best = highest_levels(_small_parts_per_supplier(t), "film_count", 3)
-    return best.join(t.supplier.select("s_suppkey", "s_name"), "s_suppkey").select(
-        "s_suppkey", "s_name", "film_count", "rank"
-    ).orderBy("rank", "s_suppkey")
+    return r.top_actors_dense_rank(catalog(t), "SMALL", 3)
 
 
 @query("Q13_conditional_counts", """
-SELECT n_nationkey, n_name,
+SELECT n_nationkey AS city_id, n_name AS city,
        count(*) FILTER (WHERE c_acctbal > 0) AS active_customers,
        count(*) FILTER (WHERE c_acctbal < 0) AS inactive_customers
 FROM customer JOIN nation ON c_nationkey = n_nationkey
-GROUP BY n_nationkey, n_name ORDER BY inactive_customers DESC, n_nationkey
+GROUP BY n_nationkey, n_name ORDER BY inactive_customers DESC, city_id
 """)
 def q13(t):
-    per_nation = t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
-        F.count_if(F.col("c_acctbal") > 0).alias("active_customers"),
-        F.count_if(F.col("c_acctbal") < 0).alias("inactive_customers"),
-    )
-    return (
-        t.nation.select("n_nationkey", "n_name").join(per_nation, "n_nationkey")
-        .orderBy(F.desc("inactive_customers"), up("n_nationkey"))
-    )
+    return r.customers_per_city(catalog(t))
 
 
 # The two groups of nations and the texts that name them.
@@ -227,119 +255,80 @@ def _places(t: Tables) -> DataFrame:
     )
 
 
-@query("Q15_customer_list", """
-SELECT c_custkey AS id, c_name || ' ' || c_mktsegment AS name, n_name AS city, r_name AS country,
+@query("Q15_customer_list", f"""
+SELECT c_custkey AS id, c_name || ' ' || c_mktsegment AS name, {ADDRESS_SQL},
        CASE WHEN c_acctbal > 0 THEN 'active' ELSE '' END AS notes, c_nationkey AS sid
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+FROM customer JOIN {PLACES_SQL.format("c_nationkey")}
 """)
 def q15(t):
-    return t.customer.join(_places(t), F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("id"),
-        F.concat("c_name", F.lit(" "), "c_mktsegment").alias("name"),
-        "city", "country",
-        F.when(F.col("c_acctbal") > 0, "active").otherwise("").alias("notes"),
-        F.col("c_nationkey").alias("sid"),
-    )
+    return r.customer_list(catalog(t))
 
 
-@query("Q16_staff_list", """
-SELECT s_suppkey AS id, s_name AS name, n_name AS city, r_name AS country, s_nationkey AS sid
-FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+@query("Q16_staff_list", f"""
+SELECT s_suppkey AS id, s_name || ' N' || s_nationkey AS name, {ADDRESS_SQL}, s_suppkey AS sid
+FROM supplier JOIN {PLACES_SQL.format("s_nationkey")}
 """)
 def q16(t):
-    return t.supplier.join(_places(t), F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), "city", "country",
-        F.col("s_nationkey").alias("sid"),
-    )
+    return r.staff_list(catalog(t))
 
 
-def _film_list(t: Tables, actor_name, title) -> DataFrame:
-    named = casts(t).join(t.supplier.select("s_suppkey", actor_name.alias("actor")), "s_suppkey")
-    listed = string_agg(named, ["p_partkey"], "actor", "actors")
-    return t.part.join(listed, "p_partkey").select(
-        F.col("p_partkey").alias("fid"), title.alias("title"), F.col("p_type").alias("category"),
-        F.col("p_retailprice").alias("price"), F.col("p_size").alias("length"), F.col("p_brand").alias("rating"),
-        "actors",
-    )
-
-
-def _film_list_sql(actor: str, title: str) -> str:
+def _film_list_sql(actor: str) -> str:
     return f"""
-SELECT p_partkey AS fid, {title} AS title, p_type AS category, p_retailprice AS price, p_size AS length,
-       p_brand AS rating, string_agg({actor}, ', ' ORDER BY {actor}, s_suppkey) AS actors
-FROM part JOIN (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) ON p_partkey = l_partkey
-JOIN supplier ON l_suppkey = s_suppkey
-GROUP BY p_partkey, p_name, p_type, p_retailprice, p_size, p_brand
+SELECT p_partkey AS fid, p_name AS title, p_brand AS description, p_type AS category, p_retailprice AS price,
+       p_size AS length, p_brand AS rating, string_agg({actor}, ', ' ORDER BY {actor}) AS actors
+FROM part JOIN {PAIRS_SQL} ON p_partkey = l_partkey JOIN supplier ON l_suppkey = s_suppkey
+WHERE p_type IS NOT NULL GROUP BY p_partkey, p_name, p_type, p_retailprice, p_size, p_brand
 """
 
 
-@query("Q17_film_list", _film_list_sql("s_name", "p_name"))
+@query("Q17_film_list", _film_list_sql("(s_name || ' N' || s_nationkey)"))
 def q17(t):
-    return _film_list(t, F.col("s_name"), F.col("p_name"))
+    return r.film_list(catalog(t))
 
 
 @query("Q18_nicer_film_list", _film_list_sql(
-    "(upper(substring(s_name, 1, 1)) || lower(substring(s_name, 2)))",
-    "(upper(substring(p_name, 1, 1)) || lower(substring(p_name, 2)))",
+    "(upper(substring(s_name, 1, 1)) || lower(substring(s_name, 2)) || 'N' || s_nationkey)"
 ))
 def q18(t):
-    return _film_list(t, first_letter_up(F.col("s_name")), first_letter_up(F.col("p_name")))
+    return r.film_list_nice_names(catalog(t))
 
 
-@query("Q19_actor_info", """
+@query("Q19_actor_info", f"""
 WITH titles AS (
   SELECT l_suppkey, p_type, string_agg(p_name, ', ' ORDER BY p_name, p_partkey) AS titles
-  FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) JOIN part ON p_partkey = l_partkey
+  FROM {PAIRS_SQL} JOIN part ON p_partkey = l_partkey WHERE p_type IS NOT NULL
   GROUP BY l_suppkey, p_type)
-SELECT s_suppkey, s_name,
+SELECT {ACTOR_SQL},
        string_agg(DISTINCT p_type || ': ' || titles, ', ' ORDER BY p_type || ': ' || titles) AS film_info
-FROM supplier LEFT JOIN titles ON s_suppkey = l_suppkey GROUP BY s_suppkey, s_name
+FROM supplier LEFT JOIN titles ON s_suppkey = l_suppkey GROUP BY s_suppkey, s_name, s_nationkey
 """)
 def q19(t):
-    titles = casts(t).join(t.part.select("p_partkey", "p_type", "p_name"), "p_partkey")
-    per_type = string_agg(titles, ["s_suppkey", "p_type"], "p_name", "titles")
-    entries = per_type.select("s_suppkey", F.concat("p_type", F.lit(": "), "titles").alias("entry"))
-    info = string_agg(entries, ["s_suppkey"], "entry", "film_info", distinct=True)
-    return t.supplier.select("s_suppkey", "s_name").join(info, "s_suppkey", "left").select(
-        "s_suppkey", "s_name", "film_info"
-    )
+    return r.actor_info(catalog(t))
 
 
 @query("Q20_sales_by_type", _SALES_SQL.replace("name,", "category,").replace("amount_sum", "total_sales")
        + "ORDER BY total_sales DESC")
 def q20(t):
-    return sales_by_type(t).select(
-        F.col("name").alias("category"), in_units(F.col("total")).alias("total_sales")
-    ).orderBy(F.desc("total_sales"))
+    return _as_double(r.sales_by_film_category(catalog(t)), "total_sales")
 
 
 @query("Q21_stored_sales_by_type", _SALES_SQL.replace("name,", "category,").replace("amount_sum", "total_sales"))
 def q21(t):
-    view = StoredView(t.spark, new_folder(t.spark, "sales_by_type"), lambda: q20(t))
+    sales = catalog(t)
+    view = StoredView(t.spark, new_folder(t.spark, "sales_by_type"), lambda: r.sales_by_film_category(sales))
     view.refresh()
-    return view.read()
+    return _as_double(view.read(), "total_sales")
 
 
 @query("Q22_sales_by_store", f"""
-SELECT n_name || ',' || r_name AS store, s_name AS manager, CAST(sum({AMOUNT_SQL}) AS DOUBLE) AS total_sales
+SELECT n_name || ',' || r_name AS store, s_name || ' N' || s_nationkey AS manager,
+       CAST(sum({AMOUNT_SQL}) AS DOUBLE) AS total_sales
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey
-JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-GROUP BY r_name, n_name, s_suppkey, s_name ORDER BY r_name, n_name, s_suppkey
+JOIN {PLACES_SQL.format("s_nationkey")}
+WHERE l_partkey IS NOT NULL GROUP BY r_name, n_name, s_suppkey, s_name, s_nationkey ORDER BY r_name, n_name, s_suppkey
 """)
 def q22(t):
-    sold = t.lineitem.select("l_orderkey", "l_suppkey", amount().alias("amount")).join(
-        t.orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey"
-    )
-    per_store = sold.groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.sum("amount").alias("total"))
-    return (
-        t.supplier.join(per_store, "s_suppkey")
-        .join(_places(t), F.col("s_nationkey") == F.col("n_nationkey"))
-        .orderBy("country", "city", "s_suppkey")
-        .select(
-            F.concat("city", F.lit(","), "country").alias("store"), F.col("s_name").alias("manager"),
-            in_units(F.col("total")).alias("total_sales"),
-        )
-    )
+    return _as_double(r.sales_by_store(catalog(t)), "total_sales")
 
 
 # Row functions of the schema, on parts as items and line items as their rentals.
