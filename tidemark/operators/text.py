@@ -33,10 +33,12 @@ def word_index(df: DataFrame, id_column: str, text: Column, block: int = 4096) -
     """Word to ids, in blocks of consecutive ids: ``term, block, n_ids, ids``.
 
     Ids are unique integers, so a posting list holds at most ``block`` ids
-    however frequent the word is.
+    however frequent the word is. Most words are rare in a block, so lists are
+    built once, after the shuffle: partial ones cost more than they save.
     """
     return (
         df.select(F.col(id_column).alias("id"), F.explode(words(text)).alias("term"))
-        .groupBy("term", block_of("id", block).alias("block"))
+        .withColumn("block", block_of("id", block))
+        .repartition("term", "block").groupBy("term", "block")
         .agg(F.count(F.lit(1)).alias("n_ids"), F.sort_array(F.collect_list("id")).alias("ids"))
     )
