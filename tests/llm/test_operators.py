@@ -199,6 +199,7 @@ def plain_targets(sizes, weights=(5.0, 2.0, 1.0), most=3):
 @pytest.mark.parametrize("block", [4096, 16])
 def test_mix_comes_near_its_targets(spark, monkeypatch, block):
     monkeypatch.setattr(mixing, "BLOCK", block)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 100_000 if block > 1_000 else 0)
     rows = [(i, t, f"s{min(i % 7, 3)}" if i % 11 else None) for i, t in enumerate(texts(21, 600))] + [(7000, None, "none"), (3, texts(21, 600)[3], "s3"), (7001, "a b", "rare")]
     got = mixing.mix_report(make_docs(spark, rows), [5.0, 2.0, 1.0]).collect()
     size = collections.Counter()

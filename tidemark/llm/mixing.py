@@ -12,6 +12,8 @@ from tidemark.llm.common import INK, ROW, numbered, row_key, stored, text_or_emp
 
 #: Units that one flight phase takes together.
 BLOCK = 4096
+#: Sources, and characters of their names, up to which the targets are broadcast; else they are joined by a shuffle.
+BROADCAST_SOURCES, BROADCAST_CHARS = 100_000, 16_000_000
 _EDGE = 1e-9
 
 
@@ -117,16 +119,20 @@ def mix_units(units: DataFrame, weights: list[float], most: float = 3.0) -> Data
     first flights run in blocks of 4,096 units of a source, chosen by a hash; the
     at most two open units of each block meet in further blocks until one block
     per source is left, whose open units land. So a source of any size is never
-    gathered, and each level is written to the shared folder.
+    gathered, and each level is written to the shared folder. Targets, one row
+    per source, are broadcast after their number and length were checked.
     """
     units = stored(units.withColumn("total", F.col("size") * F.col("n_rows")), "mix-units")
-    targets = source_targets(units, weights, most).select(F.col("source").alias("__source"), "source_size", "n_units", "target")
+    targets = stored(source_targets(units, weights, most).select(F.col("source").alias("__source"), "source_size", "n_units", "target"), "mix-targets")
+    count, chars, most_blocks = targets.agg(
+        F.count("*"), F.coalesce(F.sum(F.length(F.col("__source").cast("string"))), F.lit(0)),
+        F.coalesce(F.max(F.ceil(F.col("n_units") / BLOCK).cast("long")), F.lit(1))).first()
+    hinted = F.broadcast(targets) if count <= BROADCAST_SOURCES and chars <= BROADCAST_CHARS else targets
     ratio = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
-    rows = units.join(F.broadcast(targets), units["source"].eqNullSafe(targets["__source"]), "left").drop("__source").select(
+    rows = units.join(hinted, F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source").select(
         "*", F.floor(ratio + 1e-12).alias("whole"), F.greatest(ratio - F.floor(ratio + 1e-12), F.lit(0.0)).alias("chance"),
         F.xxhash64("doc_id", "row_key").alias("unit_hash"),
         F.ceil(F.col("n_units") / BLOCK).cast("long").alias("blocks"))
-    most_blocks = targets.agg(F.max(F.ceil(F.col("n_units") / BLOCK).cast("long"))).first()[0] or 1
     decided, level = [], 0
     while True:
         landing = most_blocks <= 1
