@@ -143,3 +143,6 @@ def test_distances_match_brute_force(spark, held):
     for i, _ in xs:
         best = sorted((want[i, j], j) for j, _ in ys)[:2]
         assert sorted((d, j) for a_, j, d in near if a_ == i) == [(pytest.approx(d), j) for d, j in best]
+    for compared in (distance_matrix, nearest):
+        with pytest.raises(ValueError):
+            compared(left, "i", "x", right, "j", "y", held_cells=held, most_right=6)

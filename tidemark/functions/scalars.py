@@ -120,9 +120,13 @@ def fixed_text(column: Column, digits: int = 1) -> Column:
     return F.format_number(column, digits)
 
 
+# What the two jobs report.
+SILVER_MESSAGE, GOLD_MESSAGE = "Processed %d rows into Silver.", "Gold Layer Updated. Rows merged: %d"
+
+
 def silver_message(n: int) -> str:
-    return f"Processed {n} rows into Silver."
+    return SILVER_MESSAGE % n
 
 
 def gold_message(n: int) -> str:
-    return f"Gold Layer Updated. Rows merged: {n}"
+    return GOLD_MESSAGE % n

@@ -9,6 +9,8 @@ from tidemark.functions.arrays import euclidean
 
 # Total cells of the right-hand vectors that may travel with every task.
 HELD_CELLS = 1_000_000
+# Right-hand vectors that are compared with all left ones; more are refused.
+MOST_RIGHT = 100_000
 
 
 def _packed(id_column: str, vector: str):
@@ -17,11 +19,14 @@ def _packed(id_column: str, vector: str):
     )
 
 
-def _cells(right: DataFrame, vector: str) -> int:
-    return right.agg(F.sum(F.size(vector)).alias("n")).first()["n"] or 0
+def _cells(right: DataFrame, vector: str, most_right: int) -> int:
+    found = right.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size(vector)).alias("cells")).first()
+    if found["rows"] > most_right:
+        raise ValueError(f"{found['rows']} vectors on the right; at most {most_right} are compared with every left one")
+    return found["cells"] or 0
 
 
-def _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells) -> tuple[DataFrame, int]:
+def _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells, most_right) -> tuple[DataFrame, int]:
     """Rows ``left_id, x, held``, and how many of them each left vector has.
 
     ``held`` packs right vectors in an array; over its rows a left vector meets every right one.
@@ -32,7 +37,7 @@ def _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells)
     that the left rows of one block spread over many tasks.
     """
     x = left.select(F.col(left_id).alias("left_id"), F.col(left_vector).cast("array<double>").alias("x"))
-    cells = _cells(right, right_vector)
+    cells = _cells(right, right_vector, most_right)
     if cells <= held_cells:
         return x.withColumn("held", right.agg(_packed(right_id, right_vector).alias("held")).scalar()), 1
     blocks, salts = -(-cells // held_cells), 64
@@ -55,9 +60,15 @@ def distance_matrix(
     right_id: str,
     right_vector: str,
     held_cells: int = HELD_CELLS,
+    most_right: int = MOST_RIGHT,
 ) -> DataFrame:
-    """Euclidean distance of every left vector to every right one: ``left_id, right_id, distance``."""
-    met, _ = _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells)
+    """Euclidean distance of every left vector to every right one: ``left_id, right_id, distance``.
+
+    The right side is a stated set of reference vectors; one of more than
+    ``most_right`` raises a ValueError, so the rows out stay in proportion to
+    the left side.
+    """
+    met, _ = _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells, most_right)
     return met.select("left_id", "x", F.explode("held").alias("y")).select(
         "left_id", F.col("y.id").alias("right_id"), euclidean(F.col("x"), F.col("y.vec")).alias("distance")
     )
@@ -72,13 +83,15 @@ def nearest(
     right_vector: str,
     n: int = 1,
     held_cells: int = HELD_CELLS,
+    most_right: int = MOST_RIGHT,
 ) -> DataFrame:
-    """The ``n`` nearest right vectors of every left one: ``left_id, right_id, distance``.
+    """The ``n`` nearest right vectors of every left one, exactly: ``left_id, right_id, distance``.
 
+    The right side is a stated set of at most ``most_right`` reference vectors.
     Every block proposes its own ``n`` inside the row; the best of the
     proposals remain, so the matrix is never written out.
     """
-    met, blocks = _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells)
+    met, blocks = _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells, most_right)
     scored = F.transform(
         F.col("held"),
         lambda y: F.struct(euclidean(F.col("x"), y["vec"]).alias("distance"), y["id"].alias("right_id")),

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import itertools
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,52 +101,47 @@ def j13(t):
     )
 
 
+def _new_chain(t: Tables, label: str) -> FlightsChain:
+    minutes = itertools.count()
+    start = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
+    return FlightsChain(
+        t.spark, new_folder(t.spark, label), clock=lambda: start + dt.timedelta(minutes=next(minutes))
+    )
+
+
+def _arrive(t: Tables, chain: FlightsChain) -> Iterator[int]:
+    """Land three overlapping arrivals, one at a time."""
+    value = F.col("age").cast("double")
+    for number, wanted in enumerate((value < 10, value < 50, F.lit(True))):
+        chain.land(raw(t).filter(wanted))
+        yield number
+
+
 class _Story:
-    """The chain after three overlapping arrivals, a replay, a deletion, a restore and a clone."""
+    """The chain after three overlapping arrivals, a replay, a deletion, a restore and a clone.
+
+    It keeps folders and moments only; results are read from the tables.
+    """
 
     def __init__(self, t: Tables):
-        minutes = itertools.count()
-        start = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
-        chain = FlightsChain(
-            t.spark, new_folder(t.spark, "flights"), clock=lambda: start + dt.timedelta(minutes=next(minutes))
-        )
-        self.chain, self.messages, self.pending, self.counts = chain, [], [], []
-        value = F.col("age").cast("double")
-        for wanted in (value < 10, value < 50, F.lit(True)):
-            chain.land(raw(t).filter(wanted))
-            if not self.pending:
-                self.pending.append(("landed", *chain.pending().values()))
-            self.messages += chain.run()
-        self.pending.append(("consumed", *chain.pending().values()))
-        self.messages.append(chain.restarted("second").process_silver())
+        chain = self.chain = _new_chain(t, "flights")
+        self.landed = _new_chain(t, "flights-landed")
+        next(_arrive(t, self.landed))
+        for _ in _arrive(t, chain):
+            chain.run()
+        chain.restarted("second").process_silver()
         clicks = F.col("country_name") == "click"
         silver = chain.silver
         before = chain.clock()
-        self._count("loaded", silver.current())
         silver.delete_where(clicks, at=chain.clock())
-        self._count("deleted", silver.current())
-        self._count("as of before", silver.current(as_of=before))
+        deleted = chain.clock()
         silver.restore(before, clicks, at=chain.clock())
-        self._count("restored", silver.current())
-        copy = silver.clone(f"{chain.home}/copy", at=chain.clock())
-        self._count("cloned", copy.current())
-        self.copy = copy
-        self.readable = [("cloned", self._readable())]
-        copy.drop(at=chain.clock())
-        self.readable.append(("dropped", self._readable()))
-        copy.undrop(at=chain.clock())
-        self.readable.append(("undropped", self._readable()))
-        self._count("undropped", copy.current())
-        self.messages.append(chain.process_gold())
-
-    def _readable(self) -> bool:
-        try:
-            return not self.copy.current().isEmpty()
-        except LookupError:
-            return False
-
-    def _count(self, step: str, df: DataFrame) -> None:
-        self.counts.append((step, df.count()))
+        self.moments = {"loaded": before, "deleted": deleted, "as of before": before, "restored": chain.clock()}
+        self.copy = silver.clone(f"{chain.home}/copy", at=chain.clock())
+        self.cloned = chain.clock()
+        self.copy.drop(at=chain.clock())
+        self.copy.undrop(at=chain.clock())
+        chain.process_gold()
 
 
 _STORIES: dict[tuple[str, str], _Story] = {}
@@ -170,7 +167,11 @@ def t01(t):
 
 @query("T02_silver_state", _RAW_SQL + "SELECT flight_hash, passenger_id, event_type AS country_name FROM silver")
 def t02(t):
-    return story(t).chain.silver.current().select("flight_hash", "passenger_id", "country_name")
+    """Three merges into a silver table of this run."""
+    chain = _new_chain(t, "flights-silver")
+    for _ in _arrive(t, chain):
+        chain.process_silver()
+    return chain.silver.current().select("flight_hash", "passenger_id", "country_name")
 
 
 _GOLD_SQL = _RAW_SQL + """
@@ -189,7 +190,11 @@ def _gold(t: Tables) -> DataFrame:
 
 @query("T03_gold_state", _GOLD_SQL + "SELECT * FROM gold")
 def t03(t):
-    return _gold(t).drop("updated_at").withColumn("stat_date", F.col("stat_date").cast("string"))
+    """Three runs of both jobs over tables of this run."""
+    chain = _new_chain(t, "flights-gold")
+    for _ in _arrive(t, chain):
+        chain.run()
+    return chain.gold.current().drop("updated_at").withColumn("stat_date", F.col("stat_date").cast("string"))
 
 
 @query("T03_exact_pilots", _GOLD_SQL + """
@@ -232,7 +237,7 @@ def q45(t):
 SELECT log_id, CASE WHEN procedure_name LIKE '%SILVER' THEN 'Processed ' || rows_affected || ' rows into Silver.'
   ELSE 'Gold Layer Updated. Rows merged: ' || rows_affected END AS message FROM runs""")
 def f24(t):
-    return t.spark.createDataFrame(list(enumerate(story(t).messages, start=1)), "log_id long, message string")
+    return story(t).chain.messages()
 
 
 @query("Q46_silver_preview", _RAW_SQL + """
@@ -264,11 +269,18 @@ def q48(t):
     return story(t).chain.secure_report(mapping, "view_manager")
 
 
+def _pending(t: Tables) -> DataFrame:
+    """What waits where the first arrival has just landed, and where everything was taken: ``moment, raw, silver``."""
+    moments = {"landed": story(t).landed, "consumed": story(t).chain}
+    waits = [c.pending_report().select(F.lit(m).alias("moment"), "raw", "silver") for m, c in moments.items()]
+    return waits[0].unionByName(waits[1])
+
+
 @query("Q49_pending", """
 SELECT 'landed' AS moment, true AS raw, false AS silver UNION ALL SELECT 'consumed', false, false
 """)
 def q49(t):
-    return t.spark.createDataFrame(story(t).pending, "moment string, raw boolean, silver boolean")
+    return _pending(t)
 
 
 @query("Q50_delete_restore_clone", _RAW_SQL + """
@@ -277,7 +289,11 @@ SELECT step, CASE WHEN step = 'deleted' THEN (SELECT count(*) FROM silver WHERE
 FROM (SELECT unnest(['loaded', 'deleted', 'as of before', 'restored', 'cloned', 'undropped']) AS step)
 """)
 def q50(t):
-    return t.spark.createDataFrame(story(t).counts, "step string, n long")
+    told = story(t)
+    states = {step: told.chain.silver.current(as_of=at) for step, at in told.moments.items()}
+    states |= {"cloned": told.copy.current(as_of=told.cloned), "undropped": told.copy.current()}
+    counts = [df.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("n")) for step, df in states.items()]
+    return functools.reduce(DataFrame.unionByName, counts)
 
 
 @query("T05_replay", _RAW_SQL + """
@@ -294,8 +310,7 @@ def t05(t):
 
 @query("T06_has_data", "SELECT unnest(['landed', 'consumed']) AS moment, unnest([true, false]) AS raw")
 def t06(t):
-    rows = [(moment, raw_waits) for moment, raw_waits, _ in story(t).pending]
-    return t.spark.createDataFrame(rows, "moment string, raw boolean")
+    return _pending(t).select("moment", "raw")
 
 
 @query("T07_layers", _GOLD_SQL + """
@@ -319,7 +334,9 @@ def t11(t):
 SELECT unnest(['cloned', 'dropped', 'undropped']) AS moment, unnest([true, false, true]) AS readable
 """)
 def t12(t):
-    return t.spark.createDataFrame(story(t).readable, "moment string, readable boolean")
+    kind = F.col("kind")
+    moment = F.when(kind == "DROP", "dropped").when(kind == "UNDROP", "undropped").otherwise("cloned")
+    return story(t).copy.commits.frame().select(moment.alias("moment"), (kind != "DROP").alias("readable"))
 
 
 @query("G11_job_results", _RUNS_SQL + """

@@ -36,7 +36,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_FALLBACK:

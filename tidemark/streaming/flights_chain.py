@@ -9,11 +9,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import gold_message, silver_message
+from tidemark.functions.scalars import GOLD_MESSAGE, SILVER_MESSAGE, gold_message, silver_message
 from tidemark.operators.merge import absent_from, merge_daily_stats
 from tidemark.operators.policy import apply_row_policy
 from tidemark.plans import flights
-from tidemark.streaming.feeds import consume, has_pending
+from tidemark.streaming.feeds import consume, has_pending, pending_files
 from tidemark.tables.versions import COMMIT_SCHEMA, ChangeLog, Snapshots, append_row, utc_now
 
 # The job names of the audit log.
@@ -76,12 +76,31 @@ class FlightsChain:
         """Add raw rows to the landing folder."""
         raw.select(*flights.RAW_COLUMNS).write.mode("append").parquet(self.landing)
 
+    def _feeds(self) -> dict[str, tuple[str, str]]:
+        """What each stream reads, and its checkpoint."""
+        return {
+            "raw": (self.landing, self._checkpoint("silver")),
+            "silver": (self.silver.commits.path, self._checkpoint("gold")),
+        }
+
     def pending(self) -> dict[str, bool]:
         """Whether each stream has data it has not consumed."""
-        return {
-            "raw": has_pending(self.spark, self.landing, self._checkpoint("silver"), "*.parquet"),
-            "silver": has_pending(self.spark, self.silver.commits.path, self._checkpoint("gold"), "*.parquet"),
+        return {name: has_pending(self.spark, *feed, "*.parquet") for name, feed in self._feeds().items()}
+
+    def pending_report(self) -> DataFrame:
+        """One row ``raw, silver``: whether each stream has data it has not consumed."""
+        waits = {
+            name: pending_files(self.spark, *feed, "*.parquet").agg((F.count(F.lit(1)) > 0).alias(name))
+            for name, feed in self._feeds().items()
         }
+        return waits["raw"].withColumn("silver", waits["silver"].scalar())
+
+    def messages(self) -> DataFrame:
+        """What every logged run reported: ``log_id, message``."""
+        said = F.when(
+            F.col("procedure_name") == SILVER_JOB, F.format_string(SILVER_MESSAGE, "rows_affected")
+        ).otherwise(F.format_string(GOLD_MESSAGE, "rows_affected"))
+        return self.audit().select("log_id", said.alias("message"))
 
     def process_silver(self) -> str:
         """Merge new raw rows into silver; rows whose hash is present are left alone."""
@@ -122,6 +141,18 @@ class FlightsChain:
         """Both jobs in order over whatever has arrived."""
         return [self.process_silver(), self.process_gold()]
 
+    def _feed(self, folder: str, schema) -> DataFrame | None:
+        """The parquet files of a folder as a stream; None as long as there is no folder."""
+        reader = self.spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
+        if self.files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", self.files_per_batch)
+        try:
+            return reader.parquet(folder)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     def _run(self, job: str, stream: str, folder: str, schema, merge: Callable[[DataFrame, str], int]) -> int:
         """One stream run and its audit row, which is also written for a run without data or a failed one."""
         rows = [0]
@@ -130,11 +161,9 @@ class FlightsChain:
             rows[0] += merge(batch, name)
 
         try:
-            if has_pending(self.spark, folder, self._checkpoint(stream), "*.parquet"):
-                reader = self.spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
-                if self.files_per_batch:
-                    reader = reader.option("maxFilesPerTrigger", self.files_per_batch)
-                consume(reader.parquet(folder), handle, self._checkpoint(stream))
+            feed = self._feed(folder, schema)
+            if feed is not None:
+                consume(feed, handle, self._checkpoint(stream))
         except Exception:
             self._log(job, 0, "FAILED")
             raise
