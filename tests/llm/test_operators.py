@@ -305,6 +305,41 @@ def test_an_inserted_line_moves_no_other_end():
     assert len(ends ^ more) <= 3
 
 
+def brute_runs(rows):
+    """Texts without the lines of later occurrences: at every line the longest run that began the same at an earlier place."""
+    lines = [(i, t.split("\n")) for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0]))]
+    out, places = {}, []
+    for d, (i, mine) in enumerate(lines):
+        gone = set()
+        for a in range(len(mine)):
+            for other, b in places + [(d, b) for b in range(a)]:
+                theirs, n = lines[other][1], 0
+                while a + n < len(mine) and b + n < len(theirs) and mine[a + n] == theirs[b + n]:
+                    n += 1
+                if n > 1:
+                    gone.update(range(a, a + n))
+        places += [(d, b) for b in range(len(mine))]
+        out[i] = "\n".join(x for k, x in enumerate(mine) if k not in gone), len(gone)
+    return out
+
+
+def test_line_runs_equal_brute_force(spark):
+    draw = random.Random(23)
+    lines = [f"line {k} {draw.random()}" for k in range(60)] + [""]
+    rows = []
+    for i in range(50):
+        body = [f"own {draw.random()}" for _ in range(draw.randint(0, 6))]
+        for _ in range(draw.randint(0, 3)):  # passages of 1 to 9 lines between foreign lines, cut anywhere
+            a = draw.randint(0, 58)
+            body += lines[a : a + draw.randint(1, 9)] + [f"own {draw.random()}" for _ in range(draw.randint(1, 4))]
+        rows.append((i, "\n".join(body)))
+    rows += [(90, ""), (92, rows[0][1]), (93, "\n".join(["same", "words"] * 30)), (94, "same"), (None, rows[4][1])]
+    want = brute_runs(rows)
+    rows += [(95, None), rows[1]]
+    got = line_chunks.drop_repeated_runs(make_docs(spark, [(i, t, "s") for i, t in rows])).collect()
+    assert collections.Counter((r.doc_id, r.text, r.n_removed) for r in got) == collections.Counter((i, *(want[i] if t is not None else (None, 0))) for i, t in rows)
+
+
 # 10 --------------------------------------------------------------------------------------------------------------
 
 def test_token_counts_equal_the_library(spark):

@@ -1,14 +1,16 @@
-"""Line dedup: runs of lines with content-defined ends, of which repeated ones go."""
+"""Line dedup: repeated runs of lines go, found by every pair of neighbouring lines or by chunks with content-defined ends."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ROW, map_batches, numbered, row_key, stored, text_or_empty, with_row_key
+from tidemark.llm.common import ROW, map_batches, numbered, row_key, stored, text_or_empty
 
 #: A chunk ends after a line where the rolling hash over this many line hashes is divisible by ENDS.
 WINDOW, ENDS = 2, 3
@@ -41,15 +43,26 @@ def chunks(text: str) -> list[tuple[int, bytes, int]]:
     return out
 
 
-def _chunk_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per chunk of two lines or more that has some ink: row key, id, number, digest."""
+def pairs(text: str) -> list[tuple[int, bytes, int]]:
+    """(first line, bytes, 2) of every two neighbouring lines; they overlap, so a run of any length is made of pairs."""
+    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
+    return [(i, lines[i] + b"\n" + lines[i + 1], 2) for i in range(len(lines) - 1)]
+
+
+def _key(id_col: str, text_col: str) -> Column:
+    """The row key in 16 bytes, as there are about as many rows as lines."""
+    return F.unhex(row_key(id_col, text_col))
+
+
+def _unit_rows(docs: DataFrame, id_col: str, text_col: str, units: Callable) -> DataFrame:
+    """One row per unit of two lines or more that has some ink: row key, id, number, digest."""
 
     def run(batch: pa.RecordBatch) -> pa.Table:
         rows, number, high, low = [], [], [], []
         for i, text in enumerate(batch.column("text").to_pylist()):
             if "\n" not in text:
                 continue
-            for at, body, size in chunks(text):
+            for at, body, size in units(text):
                 if size > 1 and body.strip():
                     digest = xxhash.xxh3_128_digest(body)
                     rows.append(i)
@@ -61,22 +74,20 @@ def _chunk_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             "row_key": batch.column("row_key").take(taken), "doc_id": batch.column("doc_id").take(taken),
             "line": pa.array(number, pa.int64()), "high": pa.array(high, pa.int64()), "low": pa.array(low, pa.int64())})
 
-    rows = docs.select(row_key(id_col, text_col).alias("row_key"), F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = docs.select(_key(id_col, text_col).alias("row_key"), F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return map_batches(rows, run, f"row_key string, doc_id {kind}, line bigint, high bigint, low bigint")
+    return map_batches(rows, run, f"row_key binary, doc_id {kind}, line bigint, high bigint, low bigint")
 
 
-def _without(text: str, doomed: list[dict]) -> tuple[str, int, int]:
-    """The text without the doomed chunks whose bytes are those of the first occurrence; lines, lines removed."""
+def _without(text: str, doomed: list[dict], units: Callable) -> tuple[str, int, int]:
+    """The text without the lines of doomed units whose bytes are those of the first occurrence; lines, lines removed."""
     wanted = {d["line"]: d["body"] for d in doomed}
-    kept, n_lines, n_gone = [], 0, 0
-    for at, body, size in chunks(text):
-        n_lines += size
+    lines = text.split("\n")
+    gone = bytearray(len(lines))
+    for at, body, size in units(text):
         if wanted.get(at) == body:
-            n_gone += size
-        else:
-            kept.append(body)
-    return b"\n".join(kept).decode("utf-8", "surrogatepass"), n_lines, n_gone
+            gone[at : at + size] = b"\1" * size
+    return "\n".join(line for line, out in zip(lines, gone) if not out), len(lines), sum(gone)
 
 
 def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -90,25 +101,48 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     stay, even if their text becomes empty; rows equal in id and text count as
     one. Columns named like the two new ones are replaced.
 
-    Counts per digest are partial sums, so a chunk in every document gathers
-    nowhere; the text of a repeated chunk travels once per distinct chunk and
-    once per removal, other texts once, to meet their removals.
+    ``drop_repeated_runs`` also finds the repeats that share no whole chunk.
+    """
+    return _drop(docs, id_col, text_col, chunks)
+
+
+def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with repeated runs of two lines or more taken out of the texts, and columns ``n_lines`` and ``n_removed``.
+
+    Every pair of neighbouring lines, one of them with ink, that occurs again
+    anywhere, the same document included, goes but for its first occurrence:
+    smallest id (null last), then smallest row key, then first line. Pairs
+    overlap, so of a later run exactly the lines go that stand in it with a
+    neighbour, wherever it begins and ends; the first occurrence of any line
+    stays. A line that is repeated without a neighbour stays, as does a blank
+    line between blank lines. Bytes are compared before lines go. Null texts,
+    rows and columns are treated as by ``drop_repeated_chunks``.
+    """
+    return _drop(docs, id_col, text_col, pairs)
+
+
+def _drop(docs: DataFrame, id_col: str, text_col: str, units: Callable) -> DataFrame:
+    """``docs`` without the lines of all but the first of equal units.
+
+    Counts per digest are partial sums, so a unit in every document gathers
+    nowhere; the text of a repeated unit travels once per distinct unit and
+    once per removal, other texts to be cut and to meet their removals.
     """
     docs = docs.select(*(c for c in docs.columns if c not in ("n_lines", "n_removed")))
     names = docs.columns
     docs, id_col, text_col = numbered(docs, id_col, text_col)
-    rows = stored(_chunk_rows(docs, id_col, text_col), "chunk-rows")
+    rows = stored(_unit_rows(docs, id_col, text_col, units), "chunk-rows")
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_key", "line")
-    repeated = rows.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    repeated = rows.groupBy("high", "low").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     repeated = stored(repeated.select("high", "low", F.col("first.row_key").alias("first_key"), F.col("first.line").alias("first_line")), "chunk-repeats")
 
-    keyed = with_row_key(docs, id_col, text_col)
+    keyed = docs.withColumn(ROW, _key(id_col, text_col))
 
     def cut(batch: pa.RecordBatch) -> pa.Table:
         out, digests = [], []
         for text, lines in zip(batch.column("text").to_pylist(), batch.column("lines").to_pylist()):
             wanted = set(lines)
-            for at, body, _ in chunks(text):
+            for at, body, _ in units(text):
                 if at in wanted:
                     out.append(body)
                     digests.append(xxhash.xxh3_128_digest(body))
@@ -118,7 +152,7 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     firsts = repeated.groupBy(F.col("first_key").alias(ROW)).agg(F.collect_set("first_line").alias("lines"))
     holders = keyed.select(ROW, text_or_empty(text_col).alias("text")).join(firsts, ROW).dropDuplicates([ROW]).select("text", "lines")
     bodies = map_batches(holders, cut, "high bigint, low bigint, body binary")
-    # Bodies join the repeats, one row per chunk, before the repeats join the rows, of which one chunk may have many.
+    # Bodies join the repeats, one row per unit, before the repeats join the rows, of which one unit may have many.
     repeated = repeated.join(bodies, ["high", "low"])
     doomed = rows.join(repeated, ["high", "low"]).where((F.col("row_key") != F.col("first_key")) | (F.col("line") != F.col("first_line")))
     removals = doomed.groupBy(F.col("row_key").alias(ROW)).agg(F.collect_list(F.struct("line", "body")).alias("__doomed"))
@@ -128,7 +162,7 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     text_at = plain.index(text_col)
 
     def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
-        done = [(None, 0, 0) if t is None else _without(t, d) if d else (t, t.count("\n") + 1, 0)
+        done = [(None, 0, 0) if t is None else _without(t, d, units) if d else (t, t.count("\n") + 1, 0)
                 for t, d in zip(batch.column(text_at).to_pylist(), batch.column(len(plain)).to_pylist())]
         columns = [batch.column(i) if i != text_at else pa.array([d[0] for d in done], pa.string()) for i in range(len(plain))]
         columns += [pa.array([d[k] for d in done], pa.int64()) for k in (1, 2)]

@@ -66,7 +66,7 @@ def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = line_chunks.drop_repeated_chunks(_table(spark, folder, "documents").select("doc_id", "text"))
+    cleaned = line_chunks.drop_repeated_runs(_table(spark, folder, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_lines", "n_removed", "text")
 
 
