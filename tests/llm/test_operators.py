@@ -245,6 +245,22 @@ def test_template_is_what_most_pages_share():
     assert [pages.extract(t, some) for t, some in zip(trees, templates)] == [f"Text number {i} of the page, long enough.\nMore {i} of it here." for i in range(6)]
 
 
+def main_texts(bodies):
+    trees = [pages.parse(f"<body>{b}</body>") for b in bodies]
+    return [pages.extract(t, some) for t, some in zip(trees, pages.induce(trees))]
+
+
+def test_content_is_what_varies_not_what_is_called_article():
+    cards = "<article><p>Card {0}</p></article><article><p>Other card {0}</p></article>"
+    got = main_texts([f"<div class=story><p>Story {i} as long as it is.</p><p>Our slogan</p></div>{cards.format(i)}<p>Always here</p>" for i in range(6)])
+    assert got == [f"Story {i} as long as it is.\nCard {i}\nOther card {i}" for i in range(6)]
+    assert main_texts(["<div>Welcome</div><main><p>Long enough to be the page.</p></main>"]) == ["Long enough to be the page."]
+    got = main_texts([f"<article><h1>Head {i}</h1><p>Text {i}</p><p>Quoted by all</p><p>More {i}</p><p>Read us daily</p></article>" for i in range(5)])
+    assert got == [f"Head {i}\nText {i}\nQuoted by all\nMore {i}" for i in range(5)]
+    got = main_texts([f"<article><h1>Copied</h1><p>The same long text on all pages of the host.</p><p>Edit {i}</p></article>" for i in range(5)])
+    assert got == [f"Copied\nThe same long text on all pages of the host.\nEdit {i}" for i in range(5)]
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------
 
 def brute_repeats(rows, n):
