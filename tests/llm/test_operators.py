@@ -261,6 +261,12 @@ def test_content_is_what_varies_not_what_is_called_article():
     assert got == [f"Copied\nThe same long text on all pages of the host.\nEdit {i}" for i in range(5)]
 
 
+def test_small_slots_are_content_too():
+    lead = "<div class=post><div class=lead><p>Lead {0}.</p></div><div class=body><p>Body {0} " + "of some length " * 20 + "</p></div></div>"
+    for n in (1, 2, 3, 6):
+        assert all(t.startswith(f"Lead {i}.\nBody {i} of") for i, t in enumerate(main_texts([lead.format(i) for i in range(n)])))
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------
 
 def brute_repeats(rows, n):
