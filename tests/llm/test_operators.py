@@ -267,6 +267,19 @@ def test_small_slots_are_content_too():
         assert all(t.startswith(f"Lead {i}.\nBody {i} of") for i, t in enumerate(main_texts([lead.format(i) for i in range(n)])))
 
 
+def test_two_pages_show_a_template():
+    for n in (2, 3):
+        assert main_texts([f"<div><p>Own {i}</p></div><div><p>Said everywhere</p></div>" for i in range(n)]) == [f"Own {i}" for i in range(n)]
+
+
+def test_copies_leave_a_host_its_template(spark):
+    def html(i):
+        return f"<body><div><p>Own text {i} of the page.</p></div><div><p>Said on every page</p></div></body>"
+    rows = [(i, f"http://a.example/{i}", html(i)) for i in range(12)] + [(100 + i, f"http://a.example/c{i}", html(0)) for i in range(500)]
+    got = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()
+    assert len(got) == len(rows) and {(r.page_id, r.text) for r in got} == {(i, f"Own text {0 if i >= 100 else i} of the page.") for i, _, _ in rows}
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------
 
 def brute_repeats(rows, n):
