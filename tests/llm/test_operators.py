@@ -272,6 +272,13 @@ def test_two_pages_show_a_template():
         assert main_texts([f"<div><p>Own {i}</p></div><div><p>Said everywhere</p></div>" for i in range(n)]) == [f"Own {i}" for i in range(n)]
 
 
+def test_long_rows_of_blocks_are_aligned_to_their_end():
+    def flat(i, n):
+        return "".join(f"<h2>Head {i} {k}</h2><p>Text {i} {k}</p>" + "<div>Advice for all</div>" * (k % 50 == 7) for k in range(n)) + "<p>Closing words</p><div>All rights reserved</div>"
+    for i, text in enumerate(main_texts([flat(i, 90 + 10 * i) for i in range(5)])):
+        assert text == "\n".join(f"Head {i} {k}\nText {i} {k}" for k in range(90 + 10 * i))
+
+
 def test_copies_leave_a_host_its_template(spark):
     def html(i):
         return f"<body><div><p>Own text {i} of the page.</p></div><div><p>Said on every page</p></div></body>"
