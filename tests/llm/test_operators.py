@@ -105,6 +105,27 @@ def test_graph_finds_what_a_full_scan_finds():
     assert sum(len(e & set(f.tolist())) for e, f in zip(exact, found)) >= 0.99 * sum(map(len, exact))
 
 
+def test_audit_takes_no_missed_link(monkeypatch):
+    draw = np.random.default_rng(6)
+    x = np.repeat(draw.normal(size=(200, 24)), 10, axis=0) + draw.normal(scale=0.01, size=(2000, 24))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    graph, whole = vectors.Graph(x), vectors.Graph.links_of
+    beams = []
+
+    def narrow(self, queries, cosine, beam):
+        beams.append(beam)
+        found = whole(self, queries, cosine, 4 * len(x))
+        return [f[:-1] if beam < 128 and k == 0 else f for k, f in enumerate(found)]
+
+    monkeypatch.setattr(vectors.Graph, "links_of", narrow)
+    graph.audited_links(x, 0.95)
+    assert beams[-1] == 128
+    beams.clear()
+    alone = np.linalg.qr(draw.normal(size=(24, 24)))[0].astype(np.float32)
+    found = vectors.Graph(alone).audited_links(alone, 0.95, np.arange(24))
+    assert not beams and [f.tolist() for f in found] == [[i] for i in range(24)]
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (9, 9), (7, 5), (None, 3), (50, 49)] + [(i, i + 1) for i in range(100, 140)], "a long, b long")
     got = {r.node: r.root for r in connected_components(edges).collect()}

@@ -16,10 +16,8 @@ SHARDS, SHARD_ROWS, ASKING = 4, 65_536, 8_192
 LINKS, BUILD_BEAM, BEAM, TOGETHER = 12, 24, 32, 256
 #: One vector in so many enters each higher layer; the highest is searched whole.
 RATIO = 24
-#: One asking vector in so many is checked against the whole shard.
-AUDIT = 16
-#: Share of the audited links that a beam has to find; a link is lost only if neither of its ends finds it.
-RECALL = 0.995
+#: One asking vector in so many is checked against the whole shard, and more of them where those have fewer links than EVIDENCE.
+AUDIT, EVIDENCE = 16, 32
 #: Nodes of a component that are compared in one block; small components share groups of about as many.
 COUNTED = 2_048
 _SLACK = 1e-4
@@ -165,18 +163,25 @@ class Graph:
                 asked, width = asked[full], n
         return out
 
-    def audited_links(self, queries: np.ndarray, cosine: float) -> list[np.ndarray]:
-        """``links_of`` with a beam that is widened until it finds the wanted share of the audited queries' links."""
-        audit = np.arange(0, len(queries), AUDIT)
-        exact = [np.flatnonzero(row) for at in range(0, len(audit), TOGETHER) for row in queries[audit[at : at + TOGETHER]] @ self.vectors.T >= cosine]
-        beam = BEAM
+    def audited_links(self, queries: np.ndarray, cosine: float, own: np.ndarray | None = None) -> list[np.ndarray]:
+        """``links_of`` with a beam that is widened until it finds all links of the audited queries; ``own`` is the row of each query itself, or -1."""
+        own, step = np.full(len(queries), -1) if own is None else own, AUDIT
         while True:
-            found = self.links_of(queries[audit], cosine, beam)
-            met = sum(int(np.isin(e, f).sum()) for e, f in zip(exact, found))
-            if met >= RECALL * sum(map(len, exact)) or beam * 4 >= len(self.vectors):
+            audit = np.arange(0, len(queries), step)
+            exact = [np.flatnonzero(row) for at in range(0, len(audit), TOGETHER) for row in queries[audit[at : at + TOGETHER]] @ self.vectors.T >= cosine - _SLACK]
+            links = [e[e != o] for e, o in zip(exact, own[audit])]
+            if step == 1:
+                return exact
+            if sum(map(len, links)) >= EVIDENCE:
                 break
+            step //= 4
+        beam = BEAM
+        while beam * 4 < len(self.vectors) and not all(np.isin(e, f).all() for e, f in zip(links, self.links_of(queries[audit], cosine, beam))):
             beam *= 2
-        return self.links_of(queries, cosine, beam)
+        found = self.links_of(queries, cosine, beam)
+        for q, e in zip(audit.tolist(), exact):
+            found[q] = e
+        return found
 
 
 def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -218,7 +223,8 @@ def _ask(cosine: float):
         asked = np.array(asking["vector"].tolist(), np.float64)
         asked = asked / np.linalg.norm(asked, axis=1, keepdims=True)
         me = asking["node"].to_numpy(np.int64)
-        found = graph.audited_links(asked.astype(np.float32), cosine)
+        place = np.minimum(np.searchsorted(nodes, me), len(nodes) - 1)
+        found = graph.audited_links(asked.astype(np.float32), cosine, np.where(nodes[place] == me, place, -1))
         who = np.repeat(np.arange(len(me)), [len(f) for f in found])
         whom = np.concatenate(found).astype(np.int64)
         linked = (me[who] != nodes[whom])
@@ -283,9 +289,10 @@ def near_duplicate_vectors(table: DataFrame, cosine: float = 0.95, id_col: str =
 
     Equal vectors are one node, so copies are never paired. Nodes are dealt to
     shards by a hash; a task builds the graph of each shard, and every block of
-    8,192 nodes asks every shard. The beam widens until it finds 99.5% of the
-    links of one asking vector in 16, known from looking at all of the shard; a
-    beam full of links is widened to the whole shard. Links are verified in
+    8,192 nodes asks every shard. The beam widens until it finds all links of
+    one asking vector in 16, known from looking at all of the shard, or of more
+    vectors where those have few links; a beam full of links is widened to the
+    whole shard. A link of vectors that are not audited may still be missed. Links are verified in
     double precision. Tasks return a spanning forest of their links, never the
     pairs of a group. When components are known, the links of each vector are
     counted exactly inside its component.
