@@ -20,7 +20,7 @@ def test_equals_sql(spark, name):
 
 def test_all_are_registered():
     assert queries.QUERIES.keys() <= registered.queries().keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")) == list(range(1, 14))
 
 
 def test_pipeline_keeps_columns_and_takes_effect(spark):

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_chunks, mixing, pages, quality, repeats, simhash, tokens, toxicity, vectors
+from tidemark.llm import decontaminate, line_chunks, mixing, pages, quality, repeats, runs, simhash, token_files, tokens, toxicity, vectors, whitening
 from tidemark.llm.labelled import remainder
 
 #: Labels with this remainder of the crc32 of their id are never learned from: (parts, held out).
@@ -76,6 +76,39 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def _folded(docs: DataFrame) -> Column:
+    """The words of each document, periodic from some word on where the crc32 of the id is a multiple of ten."""
+    words, n = F.col("words"), F.size("words")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = (h - h % 10) / 10
+    a = (g % F.when(n > 0, n)).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    turned = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, a + (i - a) % p)))
+    return F.when((h % 10 == 0) & (n > 0), turned).otherwise(words)
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", runs.words_of("text").alias("words"))
+    found = runs.periodic_runs(docs, _folded(docs))
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    best = found.withColumn("best", runs.best_run(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_files.token_file_index(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,7 +118,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontamination, op2_near_vectors, op3_quality, op4_simhash, op5_mixing, op6_main_text,
-        op7_toxicity, op8_repeats, op9_line_chunks, op10_token_counts, pipeline)
+        op7_toxicity, op8_repeats, op9_line_chunks, op10_token_counts,
+        op11_periodic_runs, op12_token_files, op13_whitening, pipeline)
 }
 
 ORACLES: dict[str, str] = {
