@@ -335,9 +335,9 @@ def test_cholesky_and_jacobi():
         matrix = a @ a.T
         factor = whitening.pivoted_cholesky(matrix)
         assert factor.shape[1] == r if r < 10 else factor.shape[1] <= r
-        assert np.allclose(factor @ factor.T, matrix, rtol=0, atol=1e-13 * max(np.abs(matrix).max(), 1))
+        assert np.allclose(factor @ factor.T, matrix, rtol=0, atol=1e-13 * max(np.abs(matrix).max(initial=0), 1))
         turned = whitening.one_sided_jacobi(factor)
         gram = turned.T @ turned
         values = np.sort(np.linalg.eigvalsh(matrix))[::-1][: gram.shape[0]]
-        assert np.allclose(gram, np.diag(np.diag(gram)), atol=1e-13 * max(1, np.abs(gram).max()))
+        assert np.allclose(gram, np.diag(np.diag(gram)), atol=1e-13 * max(1, np.abs(gram).max(initial=0)))
         assert np.allclose(np.diag(gram), values, rtol=1e-9, atol=1e-13 * max(1, np.abs(matrix).max()))
