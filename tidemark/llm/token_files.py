@@ -77,7 +77,7 @@ class Encoder:
             border = _BORDER.search(text, at + CUT_AT_ONCE) if len(text) - at > CUT_AT_ONCE else None
             end = border.start() if border else len(text)
             pieces = _BORDER.split(text[at:end])
-            new = list(set(pieces) - self.known.keys())
+            new = [p for p in set(pieces) if p not in self.known]
             if new:
                 if len(self.known) + len(new) > KEPT_PIECES:
                     self.known.clear()
