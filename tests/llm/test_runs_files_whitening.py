@@ -9,6 +9,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 import zstandard
@@ -163,14 +164,18 @@ def library(tokenizer):
 def test_pieces_give_the_ids_of_whole_texts(tokenizer, library, monkeypatch):
     draw = random.Random(5)
     some = HOSTILE + ["".join(draw.choice("ab 1.'\n\t \x1c é!<|>s") for _ in range(draw.randint(0, 60))) for _ in range(2000)]
-    some += ["".join(draw.choice(HOSTILE) for _ in range(200)) for _ in range(10)]
-    for at_once, kept in ((10**6, 500_000), (50, 40)):
+    some += ["".join(draw.choice(HOSTILE) for _ in range(200)) for _ in range(10)] + [""] + [t.replace("\x00", "") for t in texts(6, 50)]
+    some += [" ".join(draw.choice(["word", "Été", "l'été,", "x.y", "don't", "a1", "straße...", "日本", "a\0b", "<|endoftext|>", "ok<|endoftext|>ok", "\n"]) for _ in range(draw.randint(0, 30))) for _ in range(500)]
+    for at_once, together, kept in ((10**6, 10**6, 500_000), (50, 100, 40)):
         monkeypatch.setattr(token_files, "CUT_AT_ONCE", at_once)
+        monkeypatch.setattr(token_files, "TEXT_AT_ONCE", together)
         monkeypatch.setattr(token_files, "KEPT_PIECES", kept)
         encoder = token_files.Encoder(open(tokenizer, "rb").read())
         assert encoder.by_pieces
-        for text in some:
-            assert np.frombuffer(b"".join(encoder.ids(text)), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+        want = [library.encode(text, add_special_tokens=False).ids for text in some]
+        for text, ids, many in zip(some, want, encoder.all_ids(pa.array(some))):
+            assert np.frombuffer(b"".join(encoder.ids(text)), "<u4").tolist() == ids, repr(text)
+            assert np.frombuffer(b"".join(many), "<u4").tolist() == ids, repr(text)
 
 
 def test_other_tokenizers_get_whole_texts():

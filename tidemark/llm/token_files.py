@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -33,62 +34,116 @@ FRAME_IDS = 1 << 20
 FILE_BYTES, LEVEL = 64_000_000, 3
 #: A tokenizer file larger than this is not sent to the workers.
 MAX_TOKENIZER_BYTES = 64_000_000
-#: Pieces of text kept with their ids by one Python worker, and the longest piece kept.
-KEPT_PIECES, KEPT_LENGTH = 500_000, 48
-#: Characters of a text that are cut into pieces at once.
-CUT_AT_ONCE = 1_000_000
+#: Pieces of text kept with their ids by one Python worker (and as many older ones), and the longest piece kept.
+KEPT_PIECES, KEPT_LENGTH = 600_000, 32
+#: Characters of a text that are cut into pieces at once, and bytes of short texts that are taken together.
+CUT_AT_ONCE, TEXT_AT_ONCE = 1_000_000, 8_000_000
 #: Between something that is no white space and ASCII white space: words of byte-level tokenizers never reach across.
 _BORDER = re.compile(r"(?<=\S)(?=[\t-\r ])")
+#: White space side by side, or a character that borders are marked with: such a text is cut on its own.
+_CROWDED = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}][\t-\r ]|[\t\x0b-\r\x00]"
+#: A word of Latin letters, with the space before it, and what begins with a sign of ASCII behind it.
+_WORD = re.compile(r"""( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~].*)?""", re.S)
 
 
-class Encoder:
+def _printable() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(others)}
+
+
+class Encoder(dict):
     """Ids of whole texts as the tokenizer gives them, as little-endian 32-bit integers.
 
-    Where the tokenizer cuts words at the borders of white space, pieces between
-    borders are encoded by it one by one and those met often are remembered;
-    otherwise it gets whole texts.
+    Where the tokenizer cuts words at the borders of white space, it gets the
+    pieces between borders one by one, and those met before are looked up;
+    otherwise it gets whole texts. A word of letters needs no more cutting and
+    goes to the tokenizer's merging model at once.
     """
 
     def __init__(self, content: bytes):
         from tokenizers import Tokenizer
 
+        super().__init__()
         data = json.loads(content)
         self.tokenizer = Tokenizer.from_str(content.decode("utf-8"))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.merge, self.printable = self.tokenizer.model.tokenize, _printable()
         split, model = data.get("pre_tokenizer") or {}, data["model"]
         added = data.get("added_tokens", [])
         self.by_pieces = (
             split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True) and not data.get("normalizer")
-            and model.get("type") == "BPE" and not model.get("dropout")
-            and not any(t.get("single_word") or t.get("lstrip") or t.get("rstrip") or re.search(r"\s", t["content"]) for t in added))
-        self.known: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+            and not any(t.get("single_word") or t.get("lstrip") or t.get("rstrip") or re.search(r"\s", t["content"]) or t["content"].isalpha() for t in added))
+        self.space = self.printable[32]
+        self.added = [t["content"] for t in added]
+        self.older: dict[str, bytes] = {}
+
+    def _ids(self, piece: str) -> bytes:
+        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, piece: str) -> bytes:
+        out = self.older.get(piece)
+        if out is None:
+            found = _WORD.fullmatch(piece)
+            if found is None:
+                out = self._ids(piece)
+            elif found[2]:  # between a letter and a sign words end
+                out = self._ids(piece) if any(t in piece for t in self.added) else self[found[1]] + self[found[2]]
+            else:
+                word = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.printable)
+                ids = [t.id for t in self.merge(self.space + word[1:] if word[0] == " " else word)]
+                out = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= KEPT_LENGTH:
+            if len(self) >= KEPT_PIECES:  # what is asked for again is taken over from the older ones
+                self.older = dict(self)
+                self.clear()
+            self[piece] = out
+        return out
 
     def ids(self, text: str) -> Iterator[bytes]:
         """The ids of a text in order, in parts."""
         if not self.by_pieces:
-            yield self._encoded([text])[0]
+            yield self._ids(text)
             return
         at = 0
         while at < len(text):
             border = _BORDER.search(text, at + CUT_AT_ONCE) if len(text) - at > CUT_AT_ONCE else None
             end = border.start() if border else len(text)
-            pieces = _BORDER.split(text[at:end])
-            new = [p for p in set(pieces) if p not in self.known]
-            if new:
-                if len(self.known) + len(new) > KEPT_PIECES:
-                    self.known.clear()
-                    new = list(set(pieces))
-                self.known.update(zip(new, self._encoded(new)))
-            yield b"".join(map(self.known.__getitem__, pieces))
-            for piece in new:
-                if len(piece) > KEPT_LENGTH:
-                    del self.known[piece]
+            yield b"".join(map(self.__getitem__, _BORDER.split(text[at:end])))
             at = end
 
+    def _together(self, texts: pa.StringArray) -> Iterator[bytes]:
+        """The ids of each of some texts in which every blank and line feed is a border; equal pieces are looked up once."""
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n")
+        pieces = pc.split_pattern(marked, "\0")
+        coded = pieces.flatten().dictionary_encode()
+        parts = list(map(self.__getitem__, coded.dictionary.to_pylist()))
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(np.frombuffer(b"".join(parts), "<u4")))
+        ids = held.take(coded.indices).flatten().to_numpy().astype("<u4", copy=False)
+        before = np.concatenate([[0], np.cumsum(size[coded.indices.to_numpy()])])[pieces.offsets.to_numpy()]
+        for a, b in zip(before[:-1], before[1:]):
+            yield ids[a:b].tobytes()
+
+    def all_ids(self, texts: pa.StringArray) -> Iterator[Iterable[bytes]]:
+        """The ids of each text, in parts."""
+        if not self.by_pieces:
+            yield from map(self.ids, texts.to_pylist())
+            return
+        size = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        alone = pc.match_substring_regex(texts, _CROWDED).to_numpy(zero_copy_only=False) | (size > CUT_AT_ONCE)
+        a = 0
+        while a < len(texts):
+            b = a + max(1, int(np.searchsorted(np.cumsum(size[a:]), TEXT_AT_ONCE, "right")))
+            easy = self._together(texts.slice(a, b - a).filter(pa.array(~alone[a:b])))
+            for k in range(a, b):
+                yield self.ids(texts[k].as_py()) if alone[k] else [next(easy)]
+            a = b
+
 
 _LOADED: dict[int, Encoder] = {}
 
@@ -204,7 +259,7 @@ def encoded_documents(docs: DataFrame, tokenizer: str, end_id: int | None, id_co
             _LOADED.clear()
             _LOADED[key] = Encoder(shared.value)
         encoder, compress = _LOADED[key], zstandard.ZstdCompressor(level=LEVEL).compress
-        held = [frames([*encoder.ids(text.as_py()), end], compress) for text in batch.column("text")]
+        held = [frames([*ids, end], compress) for ids in encoder.all_ids(batch.column("text"))]
         columns = [pa.array([sum(f[1] for f in x) // 4 for x in held], pa.int64()), pa.array([sum(len(f[0]) for f in x) for x in held], pa.int64()),
                    pa.array([[{"frame": f, "size": n, "checksum": c} for f, n, c in x] for x in held], pa.list_(pa.struct([("frame", pa.binary()), ("size", pa.int64()), ("checksum", pa.int64())])))]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), *columns], ["doc_id", "digest", "n_ids", "n_bytes", "frames"])
