@@ -37,7 +37,7 @@ MAX_TOKENIZER_BYTES = 64_000_000
 #: Pieces of text kept with their ids by one Python worker (and as many older ones), and the longest piece kept.
 KEPT_PIECES, KEPT_LENGTH = 600_000, 32
 #: Characters of a text that are cut into pieces at once, and bytes of short texts that are taken together.
-CUT_AT_ONCE, TEXT_AT_ONCE = 1_000_000, 8_000_000
+CUT_AT_ONCE, TEXT_AT_ONCE = 1_000_000, 16_000_000
 #: Between something that is no white space and ASCII white space: words of byte-level tokenizers never reach across.
 _BORDER = re.compile(r"(?<=\S)(?=[\t-\r ])")
 #: White space side by side, or a character that borders are marked with: such a text is cut on its own.
@@ -92,7 +92,7 @@ class Encoder(dict):
             if found is None:
                 out = self._ids(piece)
             elif found[2]:  # between a letter and a sign words end
-                out = self._ids(piece) if any(t in piece for t in self.added) else self[found[1]] + self[found[2]]
+                return self._ids(piece) if any(t in piece for t in self.added) else self[found[1]] + self[found[2]]
             else:
                 word = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.printable)
                 ids = [t.id for t in self.merge(self.space + word[1:] if word[0] == " " else word)]
@@ -153,11 +153,11 @@ def _checksum(data: bytes) -> int:
     return xxhash.xxh64_intdigest(data) & 0xFFFFFFFF
 
 
-def frames(parts: Iterable[bytes], compress) -> list[tuple[bytes, int, int]]:
-    """(frame, bytes it holds, checksum) for the ids of one document; at least one frame."""
-    out, rest, size = [], b"", FRAME_IDS * 4
+def frames(parts: Iterable[bytes], compress, width: int = 4) -> list[tuple[bytes, int, int]]:
+    """(frame, bytes it holds, checksum) for the ids of one document, in integers of two or four bytes; at least one frame."""
+    out, rest, size = [], b"", FRAME_IDS * width
     for part in parts:
-        rest += part
+        rest += part if width == 4 else np.frombuffer(part, "<u4").astype("<u2").tobytes()
         while len(rest) > size:
             out.append(rest[:size])
             rest = rest[size:]
@@ -171,10 +171,10 @@ def _skippable(magic: int, content: bytes) -> bytes:
 
 
 class FrameFile:
-    """Writes documents to one file: frames, the directory of documents, and the seek table."""
+    """Writes documents to one file: frames, the directory of documents, and the seek table. Ids have ``width`` bytes."""
 
-    def __init__(self, sink):
-        self.sink, self.table, self.ids, self.first_frame = sink, [], [], []
+    def __init__(self, sink, width: int = 4):
+        self.sink, self.width, self.table, self.ids, self.first_frame = sink, width, [], [], []
 
     def add(self, doc_id: int | None, pieces: Iterable[tuple[bytes, int, int]]) -> None:
         self.ids.append(doc_id)
@@ -186,7 +186,7 @@ class FrameFile:
     def finish(self) -> None:
         known = np.array([i is not None for i in self.ids], "u1")
         ids = np.array([i or 0 for i in self.ids], "<i8")
-        directory = struct.pack("<Q", len(self.ids)) + ids.tobytes() + np.array(self.first_frame, "<u4").tobytes() + known.tobytes()
+        directory = struct.pack("<QQ", len(self.ids), self.width) + ids.tobytes() + np.array(self.first_frame, "<u4").tobytes() + known.tobytes()
         block = _skippable(DIRECTORY_FRAME, directory)
         self.sink.write(block)
         table = np.array([*self.table, (len(block), 0, _checksum(b""))], "<u4")
@@ -216,25 +216,25 @@ class FrameReader:
         block = source.read(int(self.starts[-1] - self.starts[-2]))
         if struct.unpack("<II", block[:8]) != (DIRECTORY_FRAME, len(block) - 8):
             raise ValueError("the directory is damaged")
-        n = struct.unpack("<Q", block[8:16])[0]
-        known = np.frombuffer(block, "u1", n, 16 + 12 * n)
-        self.ids = [int(i) if k else None for i, k in zip(np.frombuffer(block, "<i8", n, 16), known)]
-        self.first_frame = np.append(np.frombuffer(block, "<u4", n, 16 + 8 * n).astype(np.int64), number - 1)
+        n, self.width = struct.unpack("<QQ", block[8:24])
+        known = np.frombuffer(block, "u1", n, 24 + 12 * n)
+        self.ids = [int(i) if k else None for i, k in zip(np.frombuffer(block, "<i8", n, 24), known)]
+        self.first_frame = np.append(np.frombuffer(block, "<u4", n, 24 + 8 * n).astype(np.int64), number - 1)
         self.expand = zstandard.ZstdDecompressor()
 
     def tokens(self, k: int) -> int:
         """How many ids document number ``k`` of the file has, from the seek table alone."""
-        return int(self.sizes[self.first_frame[k] : self.first_frame[k + 1]].sum()) // 4
+        return int(self.sizes[self.first_frame[k] : self.first_frame[k + 1]].sum()) // self.width
 
     def parts(self, k: int) -> Iterator[bytes]:
-        """The ids of document number ``k``, frame by frame; each is held against its checksum."""
+        """The ids of document number ``k`` in four bytes each, frame by frame; each frame is held against its checksum."""
         for frame in range(self.first_frame[k], self.first_frame[k + 1]):
             self.source.seek(int(self.starts[frame]))
             data = self.source.read(int(self.starts[frame + 1] - self.starts[frame]))
             held = self.expand.decompress(data, max_output_size=int(self.sizes[frame]) or 1)
             if len(held) != self.sizes[frame] or _checksum(held) != self.checksums[frame]:
                 raise ValueError(f"frame {frame} does not match its checksum")
-            yield held
+            yield held if self.width == 4 else np.frombuffer(held, "<u2").astype("<u4").tobytes()
 
 
 def _opened(path: str) -> tuple[fs.FileSystem, str]:
@@ -245,12 +245,17 @@ _FRAME = "struct<frame: binary, size: bigint, checksum: bigint>"
 
 
 def encoded_documents(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, digest, n_ids, n_bytes, frames`` for every row, where the row lies; ``digest`` is one of the text."""
+    """``doc_id, digest, width, n_bytes, frames`` for every row, where the row lies.
+
+    ``digest`` is one of the text; ``width`` is the bytes of an id, two where the
+    tokenizer has at most 65,536.
+    """
     with open(tokenizer, "rb") as file:
         content = file.read(MAX_TOKENIZER_BYTES + 1)
     if len(content) > MAX_TOKENIZER_BYTES:
         raise ValueError("the tokenizer file is too large to be sent to every worker")
-    Encoder(content)  # an unreadable tokenizer fails here
+    largest = max(Encoder(content).tokenizer.get_vocab().values(), default=0)  # an unreadable tokenizer fails here
+    width = 2 if max(largest, end_id or 0) < 1 << 16 else 4
     shared, key = docs.sparkSession.sparkContext.broadcast(content), hash(content)
     end = b"" if end_id is None else struct.pack("<I", end_id)
 
@@ -259,14 +264,14 @@ def encoded_documents(docs: DataFrame, tokenizer: str, end_id: int | None, id_co
             _LOADED.clear()
             _LOADED[key] = Encoder(shared.value)
         encoder, compress = _LOADED[key], zstandard.ZstdCompressor(level=LEVEL).compress
-        held = [frames([*ids, end], compress) for ids in encoder.all_ids(batch.column("text"))]
-        columns = [pa.array([sum(f[1] for f in x) // 4 for x in held], pa.int64()), pa.array([sum(len(f[0]) for f in x) for x in held], pa.int64()),
+        held = [frames([*ids, end], compress, width) for ids in encoder.all_ids(batch.column("text"))]
+        columns = [pa.array([width] * len(held), pa.int32()), pa.array([sum(len(f[0]) for f in x) for x in held], pa.int64()),
                    pa.array([[{"frame": f, "size": n, "checksum": c} for f, n, c in x] for x in held], pa.list_(pa.struct([("frame", pa.binary()), ("size", pa.int64()), ("checksum", pa.int64())])))]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), *columns], ["doc_id", "digest", "n_ids", "n_bytes", "frames"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), *columns], ["doc_id", "digest", "width", "n_bytes", "frames"])
 
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("digest"), text.alias("text"))
-    return map_batches(rows, encode, f"doc_id bigint, digest bigint, n_ids bigint, n_bytes bigint, frames array<{_FRAME}>")
+    return map_batches(rows, encode, f"doc_id bigint, digest bigint, width int, n_bytes bigint, frames array<{_FRAME}>")
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int | None = 0, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = FILE_BYTES) -> DataFrame:
@@ -294,22 +299,22 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, file, sink, n_ids = TaskContext.get().partitionId(), None, None, 0
         for batch in batches:
-            for doc_id, held in zip(batch.column("doc_id"), batch.column("frames")):
+            for doc_id, width, held in zip(*map(batch.column, ("doc_id", "width", "frames"))):
                 if file is None:
                     path = f"{folder}/ids-{part:06d}-{uuid.uuid4().hex}.zst"
                     system, place = _opened(path)
                     system.create_dir(place.rsplit("/", 1)[0], recursive=True)
                     sink = system.open_output_stream(place, compression=None)
-                    file = FrameFile(sink)
+                    file = FrameFile(sink, width.as_py())
                 pieces = [(x["frame"], x["size"], x["checksum"]) for x in held.as_py()]
-                n_ids += sum(x[1] for x in pieces) // 4
+                n_ids += sum(x[1] for x in pieces) // file.width
                 file.add(doc_id.as_py(), pieces)
         if file is not None:
             file.finish()
             sink.close()
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "file": [path], "n_docs": [len(file.ids)], "n_ids": [n_ids]})
 
-    sorted_rows = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).select("doc_id", "frames")
+    sorted_rows = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).select("doc_id", "width", "frames")
     listed = stored(sorted_rows.mapInArrow(write, kind), "token-files")
     upto = running_total(listed, [], ["part"], F.col("n_ids"), "upto")
     return upto.select("part", "file", "n_docs", "n_ids", (F.col("upto") - F.col("n_ids")).alias("start"))
