@@ -8,7 +8,9 @@ from tidemark.functions import arrays as a
 from tidemark.operators import series as s
 from tidemark.operators.distance import distance_matrix, nearest
 from tidemark.operators.ordered import running_total
-from tidemark.operators.stats import percentiles
+from tidemark.operators.stats import (
+    approx_percentiles, from_sketches, groups_where_any, merge_sketches, percentiles, quantile_sketches,
+)
 from tidemark.operators.text import string_agg, word_index
 
 
@@ -139,10 +141,132 @@ def test_distances_match_brute_force(spark, held):
     want = {(i, j): sum((p - q) ** 2 for p, q in zip(x, y)) ** 0.5 for i, x in xs for j, y in ys}
     got = {(i, j): d for i, j, d in rows(distance_matrix(left, "i", "x", right, "j", "y", held))}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
-    near = rows(nearest(left, "i", "x", right, "j", "y", 2, held))
-    for i, _ in xs:
-        best = sorted((want[i, j], j) for j, _ in ys)[:2]
-        assert sorted((d, j) for a_, j, d in near if a_ == i) == [(pytest.approx(d), j) for d, j in best]
-    for compared in (distance_matrix, nearest):
-        with pytest.raises(ValueError):
-            compared(left, "i", "x", right, "j", "y", held_cells=held, most_right=6)
+    with pytest.raises(ValueError):
+        distance_matrix(left, "i", "x", right, "j", "y", held_cells=held, most_right=6)
+
+
+def brute_nearest(xs, ys, n):
+    return {i: sorted((sum((p - q) ** 2 for p, q in zip(x, y)) ** 0.5, j) for j, y in ys)[:n] for i, x in xs}
+
+
+@pytest.mark.parametrize("n, held, pivots", [(1, 4, 2), (3, 5, 4), (2, 1000, 1), (50, 7, 3)])
+def test_nearest_equals_brute_force(spark, n, held, pivots):
+    chance = random.Random(n)
+    xs = [(i, [chance.random() * 9 for _ in range(3)]) for i in range(60)]
+    ys = [(i, [chance.random() * 9 for _ in range(3)]) for i in range(40)] + [(100 + i, xs[3][1]) for i in range(9)]
+    odd = [(900, None), (901, [float("nan")] * 3), (902, [None, 1.0, 2.0])]
+    left, right = spark.createDataFrame(xs + odd, "i long, x array<double>"), spark.createDataFrame(ys + odd, "j long, y array<double>")
+    got = {}
+    for r in nearest(left, "i", "x", right, "j", "y", n, held, pivots).collect():
+        got.setdefault(r.left_id, []).append((r.distance, r.right_id))
+    want = brute_nearest(xs, ys, n)
+    assert {i: sorted(v) for i, v in got.items()} == {i: [(pytest.approx(d), j) for d, j in v] for i, v in want.items()}
+    assert nearest(left, "i", "x", right.limit(0), "j", "y").count() == nearest(left.limit(0), "i", "x", right, "j", "y").count() == 0
+
+
+def test_nearest_skips_most_pairs_of_low_dimension(spark):
+    chance = random.Random(7)
+    centres = [[chance.random() * 100 for _ in range(2)] for _ in range(30)]
+    ys = [(i, [c + chance.random() for c in centres[i % 30]]) for i in range(3000)]
+    xs = [(i, [c + chance.random() for c in centres[i % 30]]) for i in range(300)]
+    left, right = spark.createDataFrame(xs, "i long, x array<double>"), spark.createDataFrame(ys, "j long, y array<double>")
+    found = nearest(left, "i", "x", right, "j", "y", 2, held_rows=64, pivots=32, compared="compared").collect()
+    want = brute_nearest(xs, ys, 2)
+    assert sorted((r.left_id, r.right_id) for r in found) == sorted((i, j) for i, v in want.items() for _, j in v)
+    share = sum(r.compared for r in found) / 2 / (300 * 3000)
+    assert share < 0.15
+
+
+def test_nearest_refuses_too_many_blocks(spark, monkeypatch):
+    from tidemark.operators import distance
+
+    monkeypatch.setattr(distance, "MOST_BLOCKS", 2)
+    df = spark.createDataFrame([(i, [float(i)]) for i in range(9)], "i long, x array<double>")
+    with pytest.raises(ValueError):
+        nearest(df, "i", "x", df, "i", "x", held_rows=1)
+
+
+def test_string_agg_in_pieces(spark):
+    """A hot group is joined in several pieces, of which each holds a slice of its values."""
+    from tidemark.operators.text import text_pieces
+
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(30_000).selectExpr("if(id % 3 = 0, 0, id) AS k", "lpad(id, 6, '0') AS v")
+        pieces = text_pieces(df, ["k"], "v", ",", False).filter("k = 0").orderBy("piece").collect()
+        assert len(pieces) >= 2 and max(p.text.count(",") for p in pieces) < 9_900
+        assert ",".join(p.text for p in pieces) == ",".join(f"{i:06d}" for i in range(0, 30_000, 3))
+        whole = string_agg(df, ["k"], "v", "x", ",")
+        assert whole.count() == 20_001 and whole.filter("k = 0").first()["x"] == ",".join(p.text for p in pieces)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+
+
+def test_string_agg_of_null_keys_and_empty_texts(spark):
+    df = spark.createDataFrame([(None, "b"), (None, "a"), ("k", ""), ("k", "z"), ("n", None)], "k string, v string")
+    assert dict(rows(string_agg(df, ["k"], "v", "x"))) == {None: "a, b", "k": ", z", "n": None}
+
+
+def test_runs_in_blocks_of_blocks(spark):
+    """With blocks of two positions and three blocks a level, no window holds more than a few edges."""
+    import itertools
+
+    chance = random.Random(8)
+    values = [chance.choice("aab") for _ in range(20_000)] + ["c"] * 500 + [None] * 20
+    positions = sorted(chance.sample(range(10**6), len(values)))
+    df = spark.createDataFrame([("x", p, v) for p, v in zip(positions, values)] + [("y", 5, "q")], "s string, pos long, v string")
+    want = {("y", 5, "q", 1)}
+    at = 0
+    for v, some in itertools.groupby(values):
+        k = len(list(some))
+        want.add(("x", positions[at], v, k))
+        at += k
+    got = rows(s.run_lengths(df, "s", "pos", "v", block=2, fan=3), "s", "start_pos", "val", "run_length")
+    assert set(got) == want and len(got) == len(want)
+    numbers = [chance.randrange(4) for _ in range(5_000)]
+    places = sorted(chance.sample(range(10**5), len(numbers)))
+    series = spark.createDataFrame([("x", p, v) for p, v in zip(places, numbers)], "s string, pos long, v int")
+    best = max(b for a_, b in zip(numbers, numbers[1:]) if a_ == 0)
+    assert rows(s.max_after(series, "s", "pos", "v", 0, block=2, fan=3)) == [("x", best)]
+
+
+def test_edges_left_for_the_last_window_are_few(spark):
+    """A series of 100,000 runs of one: each level leaves two edges per block of blocks."""
+    df = spark.range(100_000).selectExpr("'x' AS s", "id AS pos", "id % 2 AS v")
+    pieces, done = s._pieces(df, "s", "pos", "v", 2)
+    edges, _ = s._merged_levels(pieces, done, 10, s._levels(pieces, 10))
+    assert edges.count() <= 2 * 10
+    runs = s.run_lengths(df, "s", "pos", "v", block=2, fan=10)
+    assert runs.count() == 100_000 and runs.filter("run_length <> 1").count() == 0
+
+
+def test_approximate_percentiles(spark):
+    chance = random.Random(9)
+    data = [(chance.choice("ab"), chance.lognormvariate(0, 1)) for _ in range(20_000)] + [("a", None), ("c", None), ("b", float("nan"))]
+    df = spark.createDataFrame(data, "k string, v double")
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup())
+    found = approx_percentiles(df, "v", {"p10": 0.1, "p50": 0.5, "p99": 0.99}, ["k"])
+    assert len(jobs.getJobIdsForGroup()) == before  # nothing runs while the frame is built
+    merged = from_sketches(merge_sketches(quantile_sketches(df.withColumn("part", F.col("v") > 1), "v", ["k", "part"]), ["k"]), {"p50": 0.5})
+    for k in "ab":
+        known = sorted(v for key, v in data if key == k and v is not None and v == v)
+
+        def off(value, p):
+            return abs(sum(v <= value for v in known) / len(known) - p)
+
+        r = found.filter(F.col("k") == k).first()
+        assert off(r.p10, 0.1) < 0.015 and off(r.p50, 0.5) < 0.015 and off(r.p99, 0.99) < 0.015
+        assert off(merged.filter(F.col("k") == k).first()["p50"], 0.5) < 0.02
+        assert merged.filter(F.col("k") == k).first()["n"] == len(known)
+    assert found.count() == 2
+
+
+def test_any_predicate_of_a_group(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 9), (None, 1), ("b", None)], "k string, v int")
+    got = groups_where_any(df, "k", ["v"], lambda g: g["v"].max() - g["v"].min() == 1)
+    assert sorted(rows(got, "k", "group_size", "passes")) == [("a", 2, True), ("b", 2, False)]
+    with pytest.raises(ValueError):
+        groups_where_any(df, "k", ["v"], len, most_rows=1)
+    assert groups_where_any(df.limit(0), "k", ["v"], len).count() == 0

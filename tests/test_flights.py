@@ -269,3 +269,100 @@ def test_policy_hides_null_countries(spark, mapping):
     assert rows(apply_row_policy(df, mapping, "country", "FRANCE_MANAGER"), "id") == [(1,)]
     assert apply_row_policy(df, mapping, "country", "ACCOUNTADMIN").count() == 3
     assert apply_row_policy(df, mapping, "country").count() == 0
+
+
+def test_merge_leaves_bucketed_silver_where_it_lies(spark, tmp_path):
+    """The batch is dealt to the buckets; above the scan of silver there is no exchange."""
+    from tidemark.operators.merge import absent_from
+
+    chain = FlightsChain(spark, str(tmp_path), clock=clock(), buckets=4)
+    for batch in BATCHES:
+        chain.land(raw(spark, batch))
+        chain.process_silver()
+    assert chain.silver.current().count() == 4
+    files = list((tmp_path / "silver" / "data").glob("write=*/*.parquet"))
+    assert files and all(int(file.name.rsplit("_", 1)[1][:5]) < 4 for file in files)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        batch = f.silver_batch(raw(spark, BATCHES[1]))
+        fresh = absent_from(batch, chain.silver.current(), "flight_hash")
+        assert fresh.count() == 0
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    join = next(i for i, line in enumerate(plan.splitlines()) if "LeftAnti" in line)
+    silver = [line for line in plan.splitlines()[join:] if "Bucketed: true" in line]
+    assert len(silver) == 1 and "SelectedBucketsCount: 4 out of 4" in silver[0]
+    # One exchange deals the batch; the only other one sends the commit rows.
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 1 and plan.index("Exchange hashpartitioning") < plan.index("Bucketed: true")
+
+
+def test_bucketed_log_keeps_its_number_of_buckets(spark, tmp_path):
+    log = ChangeLog(spark, str(tmp_path / "log"), "id int, v string", "id", buckets=3)
+    rows_of = lambda a, b: ids(spark, a, b).withColumn("v", F.lit("x"))
+    assert log.append(rows_of(0, 5), batch="a") == 5
+    other = ChangeLog(spark, str(tmp_path / "log"), "id int, v string", "id", buckets=7)
+    assert other.append(rows_of(5, 9), batch="b") == 4 and other.append(rows_of(0, 99), batch="b") == 4
+    assert log.delete_where(F.col("id") < 2) == 2 and sorted(r[0] for r in rows(other.current(), "id")) == list(range(2, 9))
+    spark.sql(f"DROP TABLE {log._table()}")  # as in a new application: the folders are found again
+    again = ChangeLog(spark, str(tmp_path / "log"), "id int, v string", "id", buckets=9)
+    assert again.current().count() == 7 and again.buckets == 3
+    orphan(rows_of(50, 60), again)
+    assert again.current().count() == 7
+
+
+def test_gold_rewrites_only_the_dates_of_a_batch(spark, tmp_path):
+    chain = FlightsChain(spark, str(tmp_path), clock=clock())
+    chain.land(raw(spark, BATCHES[0]))
+    chain.run()
+
+    def files():
+        return {str(p) for p in (tmp_path / "gold").rglob("*.parquet")}
+
+    before = files()
+    assert any("stat_date=2022-06-28" in p for p in before) and any("__HIVE_DEFAULT_PARTITION__" in p for p in before)
+    chain.land(raw(spark, [("9", "P9", "30", "7/1/2022", "C", "X", "Spain")]))
+    assert chain.run()[1] == "Gold Layer Updated. Rows merged: 1"
+    assert before < files() and all("stat_date=2022-07-01" in p for p in files() - before)
+    chain.land(raw(spark, [("10", "P9", "30", "6/28/2022", "A", "Q", "Spain"), ("11", "P9", "30", "never", "A", "Q", "Spain")]))
+    chain.run()
+    kept = before & files()
+    assert not kept and recount(chain) is False  # rows without a date are added, not merged
+    assert gold(chain) == [("2022-06-28", "A", 3, 2, 3), ("2022-07-01", "C", 1, 1, 1), (None, "A", 1, 1, 1), (None, "A", 1, 1, 1)]
+
+
+def test_batch_that_comes_again_adds_nothing_to_gold(spark):
+    from tidemark.operators.merge import add_batch
+
+    at = dt.datetime(2024, 1, 1)
+    data = raw(spark, [(str(i), f"P{i}", "1", "6/1/2022" if i % 3 else "x", "AB"[i % 2], f"L{i % 5}", "x") for i in range(30)])
+    silver = f.silver_batch(data)
+    empty = f.daily_stats(silver.limit(0), sketch=True).withColumn("updated_at", F.lit(at)).withColumn("last_batch", F.lit("0"))
+    stats = f.daily_stats(silver, sketch=True)
+    once = add_batch(empty, stats, "b1", at)
+    again = add_batch(once, stats, "b1", at)
+    counts = ["stat_date", "airport_name", "total_flights", "unique_pilots", "passengers_served", "last_batch"]
+    assert sorted(rows(once, *counts), key=str) == sorted(rows(again, *counts), key=str)
+    more = rows(add_batch(once, stats, "b2", at).filter("stat_date is not null"), *counts)
+    assert {r[2] for r in more} == {2 * r[2] for r in rows(once.filter("stat_date is not null"), *counts)}
+
+
+def test_sketches_of_batches_estimate_all_pilots(spark):
+    from tidemark.operators.merge import add_batch
+
+    at = dt.datetime(2024, 1, 1)
+    people = spark.range(60_000).select(
+        F.lit(dt.date(2022, 6, 1)).alias("departure_date"), F.when(F.col("id") % 3 == 0, "A").otherwise("B").alias("airport_name"),
+        F.when(F.col("id") % 7 != 0, F.concat(F.lit("L"), F.col("id") % 30_011)).alias("pilot_name"),
+        F.col("id").cast("string").alias("flight_hash"), F.col("id").alias("passenger_id"))
+    state = f.daily_stats(people.limit(0), sketch=True).withColumn("updated_at", F.lit(at)).withColumn("last_batch", F.lit("0"))
+    for k in range(3):
+        state = add_batch(state, f.daily_stats(people.filter(F.col("id") % 3 >= 0).filter(F.pmod(F.xxhash64("id"), F.lit(3)) == k), sketch=True), f"b{k}", at)
+    exact = {r[0]: r[1] for r in rows(f.daily_stats(people), "airport_name", "unique_pilots")}
+    once = {r[0]: r[1] for r in rows(f.estimated_pilots(f.daily_stats(people, sketch=True)), "airport_name", "estimated_pilots")}
+    for name, bound, estimate in rows(f.estimated_pilots(state), "airport_name", "unique_pilots", "estimated_pilots"):
+        assert bound < exact[name] and abs(estimate - exact[name]) <= 0.05 * exact[name] and abs(estimate - once[name]) <= 0.03 * exact[name]

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.arrays import euclidean
+from tidemark.operators.ordered import running_total
+from tidemark.session import checkpointed
 
 # Total cells of the right-hand vectors that may travel with every task.
 HELD_CELLS = 1_000_000
@@ -74,6 +76,35 @@ def distance_matrix(
     )
 
 
+def _sound(vector: str) -> Column:
+    return F.col(vector).isNotNull() & ~F.exists(vector, lambda c: c.isNull() | F.isnan(c.cast("double")))
+
+
+def _rings(right: DataFrame, right_id: str, right_vector: str, pivots: int, held_rows: int) -> tuple[DataFrame, DataFrame, Column]:
+    """The right vectors in blocks, one row per block about its distances, and the pivots.
+
+    Pivots are a bounded sample of the vectors. A vector belongs to its nearest
+    pivot, and those of a pivot are cut into rings by their distance to it.
+    Ranks come from a running total, so that a block has ``held_rows`` vectors
+    at most, also around a pivot that most vectors are near to.
+    """
+    y = right.filter(_sound(right_vector)).select(F.col(right_id).alias("id"), F.col(right_vector).cast("array<double>").alias("vec"))
+    chosen = y.orderBy(F.xxhash64("id"), "id").limit(pivots).agg(F.collect_list("vec")).scalar()
+    near = F.array_min(F.transform("pivots", lambda p, k: F.struct(euclidean(F.col("vec"), p).alias("reach"), k.alias("pivot"))))
+    owned = y.withColumn("pivots", chosen).withColumn("near", near).select("id", "vec", "near.pivot", "near.reach")
+    ranked = running_total(owned, ["pivot"], ["reach", "id"], F.lit(1), "place")
+    in_blocks = checkpointed(ranked.groupBy("pivot", F.expr(f"(place - 1) div {int(held_rows)}").alias("ring")).agg(
+        F.min("reach").alias("low"), F.max("reach").alias("high"), F.sort_array(F.collect_list(F.struct("id", "vec", "reach"))).alias("held")))
+    about = in_blocks.select(F.struct("pivot", "ring", "low", "high").alias("block"))
+    return in_blocks, about, chosen
+
+
+# Blocks of right vectors whose bounds every left row looks at; more are refused.
+MOST_BLOCKS = 200_000
+# Copies of a block, over which the left rows that visit it are dealt.
+SALTS = 16
+
+
 def nearest(
     left: DataFrame,
     left_id: str,
@@ -82,23 +113,63 @@ def nearest(
     right_id: str,
     right_vector: str,
     n: int = 1,
-    held_cells: int = HELD_CELLS,
-    most_right: int = MOST_RIGHT,
+    held_rows: int = 1024,
+    pivots: int = 64,
+    compared: str | None = None,
 ) -> DataFrame:
-    """The ``n`` nearest right vectors of every left one, exactly: ``left_id, right_id, distance``.
-
-    The right side is a stated set of at most ``most_right`` reference vectors.
-    Every block proposes its own ``n`` inside the row; the best of the
-    proposals remain, so the matrix is never written out.
+    """The ``n`` nearest right vectors of every left one, exactly: ``left_id, right_id, distance``; ties go by id.
+
+    The right vectors lie in rings around pivots. By the triangle inequality, the
+    distances of a left vector to the pivots bound those to each ring from
+    below. A left row visits the ring that may be nearest first; only rings
+    that may hold something as near as its ``n``-th find are visited next, and
+    of their vectors only those that may be as near are compared. Left ids are
+    unique. Vectors that are NULL or hold NULL or NaN are left out on both
+    sides. ``compared`` names a column for the number of right vectors that a left
+    row was compared with, the pivots aside. Right sides of more than
+    ``MOST_BLOCKS`` blocks raise a ValueError.
     """
-    met, blocks = _meet(left, left_id, left_vector, right, right_id, right_vector, held_cells, most_right)
-    scored = F.transform(
-        F.col("held"),
-        lambda y: F.struct(euclidean(F.col("x"), y["vec"]).alias("distance"), y["id"].alias("right_id")),
-    )
-    best = met.select("left_id", F.slice(F.sort_array(scored), 1, n).alias("best"))
-    if blocks > 1:
-        best = best.groupBy("left_id").agg(F.flatten(F.collect_list("best")).alias("best"))
-    return best.select("left_id", F.inline(F.slice(F.sort_array("best"), 1, n))).select(
-        "left_id", "right_id", "distance"
+    in_blocks, about, chosen = _rings(right, right_id, right_vector, pivots, held_rows)
+    if about.count() > MOST_BLOCKS:
+        raise ValueError(f"more than {MOST_BLOCKS} blocks of {held_rows} vectors; hold more in a block")
+    x = left.filter(_sound(left_vector)).select(F.col(left_id).alias("left_id"), F.col(left_vector).cast("array<double>").alias("x"))
+    blocks = about.agg(F.collect_list("block")).scalar()
+    x = x.withColumn("pivots", chosen).withColumn("away", F.transform("pivots", lambda p: euclidean(F.col("x"), p)))
+    x = x.drop("pivots").filter(F.size("away") > 0)
+
+    def bound(low: Column, high: Column, away: Column) -> Column:
+        """The least distance to a vector that is ``low`` to ``high`` from a pivot, less what rounding may add."""
+        return F.greatest(away - high, low - away, F.lit(0.0)) - (away + high) * 1e-12
+
+    def bounds() -> Column:
+        return F.transform("blocks", lambda b: F.struct(
+            bound(b["low"], b["high"], F.get("away", b["pivot"])).alias("bound"),
+            F.abs(F.get("away", b["pivot"]) - (b["low"] + b["high"]) / 2).alias("off"), b["pivot"].alias("pivot"), b["ring"].alias("ring")))
+
+    def finds(worst: Column | None) -> Column:
+        """The best of a block among those that may be as near as ``worst``, and how many were compared."""
+        away = F.get("away", F.col("pivot"))
+        held = F.col("held")
+        if worst is not None:
+            held = F.filter(held, lambda y: worst.isNull() | (bound(y["reach"], y["reach"], away) <= worst))
+        found = F.transform(held, lambda y: F.struct(euclidean(F.col("x"), y["vec"]).alias("distance"), y["id"].alias("right_id")))
+        return F.struct(F.slice(F.sort_array(found), 1, n).alias("best"), F.size(held).cast("long").alias("compared"))
+
+    salted = in_blocks.select("pivot", "ring", "held", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salt = F.pmod(F.xxhash64("left_id"), F.lit(SALTS)).cast("int")
+    first = (
+        x.withColumn("blocks", blocks).withColumn("nearest", F.array_min(bounds())).select("left_id", "x", "away", "nearest.pivot", "nearest.ring", salt.alias("salt"))
+        .join(salted, ["pivot", "ring", "salt"])
+        .select("left_id", "x", "away", F.col("pivot").alias("was_pivot"), F.col("ring").alias("was_ring"), finds(None).alias("found"))
+        .withColumn("worst", F.get("found.best", F.lit(n - 1))["distance"])
     )
+    may = F.filter(bounds(), lambda b: ((b["pivot"] != F.col("was_pivot")) | (b["ring"] != F.col("was_ring")))
+                   & (F.col("worst").isNull() | (b["bound"] <= F.col("worst"))))
+    places = F.transform(may, lambda b: F.struct(b["pivot"].alias("pivot"), b["ring"].alias("ring")))
+    visits = first.withColumn("blocks", blocks).select("left_id", "x", "away", "found", "worst", F.explode(F.concat(
+        F.array(F.struct(F.lit(None).cast("int").alias("pivot"), F.lit(None).cast("long").alias("ring"))), places)).alias("to"))
+    seen = visits.select("left_id", "x", "away", "found", "worst", "to.pivot", "to.ring", salt.alias("salt")).join(salted, ["pivot", "ring", "salt"], "left")
+    each = seen.select("left_id", F.when(F.col("held").isNull(), F.col("found")).otherwise(finds(F.col("worst"))).alias("found"))
+    all_of = each.groupBy("left_id").agg(F.flatten(F.collect_list("found.best")).alias("best"), F.sum("found.compared").alias("compared"))
+    out = all_of.select("left_id", "compared", F.inline(F.slice(F.sort_array("best"), 1, n)))
+    return out.select("left_id", "right_id", "distance", *([F.col("compared").alias(compared)] if compared else []))

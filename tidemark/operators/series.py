@@ -3,7 +3,9 @@
 ``pos`` is an integer, unique within a series. A series is cut into blocks of
 ``BLOCK`` consecutive positions, so no task holds more than ``BLOCK`` rows of
 one series at a time; what crosses a block edge is settled on one summary row
-or two per block.
+or two per block. Where a series has more than ``FAN`` blocks, blocks are taken
+together ``FAN`` at a time, level by level, so that no window holds the
+summary rows of a whole series either.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.ordered import block_of
 
 BLOCK = 65_536
+FAN = 32_768
 
 
 def _blocked(df: DataFrame, series: str, pos: str, val: str, block: int) -> DataFrame:
@@ -25,12 +28,20 @@ def _blocked(df: DataFrame, series: str, pos: str, val: str, block: int) -> Data
     )
 
 
-def run_lengths(df: DataFrame, series: str, pos: str, val: str, block: int = BLOCK) -> DataFrame:
-    """Runs of adjacent equal values: ``series, start_pos, val, run_length``. NULL equals NULL.
+def _levels(blocks: DataFrame, fan: int) -> int:
+    """How often ``fan`` neighbouring blocks are taken together before a series is left with ``fan`` of them at most."""
+    ends = blocks.agg(F.min("block").alias("low"), F.max("block").alias("high")).first()
+    wide, levels = 0 if ends["low"] is None else ends["high"] - ends["low"] + 1, 0
+    while wide > fan:
+        wide, levels = wide // fan + 1, levels + 1
+    return levels
+
+
+def _pieces(df: DataFrame, series: str, pos: str, val: str, block: int) -> tuple[DataFrame, DataFrame]:
+    """The runs of each block that may go on in a neighbouring one, and those that may not.
 
     Inside a block a run lasts until the next row that starts one, or to the
-    last row of the block. Only the first and the last run of a block can go on
-    in a neighbouring one; those are joined up along the series.
+    last row of the block.
     """
     inside = Window.partitionBy("series", "block").orderBy("pos")
     marked = _blocked(df, series, pos, val, block).select(
@@ -48,25 +59,52 @@ def run_lengths(df: DataFrame, series: str, pos: str, val: str, block: int = BLO
         .alias("n"),
         ((F.col("at") == 1) | F.col("ends") | ~next_starts).alias("at_edge"),
     ).filter("starts")
-    done = runs.filter(~F.col("at_edge")).select("series", "start_pos", "val", F.col("n").alias("run_length"))
+    kept = ["series", "start_pos", "val"]
+    return (runs.filter("at_edge").select("series", "block", "start_pos", "val", "n"),
+            runs.filter(~F.col("at_edge")).select(*kept, F.col("n").alias("run_length")))
+
 
-    along = Window.partitionBy("series").orderBy("start_pos")
+def _joined(edges: DataFrame, *within: str) -> DataFrame:
+    """Edges of neighbouring blocks joined up to runs along the series, with their number ``run_id``."""
+    along = Window.partitionBy("series", *within).orderBy("start_pos")
     goes_on = (F.lag("block").over(along) != F.col("block")) & F.col("val").eqNullSafe(F.lag("val").over(along))
-    edge = runs.filter("at_edge").withColumn("opens", F.when(goes_on, 0).otherwise(1))
-    merged = (
-        edge.withColumn("run_id", F.sum("opens").over(along))
-        .groupBy("series", "run_id")
-        .agg(F.min("start_pos").alias("start_pos"), F.first("val").alias("val"), F.sum("n").alias("run_length"))
-        .select("series", "start_pos", "val", "run_length")
+    return (
+        edges.withColumn("opens", F.when(goes_on, 0).otherwise(1))
+        .withColumn("run_id", F.sum("opens").over(along))
+        .groupBy("series", *within, "run_id")
+        .agg(F.min("start_pos").alias("start_pos"), F.first("val").alias("val"), F.sum("n").alias("n"))
     )
+
+
+def _merged_levels(edges: DataFrame, done: DataFrame, fan: int, levels: int) -> tuple[DataFrame, DataFrame]:
+    """The edges after so many levels, and all runs that are settled by then."""
+    for _ in range(levels):
+        wide = edges.withColumn("wide", block_of("block", fan))
+        joined = _joined(wide, "wide").withColumn("last_id", F.max("run_id").over(Window.partitionBy("series", "wide")))
+        at_edge = (F.col("run_id") == 1) | (F.col("run_id") == F.col("last_id"))
+        done = done.unionByName(joined.filter(~at_edge).select("series", "start_pos", "val", F.col("n").alias("run_length")))
+        edges = joined.filter(at_edge).select("series", F.col("wide").alias("block"), "start_pos", "val", "n")
+    return edges, done
+
+
+def run_lengths(df: DataFrame, series: str, pos: str, val: str, block: int = BLOCK, fan: int = FAN) -> DataFrame:
+    """Runs of adjacent equal values: ``series, start_pos, val, run_length``. NULL equals NULL.
+
+    Only the first and the last run of a block can go on in a neighbouring
+    one; those are joined up along the series.
+    """
+    edges, done = _pieces(df, series, pos, val, block)
+    levels = _levels(_blocked(df, series, pos, val, block), fan)
+    edges, done = _merged_levels(edges, done, fan, levels)
+    merged = _joined(edges).select("series", "start_pos", "val", F.col("n").alias("run_length"))
     return done.unionByName(merged).withColumnRenamed("series", series)
 
 
-def max_after(df: DataFrame, series: str, pos: str, val: str, marker=0, block: int = BLOCK) -> DataFrame:
+def max_after(df: DataFrame, series: str, pos: str, val: str, marker=0, block: int = BLOCK, fan: int = FAN) -> DataFrame:
     """Largest value per series whose predecessor equals ``marker``; NULL if there is none."""
     rows = _blocked(df, series, pos, val, block)
     inside = Window.partitionBy("series", "block").orderBy("pos")
-    per_block = (
+    blocks = (
         rows.withColumn("prev", F.lag("val").over(inside))
         .groupBy("series", "block")
         .agg(
@@ -75,10 +113,21 @@ def max_after(df: DataFrame, series: str, pos: str, val: str, marker=0, block: i
             F.max_by("val", "pos").alias("last_val"),
         )
     )
-    along = Window.partitionBy("series").orderBy("block")
+
+    def met(blocks: DataFrame, *within: str) -> DataFrame:
+        """With ``edge``: the first value of a block whose predecessor is the last one of the block before."""
+        along = Window.partitionBy("series", *within).orderBy("block")
+        return blocks.withColumn("edge", F.when(F.lag("last_val").over(along) == marker, F.col("first_val")))
+
+    for _ in range(_levels(rows, fan)):
+        blocks = (
+            met(blocks.withColumn("wide", block_of("block", fan)), "wide").groupBy("series", "wide")
+            .agg(F.max(F.greatest("best", "edge")).alias("best"), F.min_by("first_val", "block").alias("first_val"),
+                 F.max_by("last_val", "block").alias("last_val"))
+            .withColumnRenamed("wide", "block")
+        )
     return (
-        per_block.withColumn("edge", F.when(F.lag("last_val").over(along) == marker, F.col("first_val")))
-        .groupBy("series")
+        met(blocks).groupBy("series")
         .agg(F.max(F.greatest("best", "edge")).alias("max_after"))
         .withColumnRenamed("series", series)
     )

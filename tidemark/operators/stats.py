@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +59,44 @@ def percentiles(
     return placed.groupBy(*keys).agg(*out)
 
 
+def quantile_sketches(df: DataFrame, value: str, keys: list[str] | None = None, k: int = 400) -> DataFrame:
+    """``keys, n, sketch``: one KLL sketch of the known values of each group.
+
+    A sketch holds some thousands of bytes however many rows it stands for.
+    Sketches of parts merge into one of the whole with ``merge_sketches``, so a
+    stored table of them answers for any union of its rows without reading them.
+    """
+    v = F.col(value).cast("double")
+    known = df.filter(v.isNotNull() & ~F.isnan(v))
+    return known.groupBy(*(keys or [])).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(v, k).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, keys: list[str] | None = None, k: int = 400) -> DataFrame:
+    """The sketches of coarser groups from those of finer ones or of several batches."""
+    return sketches.groupBy(*(keys or [])).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", k).alias("sketch"))
+
+
+def from_sketches(sketches: DataFrame, probabilities: dict[str, float]) -> DataFrame:
+    """The sketch replaced by one column per named probability: a value whose rank is near that share of the rows."""
+    kept = [c for c in sketches.columns if c != "sketch"]
+    named = [F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias(name) for name, p in probabilities.items()]
+    return sketches.select(*kept, *named)
+
+
+def approx_percentiles(
+    df: DataFrame, value: str, probabilities: dict[str, float], keys: list[str] | None = None, k: int = 400
+) -> DataFrame:
+    """Percentiles from one pass with partial results, one column per named probability.
+
+    The approximate form of ``percentiles``: each is a value of the group whose
+    rank differs from the asked one by less than about 1% of the group's rows
+    (``k`` = 400; the error falls as 1/``k``). NULL and NaN do not count, and a group
+    without other values has no row. No job runs while the frame is built.
+    """
+    out = from_sketches(quantile_sketches(df, value, keys, k), probabilities)
+    return out.select(*(keys or []), *probabilities)
+
+
 def describe(
     df: DataFrame,
     value: str,
@@ -95,6 +136,33 @@ def group_mean(df: DataFrame, keys: list[str], value: str, name: str) -> DataFra
     return df.groupBy(*keys).agg(F.avg(value).alias(name))
 
 
+# Rows of a group that one Python call may get.
+MOST_GROUP_ROWS = 1_000_000
+
+
+def groups_where_any(
+    df: DataFrame, key: str, columns: list[str], predicate: Callable[[pd.DataFrame], bool], most_rows: int = MOST_GROUP_ROWS
+) -> DataFrame:
+    """Groups for which a function of all their rows holds: ``key, group_size, passes``; rows with a NULL key are left out.
+
+    For conditions that aggregates cannot express; ``groups_where`` is the form
+    to prefer otherwise. ``predicate`` gets the named columns of one group as
+    a pandas frame, in no order. The sizes of groups are counted first, with
+    partial counts, and a group of more than ``most_rows`` raises a ValueError
+    before any is gathered.
+    """
+    known = df.filter(F.col(key).isNotNull()).select(key, *[c for c in columns if c != key])
+    largest = known.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    if largest > most_rows:
+        raise ValueError(f"a group of {largest} rows; at most {most_rows} are handed to a function")
+
+    def judge(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({key: group[key].iloc[:1], "group_size": [len(group)], "passes": [bool(predicate(group[columns]))]})
+
+    kind = known.schema[key].dataType.simpleString()
+    return known.groupBy(key).applyInPandas(judge, f"`{key}` {kind}, group_size long, passes boolean")
+
+
 def groups_where(df: DataFrame, key: str, mean_of: str, mean_at_most, all_of: str, all_above) -> DataFrame:
     """Keys whose mean stays at or below a bound and whose rows all lie above another, with group sizes."""
     return (

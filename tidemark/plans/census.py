@@ -110,9 +110,9 @@ def richest_age_group(df: DataFrame) -> DataFrame:
     return largest_group(rich_per_age_group(df), "AgeGroup", "size").select("AgeGroup")
 
 
-def occupations(df: DataFrame) -> DataFrame:
-    """Group sizes, and whether the mean age is at most 40 and everyone works more than 5 hours."""
-    return groups_where(df, "occupation", "age", 40, "hours-per-week", 5).orderBy("occupation")
+def occupations(df: DataFrame, oldest=40, least_hours=5) -> DataFrame:
+    """Group sizes, and whether the mean age is at most ``oldest`` and everyone works more than ``least_hours``."""
+    return groups_where(df, "occupation", "age", oldest, "hours-per-week", least_hours).orderBy("occupation")
 
 
 def accepted_occupations(df: DataFrame) -> DataFrame:

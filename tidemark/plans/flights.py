@@ -27,6 +27,8 @@ GOLD_SCHEMA = (
     "stat_date date, airport_name string, total_flights long, unique_pilots long, "
     "passengers_served long, updated_at timestamp"
 )
+# What gold stores beside the columns of its readers.
+GOLD_SKETCH = "pilots_sketch binary"
 AUDIT_SCHEMA = "log_id long, procedure_name string, rows_affected long, status string, created_at timestamp"
 SECURE_COLUMNS = ["passenger_id", "first_name", "last_name", "country_name", "flight_status"]
 
@@ -63,11 +65,13 @@ def rejected(raw: DataFrame) -> DataFrame:
     return raw.filter(hash_key(*parts).isNull())
 
 
-def daily_stats(silver: DataFrame) -> DataFrame:
+def daily_stats(silver: DataFrame, sketch: bool = False) -> DataFrame:
     """Flights, distinct pilots and passengers per departure date and airport.
 
     Distinct pilots are found by pre-aggregating per pilot, so a day and
-    airport with very many rows is spread over its pilots first.
+    airport with very many rows is spread over its pilots first. ``sketch`` adds
+    ``pilots_sketch``, a HyperLogLog sketch of them, which merges with those of
+    other batches.
     """
     per_pilot = silver.groupBy("departure_date", "airport_name", "pilot_name").agg(
         F.count("flight_hash").alias("flights"), F.count("passenger_id").alias("passengers")
@@ -76,9 +80,18 @@ def daily_stats(silver: DataFrame) -> DataFrame:
         F.sum("flights").alias("total_flights"),
         F.count("pilot_name").alias("unique_pilots"),
         F.sum("passengers").alias("passengers_served"),
+        *([F.hll_sketch_agg("pilot_name", 12).alias("pilots_sketch")] if sketch else []),
     )
 
 
+def estimated_pilots(gold: DataFrame) -> DataFrame:
+    """``stat_date, airport_name, unique_pilots, estimated_pilots``: the lower bound and the estimate of distinct pilots.
+
+    Sketches have 4,096 registers: the standard error is under 2%, and numbers up to some hundreds are nearly exact.
+    """
+    return gold.select("stat_date", "airport_name", "unique_pilots", F.hll_sketch_estimate("pilots_sketch").alias("estimated_pilots"))
+
+
 def gold_top(gold: DataFrame, k: int = 10) -> DataFrame:
     """Latest days first, busiest airports first."""
     return gold.orderBy(

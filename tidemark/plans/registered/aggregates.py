@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.predicates import holds_for_all, share
 from tidemark.functions.scalars import rounded
 from tidemark.operators.ranking import largest_group, value_counts
-from tidemark.operators.stats import describe, group_mean, groups_where, percentiles
+from tidemark.operators.stats import (
+    approx_percentiles, describe, from_sketches, group_mean, groups_where, groups_where_any, merge_sketches, percentiles, quantile_sketches,
+)
 from tidemark.operators.text import string_agg
 from tidemark.plans.registered.rental import AMOUNT_SQL, amount, in_units
 from tidemark.registry import query
@@ -200,6 +202,46 @@ def a21_spread(t):
     return found.select("o_orderstatus", F.round("p90", 4).alias("p90"))
 
 
+# Ranks of an approximate percentile may differ from the asked ones by this share of the rows.
+_RANK_ERROR = 0.02
+
+
+def _ranked_within(rows, found, keys, value, p):
+    """Whether the share of rows below the found value and the share up to it hold the asked one, within the error."""
+    met = rows.join(F.broadcast(found), keys) if keys else rows.crossJoin(F.broadcast(found))
+    below, upto = F.avg((F.col(value) < F.col("found")).cast("int")), F.avg((F.col(value) <= F.col("found")).cast("int"))
+    return met.groupBy(*keys).agg(((below <= p + _RANK_ERROR) & (upto >= p - _RANK_ERROR)).alias("within"), F.count(F.lit(1)).alias("n"))
+
+
+@query("A21_percentile_in_one_pass", """
+SELECT o_orderpriority, true AS within, count(*) AS n FROM orders GROUP BY o_orderpriority
+""")
+def a21_sketch(t):
+    """The approximate form, held against the exact ranks; at most as many keys as there are priorities are broadcast."""
+    found = approx_percentiles(t.orders, "o_totalprice", {"found": 0.9}, ["o_orderpriority"])
+    return _ranked_within(t.orders.select("o_orderpriority", "o_totalprice"), found, ["o_orderpriority"], "o_totalprice", 0.9)
+
+
+@query("A20_median_of_merged_sketches", "SELECT true AS within, count(*) AS n FROM orders")
+def a20_sketch(t):
+    """The median of all orders from the sketches of each day's."""
+    by_day = quantile_sketches(t.orders, "o_totalprice", ["o_orderdate"])
+    found = from_sketches(merge_sketches(by_day), {"found": 0.5}).select("found")
+    return _ranked_within(t.orders.select("o_totalprice"), found, [], "o_totalprice", 0.5)
+
+
+@query("A03_approx_distinct", """
+SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, true AS within FROM lineitem GROUP BY l_returnflag
+""")
+def a03_sketch(t):
+    """Distinct parts by sketches per line status that are merged, held against the exact numbers."""
+    by_mode = t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(F.hll_sketch_agg("l_partkey", 12).alias("sketch"))
+    merged = by_mode.groupBy("l_returnflag").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("found"))
+    exact = t.lineitem.groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("parts"))
+    near = F.abs(F.col("found") - F.col("parts")) <= F.greatest(F.lit(1.0), F.col("parts") * 0.07)
+    return exact.join(merged, "l_returnflag").select("l_returnflag", "parts", near.alias("within"))
+
+
 @query("A22_group_mean", """
 SELECT l_returnflag, l_linestatus, round(avg(l_tax), 6) AS mean FROM lineitem
 WHERE l_returnflag IS NOT NULL AND l_linestatus IS NOT NULL GROUP BY l_returnflag, l_linestatus
@@ -224,6 +266,18 @@ def a24(t):
     return groups_where(t.lineitem, "l_partkey", "l_quantity", 25, "l_quantity", 1)
 
 
+@query("A24_any_predicate", """
+SELECT l_partkey, count(*) AS group_size, avg(l_quantity) <= 25 AND bool_and(l_quantity > 1) AS passes
+FROM lineitem GROUP BY l_partkey
+""")
+def a24_any(t):
+    """The same condition as a function of the group's rows."""
+    def holds(group):
+        return group["l_quantity"].mean() <= 25 and (group["l_quantity"] > 1).all()
+
+    return groups_where_any(t.lineitem, "l_partkey", ["l_quantity"], holds)
+
+
 @query("A24_member_rows", """
 SELECT l_partkey, l_orderkey, l_linenumber FROM lineitem WHERE l_partkey IN (
   SELECT l_partkey FROM lineitem GROUP BY l_partkey HAVING avg(l_quantity) <= 25 AND bool_and(l_quantity > 1))

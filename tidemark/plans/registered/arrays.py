@@ -170,6 +170,23 @@ def j11(t):
     return found.withColumn("distance", F.round("distance", 6))
 
 
+@query("J11_nearest_suppliers", """
+WITH pairs AS (SELECT c_custkey AS left_id, s_suppkey AS right_id,
+  sqrt(pow(c_acctbal - s_acctbal, 2) + pow(100 * (c_nationkey - s_nationkey), 2)) AS d FROM customer, supplier)
+SELECT left_id, right_id, round(d, 6) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY left_id ORDER BY d, right_id) AS rn FROM pairs) WHERE rn <= 3
+""")
+def j11_suppliers(t):
+    """The three suppliers whose balance and nation are nearest to each customer's, in blocks of at most 16 suppliers."""
+    def place(balance, nation):
+        return F.array(F.col(balance).cast("double"), 100 * F.col(nation).cast("double"))
+
+    customers = t.customer.select("c_custkey", place("c_acctbal", "c_nationkey").alias("x"))
+    suppliers = t.supplier.select("s_suppkey", place("s_acctbal", "s_nationkey").alias("y"))
+    found = nearest(customers, "c_custkey", "x", suppliers, "s_suppkey", "y", n=3, held_rows=16, pivots=16)
+    return found.withColumn("distance", F.round("distance", 6))
+
+
 @query("X12_word_index", """
 WITH tokens AS (SELECT doc_id, unnest(list_distinct(list_filter(
     regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> ''))) AS term FROM documents)

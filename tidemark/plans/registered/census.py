@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.stats import groups_where
 from tidemark.plans import census as c
 from tidemark.plans import numbers as n
 from tidemark.registry import Tables, query
@@ -146,7 +145,7 @@ SELECT country AS occupation, count(*) AS group_size,
        avg(age) <= 25.5 AND bool_and(coalesce(hours > 1, false)) AS passes
 FROM people GROUP BY country ORDER BY occupation""")
 def q34(t):
-    return groups_where(people_with_jobs(t), "occupation", "age", 25.5, "hours-per-week", 1).orderBy("occupation")
+    return c.occupations(people_with_jobs(t), 25.5, 1)
 
 
 # One vector of numbers: the retail prices of the parts.

@@ -211,6 +211,23 @@ def t03_exact(t):
     ).withColumn("stat_date", F.col("stat_date").cast("string"))
 
 
+@query("T03_estimated_pilots", _GOLD_SQL + """
+SELECT stat_date, airport_name, unique_pilots, exact.pilots AS exact_pilots, true AS within FROM gold
+JOIN (SELECT day, event_type, count(DISTINCT props) AS pilots FROM silver GROUP BY day, event_type) exact
+  ON stat_date = day AND airport_name = event_type
+""")
+def t03_estimated(t):
+    """The pilots of all batches as gold's merged sketches estimate them, held against the exact numbers."""
+    chain = story(t).chain
+    exact = f.daily_stats(chain.silver.current()).select("stat_date", "airport_name", F.col("unique_pilots").alias("exact_pilots"))
+    met = f.estimated_pilots(chain.gold.frame()).join(exact, ["stat_date", "airport_name"])
+    off = F.abs(F.col("estimated_pilots") - F.col("exact_pilots"))
+    return met.select(
+        F.col("stat_date").cast("string").alias("stat_date"), "airport_name", "unique_pilots", "exact_pilots",
+        (off <= F.greatest(F.lit(1.0), F.col("exact_pilots") * 0.07)).alias("within"),
+    )
+
+
 _RUNS_SQL = _GOLD_SQL + """
 , runs AS (
   SELECT 2 * a - 1 AS log_id, 'PROCESS_FLIGHTS_SILVER' AS procedure_name,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.policy import apply_row_policy
 from tidemark.operators.text import string_agg
 from tidemark.plans import rental as r
+from tidemark.functions.tables import register_rental_functions
 from tidemark.registry import Tables, query
 from tidemark.session import new_folder
 from tidemark.sinks.files import StoredView
@@ -232,21 +233,17 @@ SELECT * FROM (SELECT '{label}' AS group_name, p_type AS name, count(*) AS renta
 
 @query("Q14_two_patterns", " UNION ALL ".join(_nation_group_sql(k, p) for k, p in NATION_GROUPS.items()))
 def q14(t):
-    labels, patterns = list(NATION_GROUPS), list(NATION_GROUPS.values())
-    marks = [F.when(F.col("n_name").like(p), 1).otherwise(0).alias(f"in_{i}") for i, p in enumerate(patterns)]
-    wanted = t.nation.filter(F.col("n_name").like(patterns[0]) | F.col("n_name").like(patterns[1])).select(
-        F.col("n_nationkey").alias("c_nationkey"), *marks
-    )
-    buyers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey").join(wanted, "c_nationkey")
-    bought = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").join(buyers, "o_custkey")
-    sums = [F.sum(f"in_{i}").alias(f"in_{i}") for i in range(len(labels))]
-    per_type = (
-        t.lineitem.select("l_orderkey", "l_partkey").join(bought.select("l_orderkey", "in_0", "in_1"), "l_orderkey")
-        .groupBy(F.col("l_partkey").alias("p_partkey")).agg(*sums)
-        .join(t.part.select("p_partkey", F.col("p_type").alias("name")), "p_partkey")
-        .groupBy("name").agg(*sums)
-    )
-    return r.best_per_group(per_type, labels)
+    """Nations as cities of one address each, customers as renters, line items as rentals of parts."""
+    bought = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer_id"))
+    part = F.col("l_partkey").alias("inventory_id")
+    tables = catalog(t) | {
+        "city": t.nation.select(F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city")),
+        "address": t.nation.select(F.col("n_nationkey").alias("address_id"), F.col("n_nationkey").alias("city_id")),
+        "customer": t.customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").alias("address_id")),
+        "rental": t.lineitem.select("l_orderkey", part).join(bought, "l_orderkey").select("inventory_id", "customer_id"),
+        "inventory": t.part.select(F.col("p_partkey").alias("inventory_id"), F.col("p_partkey").alias("film_id")),
+    }
+    return r.top_category_per_city_group(tables, NATION_GROUPS)
 
 
 def _places(t: Tables) -> DataFrame:
@@ -375,6 +372,28 @@ def g03(t):
     return r.film_in_stock(_shop(t), 7, "Brand#3", in_stock=False)
 
 
+@query("G02_film_in_stock_in_sql", _FILM_STOCK_SQL + " = 0")
+def g02_sql(t):
+    register_rental_functions(t.spark, _shop(t))
+    return t.spark.sql("SELECT inventory_id FROM film_in_stock(7, 'Brand#3')")
+
+
+@query("G03_film_not_in_stock_in_sql", _FILM_STOCK_SQL + " > 0")
+def g03_sql(t):
+    register_rental_functions(t.spark, _shop(t))
+    return t.spark.sql("SELECT inventory_id FROM film_not_in_stock(7, 'Brand#3')")
+
+
+@query("G01_in_stock_in_sql", f"""
+SELECT p_partkey AS inventory_id, count(*) FILTER (WHERE {OPEN_SQL}) = 0 AS in_stock
+FROM part LEFT JOIN lineitem ON p_partkey = l_partkey GROUP BY p_partkey
+""")
+def g01_sql(t):
+    """The function of one item for all items: planned as one join."""
+    register_rental_functions(t.spark, _shop(t))
+    return t.spark.sql("SELECT inventory_id, inventory_in_stock(inventory_id) AS in_stock FROM rental_shop_inventory")
+
+
 @query("G04_held_by", f"""
 SELECT p_partkey AS inventory_id, min(l_suppkey) FILTER (WHERE {OPEN_SQL}) AS customer_id
 FROM part LEFT JOIN lineitem ON p_partkey = l_partkey GROUP BY p_partkey
@@ -439,20 +458,32 @@ def g05_replacement(t):
     )
 
 
-@query("G06_rewards_report", """
+_REWARDS_SQL = """
 SELECT customer.* FROM customer WHERE c_custkey IN (
   SELECT o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '2000-03-01' AND DATE '2000-03-31'
   GROUP BY o_custkey HAVING sum(CAST(o_totalprice AS DECIMAL(12,2))) > 100000 AND count(o_custkey) > 1)
-""")
-def g06(t):
-    tables = {
+"""
+
+
+def _paid_orders(t: Tables) -> dict[str, DataFrame]:
+    return {
         "customer": t.customer.withColumnRenamed("c_custkey", "customer_id"),
         "payment": t.orders.select(
             F.col("o_custkey").alias("customer_id"), F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
             F.col("o_orderdate").alias("payment_date"),
         ),
     }
-    return r.rewards_report(tables, 1, 100000, dt.date(2000, 6, 15)).withColumnRenamed("customer_id", "c_custkey")
+
+
+@query("G06_rewards_report", _REWARDS_SQL)
+def g06(t):
+    return r.rewards_report(_paid_orders(t), 1, 100000, dt.date(2000, 6, 15)).withColumnRenamed("customer_id", "c_custkey")
+
+
+@query("G06_rewards_report_in_sql", _REWARDS_SQL)
+def g06_sql(t):
+    register_rental_functions(t.spark, _paid_orders(t))
+    return t.spark.sql("SELECT * FROM rewards_report(1, 100000, DATE '2000-06-15')").withColumnRenamed("customer_id", "c_custkey")
 
 
 def _guarded(t: Tables):

@@ -6,8 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tidemark import jobs
 from tidemark.plans import rooms as r
 from tidemark.registry import Tables, query
+from tidemark.session import new_folder
+from tidemark.sinks.files import write_json
+from tidemark.sources.files import read_json_arrays
 
 AS_OF = dt.date(2002, 1, 1)
 
@@ -75,6 +79,35 @@ def q04(t):
     return r.rooms_of_one_sex(*_orders(t), "F")
 
 
+@query("Q05_rooms_job", """
+SELECT report, count(*) AS n, min(room_number) AS first_room FROM (
+  SELECT 'students_count_in_rooms' AS report, c_name AS room_number FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_name
+  UNION ALL
+  SELECT CASE WHEN max(o_orderstatus) = 'F' THEN 'female_rooms' ELSE 'male_rooms' END, c_name
+  FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_name
+  HAVING count(DISTINCT o_orderstatus) = 1 AND max(o_orderstatus) IN ('F', 'O'))
+GROUP BY report
+""")
+def q05_job(t):
+    """The whole job: two JSON inputs, loaded twice into stored tables, five reports, exported and read back."""
+    home = new_folder(t.spark, "rooms-job")
+    rooms, students = _customers(t)
+    # Orders of open state play the men; the job knows M and F.
+    sex = F.when(F.col("sex") == "O", "M").otherwise(F.col("sex")).alias("sex")
+    named = t.orders.select(F.col("o_orderkey").alias("id"), F.lit("S").alias("name"), F.to_date("o_orderdate").alias("birthday"),
+                            F.col("o_orderstatus").alias("sex"), F.col("o_custkey").alias("room"))
+    write_json(rooms, f"{home}/rooms.json")
+    write_json(named.select("id", "name", "birthday", sex, "room"), f"{home}/students.json")
+    for _ in range(2):
+        jobs.rooms_job(t.spark, f"{home}/rooms.json", f"{home}/students.json", f"{home}/tables", f"{home}/out", "json", AS_OF)
+    counts = read_json_arrays(t.spark, f"{home}/out/json_output/students_count_in_rooms", "room_number string, amount_of_students long")
+    found = counts.select(F.lit("students_count_in_rooms").alias("report"), "room_number")
+    for name in ("male_rooms", "female_rooms"):
+        text = t.spark.read.text(f"{home}/out/json_output/{name}", wholetext=True)
+        found = found.unionByName(text.select(F.lit(name).alias("report"), F.explode(F.from_json("value", "array<string>")).alias("room_number")))
+    return found.groupBy("report").agg(F.count(F.lit(1)).alias("n"), F.min("room_number").alias("first_room"))
+
+
 @query("Q05_only_O", _one_sex("O"))
 def q05(t):
     return r.rooms_of_one_sex(*_orders(t), "O")

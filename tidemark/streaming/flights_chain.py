@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import GOLD_MESSAGE, SILVER_MESSAGE, gold_message, silver_message
-from tidemark.operators.merge import absent_from, merge_daily_stats
+from tidemark.operators.merge import absent_from, add_batch
 from tidemark.operators.policy import apply_row_policy
 from tidemark.plans import flights
 from tidemark.streaming.feeds import consume, has_pending, pending_files
-from tidemark.tables.versions import COMMIT_SCHEMA, ChangeLog, Snapshots, append_row, utc_now
+from tidemark.tables.dated import DatedTable
+from tidemark.tables.versions import COMMIT_SCHEMA, ChangeLog, append_row, utc_now
 
 # The job names of the audit log.
 SILVER_JOB = "PROCESS_FLIGHTS_SILVER"
@@ -22,10 +23,13 @@ GOLD_JOB = "PROCESS_DAILY_STATS_GOLD"
 
 
 class FlightsChain:
-    """The folders of one chain: landing files, silver log, gold snapshots, rejects, audit, checkpoints.
+    """The folders of one chain: landing files, silver log, gold by date, rejects, audit, checkpoints.
 
     A run takes everything that has arrived as one batch; ``files_per_batch``
     cuts a large backlog into several, each merged and committed on its own.
+    Silver is bucketed by its hash, in as many buckets as there are shuffle
+    partitions when it is made, or ``buckets``: a merge deals the batch to the
+    buckets and leaves silver where it lies.
     """
 
     def __init__(
@@ -36,18 +40,20 @@ class FlightsChain:
         clock: Callable[[], dt.datetime] = utc_now,
         generation: str = "first",
         files_per_batch: int | None = None,
+        buckets: int | None = None,
     ):
         self.spark, self.home, self.clock = spark, home.rstrip("/"), clock
         self.files_per_batch = files_per_batch
         self.dedupe_source, self.generation = dedupe_source, generation
         self.landing = f"{self.home}/raw"
-        self.silver = ChangeLog(spark, f"{self.home}/silver", flights.SILVER_SCHEMA, "flight_hash")
-        self.gold = Snapshots(spark, f"{self.home}/gold", flights.GOLD_SCHEMA)
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.silver = ChangeLog(spark, f"{self.home}/silver", flights.SILVER_SCHEMA, "flight_hash", self.buckets)
+        self.gold = DatedTable(spark, f"{self.home}/gold", flights.GOLD_SCHEMA, "stat_date", flights.GOLD_SKETCH)
 
     def restarted(self, generation: str) -> "FlightsChain":
         """The same tables behind new streams, which see every landing file again."""
         return FlightsChain(
-            self.spark, self.home, self.dedupe_source, self.clock, generation, self.files_per_batch
+            self.spark, self.home, self.dedupe_source, self.clock, generation, self.files_per_batch, self.buckets
         )
 
     def _checkpoint(self, job: str) -> str:
@@ -107,7 +113,7 @@ class FlightsChain:
 
         def merge(batch: DataFrame, name: str) -> int:
             rows = flights.silver_batch(batch, self.dedupe_source, self.clock())
-            fresh = absent_from(rows, self.silver.current(), "flight_hash", batch.count())
+            fresh = absent_from(rows, self.silver.current(), "flight_hash")
             added = self.silver.append(fresh, batch=name, at=self.clock())
             flights.rejected(batch).write.mode("overwrite").parquet(f"{self.home}/rejects/batch={name}")
             return added
@@ -118,19 +124,17 @@ class FlightsChain:
         """Add the statistics of newly inserted silver rows to gold; restored rows do not count.
 
         The stream follows silver's commits, so rows of a write that was lost
-        before its commit are never seen.
+        before its commit are never seen. Only the dates of the batch are read
+        and written anew; a batch that comes again adds nothing twice.
         """
 
         def merge(batch: DataFrame, name: str) -> int:
-            known = self.gold.commits.state(batch=name).batch_rows
-            if known is not None:
-                return known
-            stats = flights.daily_stats(self.silver.rows_of(batch.filter(F.col("kind") == "INSERT"))).persist()
+            inserted = self.silver.rows_of(batch.filter(F.col("kind") == "INSERT"))
+            stats = flights.daily_stats(inserted, sketch=True).persist()
             try:
                 touched = stats.count()
                 if touched:
-                    merged = merge_daily_stats(self.gold.current(), stats, self.clock())
-                    self.gold.write(merged, touched, name, self.clock())
+                    self.gold.write(add_batch(self.gold.at_dates_of(stats), stats, name, self.clock()))
             finally:
                 stats.unpersist()
             return touched

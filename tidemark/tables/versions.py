@@ -14,6 +14,7 @@ what it read, so it wants one writer at a time.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import uuid
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Deleted keys, as counted by the commits, up to which they are broadcast to a scan.
+# Deleted keys, as counted by the commits, and commits themselves, up to which they are broadcast to a scan.
 BROADCAST_KEYS = 500_000
 
 COMMIT_SCHEMA = "version long, committed_at timestamp, kind string, rows long, batch string, write string"
@@ -130,9 +131,49 @@ class ChangeLog(_Versioned):
     from the past are not counted again downstream.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str, key: str):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str, key: str, buckets: int | None = None):
         super().__init__(spark, path, schema)
-        self.key = key
+        self.key, self.buckets = key, buckets
+
+    def _table(self) -> str:
+        """The catalog's table over the folders, bucketed and sorted by key; it adds no data of its own.
+
+        The number of buckets is kept beside the data, as the first writer chose it.
+        """
+        name = f"tidemark_{hashlib.md5(self.path.encode()).hexdigest()}"
+        if not self.spark.catalog.tableExists(name):
+            layout = f"{self.path}/layout"
+            try:
+                number = self.spark.read.schema("buckets int").parquet(layout).agg(F.min("buckets")).first()[0]
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                append_row(self.spark, layout, "buckets int", self.buckets)
+                number = self.buckets
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.log_schema)
+            self.spark.sql(f"""
+                CREATE TABLE IF NOT EXISTS {name} ({columns}, `write` string) USING parquet PARTITIONED BY (`write`)
+                CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {number} BUCKETS LOCATION '{self.path}/data'""")
+            if not self.commits.frame().filter(F.col("write").isNotNull()).isEmpty():  # by another application
+                self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            self.buckets = number
+        return name
+
+    def _store(self, rows: DataFrame, batch: str | None) -> str:
+        """Write a folder and return its name; in buckets, where one can't be replaced, every attempt has its own."""
+        if not self.buckets:
+            write = _write_name(batch)
+            rows.write.mode("overwrite").parquet(self._folder(write))
+            return write
+        table, write = self._table(), _write_name(None)
+        rows.repartition(self.buckets, self.key).withColumn("write", F.lit(write)).write.insertInto(table)
+        return write
+
+    def _data(self) -> DataFrame:
+        """All written rows, committed or not, with the name of their ``write``."""
+        if self.buckets:
+            return self.spark.table(self._table())
+        return self.spark.read.schema(T.StructType([*self.log_schema.fields, T.StructField("write", T.StringType())])).parquet(f"{self.path}/data")
 
     @property
     def log_schema(self) -> T.StructType:
@@ -148,10 +189,8 @@ class ChangeLog(_Versioned):
         state = self.commits.state(batch=batch)
         if state.batch_rows is not None:
             return state.batch_rows
-        write = _write_name(batch)
-        rows = df.select(*self.schema.names).withColumn("_action", F.lit(action))
-        rows.write.mode("overwrite").parquet(self._folder(write))
-        n = self.spark.read.schema(self.log_schema).parquet(self._folder(write)).count()
+        write = self._store(df.select(*self.schema.names).withColumn("_action", F.lit(action)), batch)
+        n = self._data().filter(F.col("write") == write).count()
         self.commits.add(state.last + 1, action, n, batch, at, write)
         return n
 
@@ -169,15 +208,16 @@ class ChangeLog(_Versioned):
 
     def rows_of(self, commits: DataFrame) -> DataFrame:
         """The changes that some commit rows stand for, with their ``version``."""
-        folders = T.StructType([*self.log_schema.fields, T.StructField("write", T.StringType())])
         try:
-            data = self.spark.read.schema(folders).parquet(f"{self.path}/data")
+            data = self._data()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             empty = self.spark.createDataFrame([], self.log_schema)
             return empty.withColumn("version", F.lit(0).cast("long"))
         named = commits.select(F.col("version").alias("_at"), F.col("write").alias("_write"))
+        if self.buckets and self.commits.state().last <= BROADCAST_KEYS:  # a row per commit; rows stay in their buckets
+            named = F.broadcast(named)
         met = data.join(named, F.col("write") == F.col("_write"))
         return met.select(*self.log_schema.names, F.col("_at").alias("version"))
 
