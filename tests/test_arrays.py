@@ -235,7 +235,7 @@ def test_edges_left_for_the_last_window_are_few(spark):
     """A series of 100,000 runs of one: each level leaves two edges per block of blocks."""
     df = spark.range(100_000).selectExpr("'x' AS s", "id AS pos", "id % 2 AS v")
     pieces, done = s._pieces(df, "s", "pos", "v", 2)
-    edges, _ = s._merged_levels(pieces, done, 10, s._levels(pieces, 10))
+    edges, _ = s._merged_levels(pieces, done, 10, s._levels(df, "pos", 2, 10))
     assert edges.count() <= 2 * 10
     runs = s.run_lengths(df, "s", "pos", "v", block=2, fan=10)
     assert runs.count() == 100_000 and runs.filter("run_length <> 1").count() == 0

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.ordered import block_of
 
 BLOCK = 65_536
-FAN = 32_768
+FAN = 65_536
 
 
 def _blocked(df: DataFrame, series: str, pos: str, val: str, block: int) -> DataFrame:
@@ -28,10 +28,15 @@ def _blocked(df: DataFrame, series: str, pos: str, val: str, block: int) -> Data
     )
 
 
-def _levels(blocks: DataFrame, fan: int) -> int:
-    """How often ``fan`` neighbouring blocks are taken together before a series is left with ``fan`` of them at most."""
-    ends = blocks.agg(F.min("block").alias("low"), F.max("block").alias("high")).first()
-    wide, levels = 0 if ends["low"] is None else ends["high"] - ends["low"] + 1, 0
+def _levels(df: DataFrame, pos: str, block: int, fan: int) -> int:
+    """How often ``fan`` neighbouring blocks are taken together before a series is left with ``fan`` of them at most.
+
+    The first and last position tell; positions of 32 bits in large blocks need no look.
+    """
+    if df.schema[pos].dataType.simpleString() in ("tinyint", "smallint", "int") and (1 << 32) // block <= fan:
+        return 0
+    ends = df.agg(F.min(pos).alias("low"), F.max(pos).alias("high")).first()
+    wide, levels = 0 if ends["low"] is None else ends["high"] // block - ends["low"] // block + 1, 0
     while wide > fan:
         wide, levels = wide // fan + 1, levels + 1
     return levels
@@ -94,8 +99,7 @@ def run_lengths(df: DataFrame, series: str, pos: str, val: str, block: int = BLO
     one; those are joined up along the series.
     """
     edges, done = _pieces(df, series, pos, val, block)
-    levels = _levels(_blocked(df, series, pos, val, block), fan)
-    edges, done = _merged_levels(edges, done, fan, levels)
+    edges, done = _merged_levels(edges, done, fan, _levels(df, pos, block, fan))
     merged = _joined(edges).select("series", "start_pos", "val", F.col("n").alias("run_length"))
     return done.unionByName(merged).withColumnRenamed("series", series)
 
@@ -119,7 +123,7 @@ def max_after(df: DataFrame, series: str, pos: str, val: str, marker=0, block: i
         along = Window.partitionBy("series", *within).orderBy("block")
         return blocks.withColumn("edge", F.when(F.lag("last_val").over(along) == marker, F.col("first_val")))
 
-    for _ in range(_levels(rows, fan)):
+    for _ in range(_levels(df, pos, block, fan)):
         blocks = (
             met(blocks.withColumn("wide", block_of("block", fan)), "wide").groupBy("series", "wide")
             .agg(F.max(F.greatest("best", "edge")).alias("best"), F.min_by("first_val", "block").alias("first_val"),
