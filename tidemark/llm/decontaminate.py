@@ -48,35 +48,81 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, one_in: in
     Words are hashed once; a scan over the starts of each document combines the
     hashes of a window, looks them up in the broadcast windows and compares the
     words themselves. Only found windows and one row per document are shuffled.
-    A null text has no words; an empty benchmark hits nothing; rows equal in id
+    Of more windows than may be broadcast the hashes are joined instead. A null text has no words; an empty benchmark hits nothing; rows equal in id
     and text get equal results; other columns are not read.
     """
     windows = item_windows(benchmark, n).select(*(F.col(c).alias(f"w_{c}") for c in ("length", "window", "gram", "items", "item_set")))
     lengths, count, chars = windows.agg(
         F.array_sort(F.collect_set("w_length")), F.count("*"), F.coalesce(F.sum(F.length("w_window")), F.lit(0))).first()
     small = count <= BROADCAST_WINDOWS and chars <= BROADCAST_CHARS
-    hinted = F.broadcast if small else lambda df: df
-
     rows = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("row_key"), words_of(F.col(text_col)).alias("words")).select(
         "doc_id", "row_key", "words", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"), F.size("words").alias("n_words"))
-    # One start more than there are words: the last one stands for the document itself.
+    lengths = lengths or [n]
+    found = _scanned(rows, windows, lengths) if small else _joined(rows, windows, lengths)
+    return found.select(
+        "doc_id", "row_key", "n_words", "spans", "n_hit", "item_ids", F.size("item_ids").cast("long").alias("n_items"),
+        ((F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words"))).alias("contaminated"))
+
+
+def _covered(spans: str) -> Column:
+    """The number of words in sorted spans that may overlap."""
+    zero = F.struct(F.lit(0).cast("long").alias("reach"), F.lit(0).cast("long").alias("hit"))
+    return F.aggregate(spans, zero, lambda a, s: F.struct(
+        F.greatest(a["reach"], s["end"]).alias("reach"),
+        (a["hit"] + F.greatest(F.lit(0).cast("long"), s["end"] - F.greatest(a["reach"], s["start"]))).alias("hit")))["hit"]
+
+
+def _with_grams(rows: DataFrame, lengths: list[int]) -> DataFrame:
+    """A row per start and window length, with the ``gram`` of the words there; null where the document is too short.
+
+    One start more than there are words: the last one stands for the document itself.
+    """
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("n_words"))).alias("start"))
     start = F.col("start")
 
     def gram(length: int) -> Column:
         return F.when(start + length <= F.col("n_words"), F.xxhash64(*_at("hashes", start, length)))
 
-    lengths = lengths or [n]
     if len(lengths) == 1:
-        rows = rows.withColumn("length", F.lit(lengths[0])).withColumn("gram", gram(lengths[0]))
-    else:
-        rows = rows.select("*", F.explode(F.array(*(F.struct(F.lit(k).alias("length"), gram(k).alias("gram")) for k in lengths))).alias("g")).select(
-            *rows.columns, "g.length", "g.gram")
+        return rows.withColumn("length", F.lit(lengths[0])).withColumn("gram", gram(lengths[0]))
+    return rows.select("*", F.explode(F.array(*(F.struct(F.lit(k).alias("length"), gram(k).alias("gram")) for k in lengths))).alias("g")).select(
+        *rows.columns, "g.length", "g.gram")
+
+
+def _joined(rows: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
+    """What ``_scanned`` finds, for any number of windows.
+
+    Starts travel as row key, place and hash, without a word; where a hash is
+    that of a window, the document is met again and its words are compared.
+    """
+    at = _with_grams(rows, lengths).where(F.col("gram").isNotNull()).select("row_key", "start", "length", "gram")
+    met = at.join(windows.select("w_length", "w_gram", "w_window", "w_item_set"), (F.col("gram") == F.col("w_gram")) & (F.col("length") == F.col("w_length")))
+    maybe = met.groupBy("row_key").agg(F.collect_set(F.struct("start", "length", "w_window", "w_item_set")).alias("maybe"))
+
+    def same(m: Column) -> Column:
+        return F.array_join(F.slice(F.col("words"), m["start"] + 1, m["length"]), " ") == m["w_window"]
+
+    def verified(how: str) -> DataFrame:
+        return rows.select("doc_id", "row_key", "words", F.col("n_words").cast("long").alias("n_words")).join(maybe, "row_key", how).withColumn(
+            "hits", F.filter(F.coalesce("maybe", F.array()), same))
+
+    span = F.transform("hits", lambda m: F.struct(m["start"].cast("long").alias("start"), (m["start"] + m["length"]).cast("long").alias("end")))
+    named = verified("inner").select("row_key", F.explode(F.transform("hits", lambda m: m["w_item_set"])).alias("w_item_set")).distinct()
+    named = named.join(windows.select("w_item_set", "w_items").dropDuplicates(["w_item_set"]), "w_item_set").groupBy("row_key").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("w_items")))).alias("item_ids"))
+    each = verified("left").select("doc_id", "row_key", "n_words", F.array_sort(F.array_distinct(span)).alias("spans"))
+    return each.join(named, "row_key", "left").select(
+        "doc_id", "row_key", "n_words", "spans", _covered("spans").alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
+
+
+def _scanned(rows: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
+    """Hits by a scan with the windows at hand; only hits and one row per document are shuffled."""
+    rows, start = _with_grams(rows, lengths), F.col("start")
     # get() gives null past the last word, which concat_ws skips; the length is compared too.
     same = F.concat_ws(" ", *(F.when(F.lit(k) < F.col("length"), F.get("words", start + k)) for k in range(max(lengths))))
     last = start == F.col("n_words")
     found = rows.join(
-        hinted(windows.select("w_length", "w_window", "w_gram", "w_item_set")),
+        F.broadcast(windows.select("w_length", "w_window", "w_gram", "w_item_set")),
         (F.col("gram") == F.col("w_gram")) & (F.col("length") == F.col("w_length")) & (F.col("w_window") == same), "left",
     ).where(F.col("w_gram").isNotNull() | last)
     span = F.when(F.col("w_gram").isNotNull(), F.struct(start.cast("long").alias("start"), (start + F.col("length")).cast("long").alias("end")))
@@ -84,20 +130,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, one_in: in
         F.max("n_words").cast("long").alias("n_words"), F.array_sort(F.collect_set(span)).alias("spans"),
         F.collect_set("w_item_set").alias("sets"),
         F.sum(F.when(last & (F.col("length") == lengths[0]), 1).otherwise(0)).alias("n_rows"))
-    zero = F.struct(F.lit(0).cast("long").alias("reach"), F.lit(0).cast("long").alias("hit"))
-    covered = F.aggregate("spans", zero, lambda a, s: F.struct(
-        F.greatest(a["reach"], s["end"]).alias("reach"),
-        (a["hit"] + F.greatest(F.lit(0).cast("long"), s["end"] - F.greatest(a["reach"], s["start"]))).alias("hit")))
     sets = windows.select("w_item_set", "w_items").dropDuplicates(["w_item_set"])
-    per_doc = per_doc.select("doc_id", "row_key", "n_words", "n_rows", "spans", covered["hit"].alias("n_hit"), F.explode_outer("sets").alias("w_item_set")).join(
-        hinted(sets), "w_item_set", "left").groupBy("doc_id", "row_key").agg(
+    per_doc = per_doc.select("doc_id", "row_key", "n_words", "n_rows", "spans", _covered("spans").alias("n_hit"), F.explode_outer("sets").alias("w_item_set")).join(
+        F.broadcast(sets), "w_item_set", "left").groupBy("doc_id", "row_key").agg(
         *(F.first(c).alias(c) for c in ("n_words", "n_rows", "spans", "n_hit")),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("w_items")))).alias("item_ids"))
-    return per_doc.select(
-        "doc_id", "row_key", "n_words", "spans", "n_hit", "item_ids", F.size("item_ids").cast("long").alias("n_items"),
-        ((F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words"))).alias("contaminated"),
-        F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int"))).alias("copy"),
-    ).drop("copy")
+    return per_doc.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int"))))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 13, one_in: int = 20, id_col: str = "doc_id", text_col: str = "text", remove: str = "documents") -> DataFrame:
