@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
@@ -260,6 +260,15 @@ def _count(cosine: float):
     return count
 
 
+#: Hashes that are tried until no two different vectors share one.
+HASHES = 8
+
+
+def _node(vector: Column, seed: int) -> Column:
+    """The number that stands for a vector."""
+    return F.xxhash64(vector) if seed == 0 else F.xxhash64(vector, F.lit(seed))
+
+
 def _unit(vectors: pd.Series) -> np.ndarray:
     exact = np.array(vectors.tolist(), np.float64)
     return exact / np.linalg.norm(exact, axis=1, keepdims=True)
@@ -287,7 +296,8 @@ def _counted(members: DataFrame, n: int, cosine: float) -> DataFrame:
 def near_duplicate_vectors(table: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row.
 
-    Equal vectors are one node, so copies are never paired. Nodes are dealt to
+    Equal vectors are one node, so copies are never paired; nodes are named by a
+    64-bit hash, and by another one where two different vectors share it. Nodes are dealt to
     shards by a hash; a task builds the graph of each shard, and every block of
     8,192 nodes asks every shard. The beam widens until it finds all links of
     one asking vector in 16, known from looking at all of the shard, or of more
@@ -309,10 +319,16 @@ def near_duplicate_vectors(table: DataFrame, cosine: float = 0.95, id_col: str =
     # Adding zero makes -0.0 and 0.0 one value; the largest component is scaled to one, against overflow.
     rows = rows.select("vec_id", "vector", sound.alias("sound"), F.greatest(F.array_max("vector"), -F.array_min("vector")).alias("peak"))
     scaled = F.when(F.col("sound"), F.transform("vector", lambda x: x / F.col("peak") + F.lit(0.0)))
-    rows = rows.select("vec_id", "sound", scaled.alias("vector")).select("vec_id", "sound", "vector", F.when(F.col("sound"), F.xxhash64("vector")).alias("node"))
-    nodes = rows.where("sound").groupBy("node").agg(F.first("vector").alias("vector"), F.count("*").alias("copies"), F.min("vec_id").alias("lowest"))
-    nodes = stored(nodes.withColumn("dim", F.size("vector")), "vector-nodes")
-    n = nodes.count()
+    scaled_rows = rows.select("vec_id", "sound", scaled.alias("vector"))
+    for seed in range(HASHES):
+        rows = scaled_rows.withColumn("node", F.when(F.col("sound"), _node(F.col("vector"), seed)))
+        nodes = rows.where("sound").groupBy("node", "vector").agg(F.count("*").alias("copies"), F.min("vec_id").alias("lowest"))
+        nodes = stored(nodes.withColumn("dim", F.size("vector")), "vector-nodes")
+        n, names = nodes.agg(F.count("*"), F.count_distinct("node")).first()
+        if n == names:
+            break
+    else:
+        raise RuntimeError(f"different vectors share a 64-bit hash, under each of {HASHES} hashes")
     shards, blocks = max(SHARDS, -(-n // SHARD_ROWS)), max(1, -(-n // ASKING))
     dealt = nodes.select("dim", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(shards)).alias("shard"), "node", "vector")
     index = dealt.groupBy("dim", "shard").applyInPandas(_index, "dim int, shard bigint, nodes binary, vectors binary, links array<binary>")
