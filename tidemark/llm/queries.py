@@ -61,8 +61,10 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
-    found = repeats.remove_repeats(_table(spark, folder, "documents"), with_kept=False)
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    found = repeats.remove_repeats(_table(spark, folder, "documents"))
+    # What is left, to be read as well; a character that a cut goes through is shown as U+FFFD.
+    text = F.make_valid_utf8(F.col("kept").cast("string")).alias("text")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", text)
 
 
 def op9_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
