@@ -4,8 +4,11 @@ import collections
 import hashlib
 import random
 import re
+import time
+import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 
@@ -55,8 +58,9 @@ def brute_contamination(text, items, n=13):
     return len(words), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(words)
 
 
-@pytest.mark.parametrize("with_items", [True, False])
-def test_contamination_equals_brute_force(spark, with_items):
+@pytest.mark.parametrize("with_items, most", [(True, 500_000), (False, 500_000), (True, -1), (False, -1)])
+def test_contamination_equals_brute_force(spark, monkeypatch, with_items, most):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", most)
     base = texts(4, 4, longest=40)
     items = [(1, base[0]), (20, base[0]), (3, base[1]), (4, "Short, item!"), (5, None), (6, " .. "), (None, base[2])] if with_items else []
     rows = corpus() + [(200, f"x {base[0]} y SHORT item z", "s0"), (201, base[1], "s0"), (202, " q ".join(texts(5, 9)) + " short-item " + " r " * 300, "s0"), (203, base[2], "s0")]
@@ -72,6 +76,21 @@ def test_contamination_equals_brute_force(spark, with_items):
     assert not with_items or (201, "") in spans
 
 
+def test_many_windows_meet_no_words_in_an_exchange(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", -1)
+    items = spark.createDataFrame([(i, t) for i, t in enumerate(texts(4, 20, longest=60))], "item_id long, text string")
+    docs = make_docs(spark, [(i, t * (1 + i % 2), "s") for i, t in enumerate(texts(4, 20, longest=60))] + [(99, "word " * 20_000, "s")])
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    found = decontaminate.contamination(docs, items)
+    assert {r.doc_id: r.n_items for r in found.collect()}[99] == 0
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    starts = [line for line in plan.splitlines() if "Generate explode(sequence(0" in line]
+    assert starts and decontaminate.contamination(docs.limit(0), items).count() == 0
+    physical = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [physical[k + 1] for k, line in enumerate(physical) if "Exchange hashpartitioning(gram" in line]
+    assert dealt and all("words" not in line.split("Project")[-1] for line in dealt if "Project" in line)
+
+
 # 2 ---------------------------------------------------------------------------------------------------------------
 
 def test_near_vectors_equal_brute_force(spark):
@@ -94,6 +113,54 @@ def test_near_vectors_equal_brute_force(spark):
     assert vectors.near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def planted_vectors(n, seed):
+    """Pairs, chains and groups whose cosines lie close to both sides of the threshold, among random vectors."""
+    draw = np.random.default_rng(seed)
+    base = draw.normal(size=(n, 32))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+
+    def turned(v, cosine):
+        other = draw.normal(size=32)
+        other -= (other @ v) * v
+        return cosine * v + np.sqrt(1 - cosine**2) * other / np.linalg.norm(other)
+
+    out = list(base)
+    for k, cosine in enumerate([0.9501, 0.9499, 0.951, 0.949, 0.97, 0.93, 0.99, 0.95001] * (n // 40)):
+        out.append(turned(base[k], cosine))
+    chain = base[-1]
+    for _ in range(60):
+        out.append(chain := turned(chain, 0.955))
+    out += [turned(base[-2], 0.985) for _ in range(100)]
+    return [out[i].tolist() for i in draw.permutation(len(out))]
+
+
+@pytest.mark.parametrize("shard_rows, asking, shards", [(700, 600, 4)])
+def test_planted_pairs_near_the_threshold(spark, monkeypatch, shard_rows, asking, shards):
+    monkeypatch.setattr(vectors, "SHARD_ROWS", shard_rows)
+    monkeypatch.setattr(vectors, "ASKING", asking)
+    monkeypatch.setattr(vectors, "SHARDS", shards)
+    rows = list(enumerate(planted_vectors(2000, 11)))
+    got = {r.vec_id: r for r in vectors.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)).collect()}
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    roots = vectors._roots(*np.nonzero(near), len(rows))
+    assert near.sum() > 500
+    assert [(got[i].n_links, got[i].component_id) for i, _ in rows] == [(near[i].sum(), roots[i]) for i, _ in rows]
+
+
+def test_different_vectors_with_one_hash(spark, monkeypatch):
+    whole = vectors._node
+    monkeypatch.setattr(vectors, "_node", lambda v, seed: whole(v, seed) if seed else pages.F.lit(7).cast("long"))
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0]), (4, [1.0, 0.01])]
+    got = vectors.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 2, 1), (2, 0, 2), (3, 2, 1), (4, 2, 1)]
+    monkeypatch.setattr(vectors, "_node", lambda v, seed: pages.F.lit(7).cast("long"))
+    with pytest.raises(RuntimeError):
+        vectors.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+
+
 def test_graph_finds_what_a_full_scan_finds():
     draw = np.random.default_rng(5)
     x = draw.normal(size=(6000, 24))
@@ -308,6 +375,42 @@ def test_copies_leave_a_host_its_template(spark):
     assert len(got) == len(rows) and {(r.page_id, r.text) for r in got} == {(i, f"Own text {0 if i >= 100 else i} of the page.") for i, _, _ in rows}
 
 
+HOSTILE = {
+    "deep": "<div>" * 5000 + "Down here." + "</div>" * 5000 + "<p>After</p>",
+    "deep paragraphs": "<div>" * 300 + "".join(f"<p>Line {k}</p>" for k in range(5)) + "<nav><div>Menu</div></nav>tail" + "</div>" * 300,
+    "unclosed spans": "<p>" + "<span>" * 3000 + "In spans" + "<p>Next",
+    "no ends": "<p>Start " + "a <b " * 200_000,
+    "odd quotes": "<p>Start</p>" + "<a \"" * 100_001 + ">",
+    "half quotes": "<p class='x>Start</p>" + "<i title=\">" * 50_001,
+    "open titles": "<p>Start</p>" + "<title>x" * 100_000,
+    "declarations": "<p>Start</p>" + "<!x " * 200_000,
+    "comments": "<p>Start</p>" + "<!-- x" * 100_000,
+    "raw ends": "<p>Start</p><textarea>" + "</textarea " * 100_000,
+    "many open": "<p>Start</p>" + "<section><b>" * 20_000 + "</i></u>" * 20_000,
+}
+
+
+@pytest.mark.parametrize("kind", sorted(HOSTILE))
+def test_hostile_pages_take_one_pass(kind):
+    began = time.process_time()
+    tree = pages.parse(HOSTILE[kind])
+    text = pages._extract_group(pd.DataFrame([(1, "u", "h", b"d", False, zlib.compress(HOSTILE[kind].encode()))], columns=["page_id", "url", "host", "digest", "copied", "html"]))["text"][0]
+    assert time.process_time() - began < 4
+    want = {"deep": "Down here.\nAfter", "deep paragraphs": "Line 0\nLine 1\nLine 2\nLine 3\nLine 4\ntail", "unclosed spans": "In spans\nNext"}
+    assert text == want[kind] if kind in want else text.startswith("Start") and tree.children
+
+
+def test_hostile_pages_leave_the_others_alone(spark):
+    rows = [(i, f"http://a.example/{i}", page(i, f"<article><h1>Head {i}</h1><p>Text {i}</article>")) for i in range(5)]
+    rows += [(100 + i, f"http://a.example/h{i}", html) for i, html in enumerate(HOSTILE.values())]
+    got = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows) and all(got[i] == f"Head {i}\nText {i}" for i in range(5)) and "Down here." in got[100]
+
+
+def test_quotes_and_signs_in_tags():
+    assert main_texts(["<p title='a > b'>One</p><p title=\"it's > that\">Two 1 < 2 <3</p><p class=x'>Three</p>"]) == ["One\nTwo 1 < 2 <3\nThree"]
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------
 
 def brute_repeats(rows, n):
