@@ -407,6 +407,66 @@ def test_hostile_pages_leave_the_others_alone(spark):
     assert len(got) == len(rows) and all(got[i] == f"Head {i}\nText {i}" for i in range(5)) and "Down here." in got[100]
 
 
+def test_names_only_break_ties():
+    """Constant menus go by alignment; what varies and is called noise goes by name, unless nothing else were left."""
+    import collections
+
+    def bodies(n):
+        return [f"<nav><ul><li><a>Home</a><li><a>About</a></ul></nav><div class='{{}}'><p>Story {i} of the page.</p><p>More {i}.</p></div><div class=ad>Buy {i}!</div>" for i in range(n)]
+    for n in (2, 3, 6):
+        assert main_texts([b.format("text") for b in bodies(n)]) == [f"Story {i} of the page.\nMore {i}." for i in range(n)]
+    for n in (3, 6):  # the story's own box has a noisy name, and without it no text would be left
+        got = main_texts([b.format("related-widget") for b in bodies(n)])
+        assert got == [f"Story {i} of the page.\nMore {i}." for i in range(n)]
+    trees = [pages.parse(f"<body>{b.format('text')}</body>") for b in bodies(6)]
+    decided = collections.Counter()
+    pages.induce(trees, decided)
+    assert decided["constant"] == 6 * len("HomeAbout") and decided["by names"] == 6 * len("Buy 0!") and decided["aligned pages"] == 6
+
+
+def test_lists_of_links_go_by_their_slot():
+    links = "<div class=box>" + "".join("<p><a href=x>Other page {0} " + str(k) + "</a></p>" for k in range(4)) + "</div>"
+    story = "<div><p>Story {0} " + "goes on and on " * 20 + "</p><p>See <a>this {0}</a> too.</p></div>"
+    got = main_texts([(story + links).format(i) for i in range(6)])
+    assert got == [f"Story {i} {'goes on and on ' * 20}".strip() + f"\nSee this {i} too." for i in range(6)]
+    only = main_texts([links.format(i) for i in range(6)])
+    assert all(t.startswith(f"Other page {i} 0") for i, t in enumerate(only))  # a page of links keeps them
+
+
+def plain_matching(a, b):
+    """Simple tree matching by its definition, on label and children alone."""
+    if a.label != b.label:
+        return 0
+    m, n = len(a.children), len(b.children)
+    table = [[0] * (n + 1) for _ in range(m + 1)]
+    for i in range(m):
+        for j in range(n):
+            table[i + 1][j + 1] = max(table[i][j + 1], table[i + 1][j], table[i][j] + plain_matching(a.children[i], b.children[j]))
+    return 1 + table[m][n]
+
+
+def test_alignment_against_plain_tree_matching():
+    """Order and labels are kept, and of trees without equal texts as many nodes are matched as can be."""
+    draw = random.Random(29)
+
+    def tree(depth):
+        if not depth or draw.random() < 0.3:
+            return f"<p>t{draw.random()}</p>"
+        return "".join(f"<div class={draw.choice('ab')}>{tree(depth - 1)}</div>" for _ in range(draw.randint(1, 3)))
+
+    for _ in range(200):
+        a, b = (pages.Shape(pages.parse(tree(3))) for _ in range(2))
+        assert pages._weight(a, b) == plain_matching(a, b)
+        pairs = pages.align(a, a)
+        assert all(x is y for x, y in pairs) and len(pairs) == sum(1 for _ in walk(a))
+
+
+def walk(shape):
+    yield shape
+    for child in shape.children:
+        yield from walk(child)
+
+
 def test_quotes_and_signs_in_tags():
     assert main_texts(["<p title='a > b'>One</p><p title=\"it's > that\">Two 1 < 2 <3</p><p class=x'>Three</p>"]) == ["One\nTwo 1 < 2 <3\nThree"]
 
