@@ -45,3 +45,17 @@ def test_rooms_job(spark, tmp_path):
 
 def test_rental_tables_cover_the_schema():
     assert len(jobs.RENTAL_TABLES) == 15
+
+
+def test_intermediate_tables_of_a_job_are_removed(spark, tmp_path):
+    from tidemark.session import job_folder, new_folder
+
+    with job_folder(spark, "report") as path:
+        inner = new_folder(spark, "table")
+        assert inner.startswith(path)
+        spark.range(5).write.parquet(inner)
+        spark.read.parquet(inner).write.parquet(str(tmp_path / "kept"))
+    assert not pathlib.Path(path.removeprefix("file:")).exists() and spark.read.parquet(str(tmp_path / "kept")).count() == 5
+    assert not new_folder(spark, "other").startswith(path)
+    with pytest.raises(ZeroDivisionError), job_folder(spark, "empty"):
+        1 / 0

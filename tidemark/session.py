@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 _LOCAL_FALLBACK: dict[str, str] = {}
+_JOBS: list[str] = []
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -46,8 +51,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, or below the folder of the job at hand."""
+    return f"{_JOBS[-1] if _JOBS else shared_folder(spark) + '/tidemark'}/{label}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def job_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """Intermediate tables made inside lie in one folder, which is removed at the end.
+
+    Operators return frames that read their intermediate tables, so what is to
+    be kept has to be written before the block ends.
+    """
+    path = new_folder(spark, f"job-{name}")
+    _JOBS.append(path)
+    try:
+        yield path
+    finally:
+        _JOBS.remove(path)
+        system, place = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+        if system.get_file_info(place).type != fs.FileType.NotFound:
+            system.delete_dir(place)
 
 
 def checkpointed(df):
