@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -39,38 +40,56 @@ def consume(
     return handled[0]
 
 
-def _files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """Paths of the files below a folder; none if there is no such folder."""
+def files_below(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """``path`` of the files below a folder; none if there is no such folder."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     try:
-        return listing.load(folder).select("path")
+        return listing.load(folder).select(bare_path("path").alias("path"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "path string")
 
 
-def _consumed(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """Paths taken by batches that were committed; a batch that failed half-way does not count."""
-    number = F.regexp_extract("path", "([0-9]+)$", 1).try_cast("long")
-    last = _files(spark, f"{checkpoint}/commits").agg(F.max(number).alias("n")).first()["n"]
-    if last is None:
-        return spark.createDataFrame([], "path string")
-    offset = F.max(F.get_json_object("value", "$.logOffset").try_cast("long")).alias("n")
-    reached = spark.read.text(f"{checkpoint}/offsets/{last}").agg(offset).first()["n"]
-    entries = spark.read.text(f"{checkpoint}/sources/0")
-    taken = F.get_json_object("value", "$.batchId").try_cast("long") <= reached
-    return entries.filter(taken).select(F.get_json_object("value", "$.path").alias("path"))
-
-
-def pending_files(spark: SparkSession, folder: str, checkpoint: str, pattern: str = "*") -> DataFrame:
-    """Files below ``folder`` that the stream with this checkpoint has not consumed yet: ``path``."""
-    bare = F.regexp_replace("path", "^file:/+", "/").alias("path")
-    return _files(spark, folder, pattern).select(bare).join(
-        _consumed(spark, checkpoint).select(bare).distinct(), "path", "left_anti"
-    )
+def bare_path(column: str) -> Column:
+    """A path without the ways to write that it is local."""
+    return F.regexp_replace(column, "^file:/+", "/")
+
 
+class Ledger:
+    """Which files the runs of one stream have taken, in tables of its own.
+
+    A run that takes all that has arrived notes the files it finds before it
+    starts, and confirms the note when it has ended well. Files that arrive
+    meanwhile may be taken without a note; they count as waiting until the next
+    run, which then finds nothing new in them. Notes of a run that failed are
+    not read.
+    """
 
-def has_pending(spark: SparkSession, folder: str, checkpoint: str, pattern: str = "*") -> bool:
-    """Whether the stream has data to read; the offset stays where it is."""
-    return not pending_files(spark, folder, checkpoint, pattern).isEmpty()
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
+    def taken(self) -> DataFrame:
+        """``path`` of the files in confirmed notes."""
+        return self._read("notes", "path string, run string").join(self._read("runs", "run string"), "run", "left_semi").select("path")
+
+    def pending(self, folder: str, pattern: str = "*") -> DataFrame:
+        """``path`` of the files below ``folder`` that no run has taken yet."""
+        return files_below(self.spark, folder, pattern).join(self.taken(), "path", "left_anti")
+
+    def note(self, folder: str, pattern: str = "*") -> str:
+        """Write down what waits and return the name of the note."""
+        run = uuid.uuid4().hex
+        self.pending(folder, pattern).write.mode("overwrite").parquet(f"{self.path}/notes/run=r-{run}")
+        return f"r-{run}"
+
+    def confirm(self, run: str) -> None:
+        self.spark.range(1, numPartitions=1).select(F.lit(run).alias("run")).write.mode("append").parquet(f"{self.path}/runs")

@@ -13,7 +13,7 @@ from tidemark.functions.scalars import GOLD_MESSAGE, SILVER_MESSAGE, gold_messag
 from tidemark.operators.merge import absent_from, add_batch
 from tidemark.operators.policy import apply_row_policy
 from tidemark.plans import flights
-from tidemark.streaming.feeds import consume, has_pending, pending_files
+from tidemark.streaming.feeds import Ledger, bare_path, consume
 from tidemark.tables.dated import DatedTable
 from tidemark.tables.versions import COMMIT_SCHEMA, ChangeLog, append_row, utc_now
 
@@ -89,17 +89,25 @@ class FlightsChain:
             "silver": (self.silver.commits.path, self._checkpoint("gold")),
         }
 
+    def _ledger(self, checkpoint: str) -> Ledger:
+        return Ledger(self.spark, f"{checkpoint}-taken")
+
     def pending(self) -> dict[str, bool]:
         """Whether each stream has data it has not consumed."""
-        return {name: has_pending(self.spark, *feed, "*.parquet") for name, feed in self._feeds().items()}
+        return {
+            name: not self._ledger(checkpoint).pending(folder, "*.parquet").isEmpty()
+            for name, (folder, checkpoint) in self._feeds().items()
+        }
 
     def pending_report(self) -> DataFrame:
-        """One row ``raw, silver``: whether each stream has data it has not consumed."""
-        waits = {
-            name: pending_files(self.spark, *feed, "*.parquet").agg((F.count(F.lit(1)) > 0).alias(name))
-            for name, feed in self._feeds().items()
-        }
-        return waits["raw"].withColumn("silver", waits["silver"].scalar())
+        """One row ``raw, silver, raw_rows``: whether each stream has files it has not consumed, and the rows that wait to be landed."""
+        waits = {name: self._ledger(checkpoint).pending(folder, "*.parquet") for name, (folder, checkpoint) in self._feeds().items()}
+        some = {name: files.agg((F.count(F.lit(1)) > 0).alias(name)) for name, files in waits.items()}
+        landed = self._read("raw", flights.RAW_SCHEMA)
+        if landed.inputFiles():
+            landed = landed.select(bare_path("_metadata.file_path").alias("path")).join(waits["raw"], "path", "left_semi")
+        rows = landed.agg(F.count(F.lit(1)))
+        return some["raw"].withColumn("silver", some["silver"].scalar()).withColumn("raw_rows", rows.scalar())
 
     def messages(self) -> DataFrame:
         """What every logged run reported: ``log_id, message``."""
@@ -167,7 +175,10 @@ class FlightsChain:
         try:
             feed = self._feed(folder, schema)
             if feed is not None:
+                ledger = self._ledger(self._checkpoint(stream))
+                run = ledger.note(folder, "*.parquet")
                 consume(feed, handle, self._checkpoint(stream))
+                ledger.confirm(run)
         except Exception:
             self._log(job, 0, "FAILED")
             raise
