@@ -335,6 +335,23 @@ def test_gold_rewrites_only_the_dates_of_a_batch(spark, tmp_path):
     assert gold(chain) == [("2022-06-28", "A", 3, 2, 3), ("2022-07-01", "C", 1, 1, 1), (None, "A", 1, 1, 1), (None, "A", 1, 1, 1)]
 
 
+def test_lost_dates_of_gold_are_counted_again(spark, tmp_path):
+    import shutil
+
+    chain = FlightsChain(spark, str(tmp_path), clock=clock())
+    for batch in BATCHES:
+        chain.land(raw(spark, batch))
+        chain.run()
+    before = gold(chain)
+    shutil.rmtree(tmp_path / "gold" / "stat_date=2022-06-28")
+    assert gold(chain) == [r for r in before if r[0] != "2022-06-28"]
+    assert chain.recount_gold([dt.date(2022, 6, 28)]) == 1
+    assert gold(chain) == before
+    chain.land(raw(spark, [("9", "P9", "30", "6/28/2022", "A", "Q", "Spain")]))
+    chain.run()
+    assert gold(chain)[0][2] == before[0][2] + 1
+
+
 def test_batch_that_comes_again_adds_nothing_to_gold(spark):
     from tidemark.operators.merge import add_batch
 
