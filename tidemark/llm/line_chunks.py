@@ -1,4 +1,10 @@
-"""Line dedup: repeated runs of lines go, found by every pair of neighbouring lines or by chunks with content-defined ends."""
+"""Line dedup: repeated runs of lines go, found by every pair of neighbouring lines or by chunks with content-defined ends.
+
+Chunks between content-defined ends can't give whole results: where a passage of
+a few lines stands between foreign ones, its first and last chunk take in
+foreign lines, and often no chunk lies inside it. Pairs are the chunks of two
+lines that begin at every line, so a passage is found wherever it stands.
+"""
 
 from __future__ import annotations
 

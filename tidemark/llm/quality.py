@@ -99,8 +99,10 @@ def fit_ranking(docs: DataFrame, labels: DataFrame, allowed: Column, label: str
 def quality_scores(docs: DataFrame, ranking: Ranking | None, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with a column ``score_col``; 0.5 for all if nothing could be fitted.
 
-    A null text is scored like an empty one. Rows and other columns stay as they
-    are; a column of the same name is replaced. Nothing is shuffled.
+    Whole texts of any length are scored; a null text like an empty one. Rows and
+    other columns stay as they are; a column of the same name is replaced; equal
+    texts get equal scores, repeated rows stay and an empty table gives no rows.
+    Nothing is shuffled.
     """
     text_col, docs = "c0", docs.select(F.col(text_col), *(c for c in docs.columns if c != score_col))
     names = docs.columns[1:]

@@ -122,7 +122,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 1024, id_col: st
     is sent to the workers once. The JVM cuts texts at special strings and into
     words; workers merge the bytes of words and keep a bounded table of those
     they have counted. Nothing is shuffled, repeated rows are counted one by
-    one, and other columns are not read.
+    one, an empty table gives no rows, and other columns are not read.
     """
     with open(vocabulary, "rb") as file:
         content = file.read(MAX_VOCABULARY_BYTES + 1)

@@ -1,4 +1,10 @@
-"""Toxicity scores from embeddings of subwords, averaged over windows of words into a linear softmax."""
+"""Toxicity scores from embeddings of subwords, averaged over windows of words into a linear softmax.
+
+Two departures from a plain average over a text with all subwords trained: a
+text counts as its worst window of words, as a single sentence makes a long
+text toxic; and only subwords that are clearly more frequent in toxic texts get
+an embedding, as the few labelled texts would teach the others by heart.
+"""
 
 from __future__ import annotations
 
@@ -160,9 +166,10 @@ def fit_detector(docs: DataFrame, labels: DataFrame, allowed: Column, label: str
 def toxicity_scores(docs: DataFrame, detector: Detector | None, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with a column ``score_col``; 0.5 for all if nothing could be fitted.
 
-    Whole texts are scored; a null text like an empty one. Rows and other columns
-    stay as they are; a column of the same name is replaced. Nothing is shuffled;
-    the detector (4 MB) goes to each worker once.
+    Whole texts of any length are scored; a null text like an empty one. Rows and
+    other columns stay as they are; a column of the same name is replaced; equal
+    texts get equal scores, repeated rows stay and an empty table gives no rows.
+    Nothing is shuffled; the detector (4 MB) goes to each worker once.
     """
     text_col, docs = "c0", docs.select(F.col(text_col), *(c for c in docs.columns if c != score_col))
     names = docs.columns[1:]
