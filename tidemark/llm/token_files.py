@@ -281,7 +281,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     those before each. Null ids come last, rows with equal ids are ordered by a
     digest of their text, a null text is an empty one, and each row has
     ``end_id`` behind its ids (None: nothing). An empty table gives an empty list.
-    Other columns are not read. ``folder`` is one that all executors reach.
+    Other columns are not read. ``folder`` is one that all executors reach, by a
+    path or address that pyarrow's file systems open.
 
     Texts are encoded and compressed where they lie, frames are range-partitioned
     by id (rows of one id by text and row, so that a hot one spreads), and
