@@ -186,6 +186,24 @@ def test_nearest_refuses_too_many_blocks(spark, monkeypatch):
         nearest(df, "i", "x", df, "i", "x", held_rows=1)
 
 
+def test_nearest_over_many_small_blocks_and_dealt_visits(spark, monkeypatch):
+    """Blocks of 20 vectors, of which one, of equal vectors, is visited by most left rows and copied."""
+    from tidemark.operators import distance
+
+    monkeypatch.setattr(distance, "HELD_CELLS", 40)
+    monkeypatch.setattr(distance, "VISITS", 50)
+    chance = random.Random(11)
+    ys = [(i, [chance.random() * 90, float(chance.randrange(9))]) for i in range(300)] + [(1000 + i, [5.0, 5.0]) for i in range(90)]
+    xs = [(i, [chance.random() * 90, chance.random() * 9]) for i in range(200)] + [(500 + i, [5.0, 5.5]) for i in range(400)]
+    ys.append((2000, [float("inf"), 1.0]))
+    left, right = spark.createDataFrame(xs, "i long, x array<double>"), spark.createDataFrame(ys, "j long, y array<double>")
+    got = {}
+    for r in distance.nearest(left, "i", "x", right, "j", "y", 3, held_rows=16, pivots=8).collect():
+        got.setdefault(r.left_id, []).append((r.distance, r.right_id))
+    want = brute_nearest(xs, ys, 3)
+    assert {i: [j for _, j in sorted(v)] for i, v in got.items()} == {i: [j for _, j in v] for i, v in want.items()}
+
+
 def test_string_agg_in_pieces(spark):
     """A hot group is joined in several pieces, of which each holds a slice of its values."""
     from tidemark.operators.text import text_pieces
