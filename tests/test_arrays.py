@@ -288,3 +288,22 @@ def test_any_predicate_of_a_group(spark):
     with pytest.raises(ValueError):
         groups_where_any(df, "k", ["v"], len, most_rows=1)
     assert groups_where_any(df.limit(0), "k", ["v"], len).count() == 0
+
+
+def test_groups_travel_together_and_keep_their_types(spark):
+    """Several groups come in one call; whole numbers stay so in groups without NULL, as in a frame of the group alone."""
+    big = 2**60 + 1
+    rows = [(0.0, big, True, "a"), (-0.0, big + 1, False, None), (1.0, 5, None, "b"), (1.0, None, True, "c"), (float("nan"), 7, True, "d"), (None, 1, True, "e")]
+    df = spark.createDataFrame(rows + [(float(k), k, True, "x") for k in range(2, 400)], "k double, v long, b boolean, s string").repartition(3)
+
+    def plain(group):
+        if len(group) == 2 and group["v"].notna().all():
+            return group["v"].dtype == "int64" and group["b"].dtype == bool and sorted(group["v"]) == [big, big + 1] and list(group.index) == [0, 1]
+        if len(group) == 2:
+            return group["v"].dtype == float and group["b"].dtype == object and group["v"].sum() == 5 and group["b"].isna().sum() == 1
+        return group["v"].dtype == "int64" and group["b"].all() and list(group.columns) == ["v", "b", "s"]
+
+    found = groups_where_any(df, "k", ["v", "b", "s"], plain)
+    got = found.collect()
+    assert len(got) == 401 and all(r.passes for r in got) and sorted(r.group_size for r in got)[-3:] == [1, 2, 2]
+    assert found.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).filter(lambda n: n > 1).count() == 1

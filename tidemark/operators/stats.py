@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.predicates import holds_for_all
 from tidemark.operators.ordered import running_total
@@ -138,6 +140,8 @@ def group_mean(df: DataFrame, keys: list[str], value: str, name: str) -> DataFra
 
 # Rows of a group that one Python call may get.
 MOST_GROUP_ROWS = 1_000_000
+# Rows of the groups that are handed over together, on average.
+BATCH_ROWS = 20_000
 
 
 def groups_where_any(
@@ -149,18 +153,43 @@ def groups_where_any(
     to prefer otherwise. ``predicate`` gets the named columns of one group as
     a pandas frame, in no order. The sizes of groups are counted first, with
     partial counts, and a group of more than ``most_rows`` raises a ValueError
-    before any is gathered.
+    before any is gathered. Groups travel to the function in batches of about
+    ``BATCH_ROWS`` rows, dealt by a hash of the key, as a batch of its own for
+    every small group takes longer than the function.
     """
     known = df.filter(F.col(key).isNotNull()).select(key, *[c for c in columns if c != key])
-    largest = known.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    rows, largest = known.groupBy(key).count().agg(F.coalesce(F.sum("count"), F.lit(1)), F.coalesce(F.max("count"), F.lit(0))).first()
     if largest > most_rows:
         raise ValueError(f"a group of {largest} rows; at most {most_rows} are handed to a function")
 
-    def judge(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({key: group[key].iloc[:1], "group_size": [len(group)], "passes": [bool(predicate(group[columns]))]})
+    # Whole numbers and truth values travel with a mark for NULL, as pandas would turn those of a whole batch into others.
+    marked = [c for c in columns if isinstance(known.schema[c].dataType, T.IntegralType | T.BooleanType)]
+    plain = [c for c in columns if c not in marked]
+    hashed = F.col(key) + F.lit(0) if isinstance(known.schema[key].dataType, T.FractionalType) else F.col(key)  # -0.0 is 0.0
+    packed = known.select(
+        F.pmod(F.xxhash64(hashed), F.lit(-(-rows // BATCH_ROWS))).alias("_batch"), F.col(key).alias("_key"), *plain,
+        *[F.coalesce(F.col(c), F.lit(0).cast(known.schema[c].dataType)).alias(c) for c in marked],
+        *[F.col(c).isNull().alias(f"_no_{c}") for c in marked])
+
+    def judge(batch: pd.DataFrame) -> pd.DataFrame:
+        number, keys = pd.factorize(batch["_key"], use_na_sentinel=False)
+        order = np.argsort(number, kind="stable")
+        edges = np.append(np.searchsorted(number[order], np.arange(len(keys))), len(order))
+        batch = batch.take(order).reset_index(drop=True)
+        wanted, missing = batch[columns], {c: batch[f"_no_{c}"].to_numpy() for c in marked}
+        missing = {c: gone for c, gone in missing.items() if gone.any()}
+        passes = []
+        for start, end in zip(edges, edges[1:]):
+            group = wanted.iloc[start:end].reset_index(drop=True)
+            for c, gone in missing.items():
+                if gone[start:end].any():
+                    kind = object if group[c].dtype == bool else float
+                    group = group.assign(**{c: group[c].astype(kind).mask(gone[start:end], None if kind is object else np.nan)})
+            passes.append(bool(predicate(group)))
+        return pd.DataFrame({key: batch["_key"].iloc[edges[:-1]].array, "group_size": np.diff(edges), "passes": passes})
 
     kind = known.schema[key].dataType.simpleString()
-    return known.groupBy(key).applyInPandas(judge, f"`{key}` {kind}, group_size long, passes boolean")
+    return packed.groupBy("_batch").applyInPandas(judge, f"`{key}` {kind}, group_size long, passes boolean")
 
 
 def groups_where(df: DataFrame, key: str, mean_of: str, mean_at_most, all_of: str, all_above) -> DataFrame:
