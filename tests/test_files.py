@@ -34,6 +34,26 @@ def test_json_of_plain_values_and_text(spark, tmp_path):
     assert "Ёж" in text and json.loads(text) == ["Ёж <&>", "b", None]
 
 
+def test_large_json_files_are_cut_and_read_by_line(spark, tmp_path, monkeypatch):
+    """No reader has to hold a file of any size; items are read line by line where an array is one file."""
+    monkeypatch.setattr(sinks, "FILE_LINES", 10)
+    many, one, plain = (str(tmp_path / n) for n in ("many", "one", "plain"))
+    frame = spark.range(100).select("id", F.concat(F.lit('a "],\n['), "id").alias("name")).coalesce(1)
+    sinks.write_json(frame, many)
+    arrays = [json.loads(f.read_text()) for f in part_files(many)]
+    assert [len(a) for a in arrays] == [9] * 11 + [1] and [r["id"] for a in arrays for r in a] == list(range(100))
+    sinks.write_json(frame.limit(27), many + "-27")
+    assert [len(json.loads(f.read_text())) for f in part_files(many + "-27")] == [9] * 3
+    sinks.write_json(frame.orderBy(F.desc("id")), one, single_file=True)
+    assert [r["id"] for r in json.loads(part_files(one)[0].read_text())] == list(range(99, -1, -1))
+    for path in (many, one):
+        assert sorted(rows(sources.read_item_lines(spark, path, "id long, name string"))) == sorted(rows(frame))
+    sinks.write_json(spark.createDataFrame([("Ё",), (None,), ("]",), ("[]",)], "value string"), plain, single_file=True)
+    assert [r.value for r in sources.read_item_lines(spark, plain, "string").collect()] == ["Ё", None, "]", "[]"]
+    sinks.write_json(frame.limit(0), plain, single_file=True)
+    assert sources.read_item_lines(spark, plain, "id long").count() == 0
+
+
 def test_json_keeps_all_rows_in_order_beyond_any_limit(spark, tmp_path):
     many, one, none = (str(tmp_path / n) for n in ("many", "one", "none"))
     frame = spark.range(120_000).repartition(4).orderBy("id")

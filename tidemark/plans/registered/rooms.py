@@ -11,7 +11,7 @@ from tidemark.plans import rooms as r
 from tidemark.registry import Tables, query
 from tidemark.session import new_folder
 from tidemark.sinks.files import write_json
-from tidemark.sources.files import read_json_arrays
+from tidemark.sources.files import read_item_lines
 
 AS_OF = dt.date(2002, 1, 1)
 
@@ -100,11 +100,11 @@ def q05_job(t):
     write_json(named.select("id", "name", "birthday", sex, "room"), f"{home}/students.json")
     for _ in range(2):
         jobs.rooms_job(t.spark, f"{home}/rooms.json", f"{home}/students.json", f"{home}/tables", f"{home}/out", "json", AS_OF)
-    counts = read_json_arrays(t.spark, f"{home}/out/json_output/students_count_in_rooms", "room_number string, amount_of_students long")
+    counts = read_item_lines(t.spark, f"{home}/out/json_output/students_count_in_rooms", "room_number string, amount_of_students long")
     found = counts.select(F.lit("students_count_in_rooms").alias("report"), "room_number")
     for name in ("male_rooms", "female_rooms"):
-        text = t.spark.read.text(f"{home}/out/json_output/{name}", wholetext=True)
-        found = found.unionByName(text.select(F.lit(name).alias("report"), F.explode(F.from_json("value", "array<string>")).alias("room_number")))
+        names = read_item_lines(t.spark, f"{home}/out/json_output/{name}", "string")
+        found = found.unionByName(names.select(F.lit(name).alias("report"), F.col("value").alias("room_number")))
     return found.groupBy("report").agg(F.count(F.lit(1)).alias("n"), F.min("room_number").alias("first_room"))
 
 

@@ -12,35 +12,47 @@ from pyspark.sql import functions as F
 from tidemark.tables.versions import Snapshots
 
 
-def _array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines of one JSON array around the JSON texts of a partition."""
-    mark = "["
+# Lines of a part file: its items, and one for the end of the array.
+FILE_LINES = 100_000
+
+
+def _array_lines(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The lines of one JSON array around the JSON texts of a partition, or of several arrays of ``most`` lines each."""
+    mark, held = "[", 0
     for batch in batches:
         lines = []
         for text in batch.column(0).to_pylist():
             if text is not None:
+                if most and held == most - 1:
+                    lines.append("]")
+                    mark, held = "[", 0
                 lines.append(mark + text)
-                mark = ","
+                mark, held = ",", held + 1
         yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
     yield pa.RecordBatch.from_pydict({"value": ["[]" if mark == "[" else "]"]})
 
 
 def write_json(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """One JSON array per part file, written in parallel and row by row at any size.
+    """One JSON array per part file, an item per line, written in parallel and row by row at any size.
 
-    ``single_file`` writes one array with one task, for results known to be
-    small; rows keep the order of a sorted frame. A frame with the single column
+    A file has ``FILE_LINES`` lines at most, as readers hold an array whole. ``single_file``
+    writes one array with one task, in the order of the frame; all but
+    the writing is done by many tasks before. A frame with the single column
     ``value`` becomes an array of plain values.
     """
     item = F.array("value") if df.columns == ["value"] else F.struct(*[F.col(f"`{c}`") for c in df.columns])
     text = F.to_json(item, {"ignoreNullFields": "false"})
     if df.columns == ["value"]:
         text = F.substring(text, 2, F.length(text) - 2)  # the value without the brackets of its array
-    rows = df.select(text.alias("value"))
     if single_file:
         # The null row is written as nothing; with it a result without rows is an empty array.
-        rows = rows.union(df.sparkSession.range(1).select(F.lit(None).cast("string"))).coalesce(1)
-    rows.mapInArrow(_array_lines, "value string").write.mode("overwrite").text(path)
+        rows = df.select(text.alias("value"), F.monotonically_increasing_id().alias("_at"))
+        rows = rows.union(df.sparkSession.range(1).select(F.lit(None).cast("string"), F.lit(-1).cast("long")))
+        rows.repartition(1).sortWithinPartitions("_at").select("value").mapInArrow(_array_lines, "value string").write.mode("overwrite").text(path)
+        return
+    most = FILE_LINES
+    rows = df.select(text.alias("value")).mapInArrow(lambda batches: _array_lines(batches, most), "value string")
+    rows.write.mode("overwrite").option("maxRecordsPerFile", most).text(path)
 
 
 def write_json_arrays(df: DataFrame, path: str, block: str) -> None:

@@ -23,6 +23,15 @@ def read_json_arrays(spark: SparkSession, path: str | list[str], schema: T.Struc
     return spark.read.schema(wanted).option("multiLine", True).json(path).select(*wanted.names)
 
 
+def read_item_lines(spark: SparkSession, path: str | list[str], schema: T.StructType | T.DataType | str) -> DataFrame:
+    """The columns, or the plain values as ``value``, of JSON arrays with an item per line, as ``write_json`` writes them; large files are split over tasks."""
+    lines = spark.read.text(path).filter(~F.col("value").isin("]", "[]"))
+    wanted = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
+    item = F.from_json(F.concat(F.lit("["), F.expr("substring(value, 2)"), F.lit("]")), T.ArrayType(wanted))[0].alias("value")
+    items = lines.select(item)
+    return items.select("value.*") if isinstance(wanted, T.StructType) else items
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
