@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -566,6 +567,25 @@ def test_line_runs_equal_brute_force(spark):
     assert collections.Counter((r.doc_id, r.text, r.n_removed) for r in got) == collections.Counter((i, *(want[i] if t is not None else (None, 0))) for i, t in rows)
 
 
+def test_line_runs_go_by_chunks_and_pairs_take_the_rest(spark):
+    """Chunks of independent cuts are what goes of a long passage; only pairs in none of them are taken beside."""
+    draw = random.Random(29)
+    passage = [f"line {k} {draw.random()}" for k in range(200)] + ["", "", "end"]
+    texts = ["\n".join([f"own {i}", *passage, f"last {i}"]) for i in range(3)]
+    first, second = ({at for at, _, _ in line_chunks.chunks(texts[0], cut)} for cut in (0, 1))
+    assert len(first ^ second) > len(first & second)
+    units = line_chunks.runs(texts[0])
+    assert len({(at, size) for at, _, size in units}) == len(units) and {size for _, _, size in units} > {2, 3, 4}
+    doomed = [{"line": at, "size": size, "high": 0, "low": 0} for at, _, size in units if 0 < at and at + size < 205]
+    kind = pa.list_(pa.struct([("line", pa.int64()), ("size", pa.int32()), ("high", pa.int64()), ("low", pa.int64())]))
+    left = line_chunks._uncovered(pa.record_batch([pa.array([b"k"]), pa.array([doomed], kind)], ["row_key", "units"])).column("units")[0].as_py()
+    assert sum(u["size"] == 2 for u in left) < 60 and {(u["line"], u["size"]) for u in left if u["size"] > 2} == {(u["line"], u["size"]) for u in doomed if u["size"] > 2}
+    covered = {k for u in left for k in range(u["line"], u["line"] + u["size"])}
+    assert covered == set(range(1, 204))
+    found = line_chunks.drop_repeated_runs(make_docs(spark, [(i, t, "s") for i, t in enumerate(texts)]))
+    assert {r.doc_id: (r.text, r.n_removed) for r in found.collect()} == {0: (texts[0], 0), 1: ("own 1\nlast 1", 203), 2: ("own 2\nlast 2", 203)}
+
+
 # 10 --------------------------------------------------------------------------------------------------------------
 
 def test_token_counts_equal_the_library(spark):
