@@ -567,6 +567,19 @@ def test_line_runs_equal_brute_force(spark):
     assert collections.Counter((r.doc_id, r.text, r.n_removed) for r in got) == collections.Counter((i, *(want[i] if t is not None else (None, 0))) for i, t in rows)
 
 
+def test_main_text_is_the_same_beyond_the_broadcast(spark, monkeypatch):
+    """The number of hosts and copies chooses how tables are joined, never the texts."""
+    def page(host, k):
+        return f"<html><body><div class=top>Site {host} and its menu</div><div><p>Story {host} {k} of many words</p><p>{'more ' * (k % 5)}text {k}</p></div><div>Contact</div></body></html>"
+
+    rows = [(100 * h + k, f"https://h{h}.org/{k}", page(h, k)) for h in range(4) for k in range((1, 3, 70, 9)[h])]
+    rows += [(900 + k, f"https://h2.org/copy{k}", page(2, 5)) for k in range(5)] + [(990, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    some = collections.Counter(map(tuple, pages.main_text(df).collect()))
+    monkeypatch.setattr(pages, "BROADCAST_ROWS", 0)
+    assert collections.Counter(map(tuple, pages.main_text(df).collect())) == some and some.total() == len(rows)
+
+
 def test_line_runs_go_by_chunks_and_pairs_take_the_rest(spark):
     """Chunks of independent cuts are what goes of a long passage; only pairs in none of them are taken beside."""
     draw = random.Random(29)
