@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from tidemark.llm import decontaminate, line_chunks, mixing, pages, quality, repeats, simhash, tokens, toxicity, vectors
+from tidemark.llm import decontaminate, line_chunks, mixing, pages, quality, queries, repeats, simhash, tokens, toxicity, vectors
 from tidemark.llm.components import connected_components
 from tidemark.llm.labelled import remainder
 
@@ -502,6 +502,30 @@ def test_repeats_equal_brute_force(spark, length):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 and sum(s.end - s.start for s in r.spans) == r.n_removed for r in got)
 
 
+def test_planted_passages_go_from_400_bytes_on(spark, tmp_path):
+    draw = random.Random(29)
+
+    def words(n, letters="abcdefgh"):
+        return " ".join("".join(draw.choice(letters) for _ in range(5)) for _ in range(n))
+
+    short, long, signs = words(60), words(80), words(52, "äöüßéñ")  # 359, 479 and 571 bytes, each of over 50 words
+    at_limit, below = words(70)[:398], words(70)[:397]  # with the spaces beside them 400 and 399 bytes
+    planted = {"short": short, "long": long, "signs": signs, "at limit": at_limit, "below": below}
+    rows, held = [(i, words(draw.randint(0, 200))) for i in range(20)], {}
+    for kind, passage in planted.items():
+        for k in range(3):
+            held[len(rows)] = kind
+            rows.append((len(rows), f"{words(30 * k)}{k} {passage} {k}{words(40)}"))
+    make_docs(spark, [(i, t, "s") for i, t in rows]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op8_repeats(spark, str(tmp_path)).collect()
+    assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_repeats(rows, 400)
+    before = dict(rows)
+    for r in got:
+        goes = held.get(r.doc_id) in ("long", "signs", "at limit")
+        assert r.n_bytes == len(before[r.doc_id].encode()) and (r.n_removed > 0) == goes
+        assert r.text == (before[r.doc_id].replace(f" {planted[held[r.doc_id]]} ", "") if goes else before[r.doc_id])
+
+
 # 9 ---------------------------------------------------------------------------------------------------------------
 
 def test_line_chunks_equal_a_walk_in_order(spark):
