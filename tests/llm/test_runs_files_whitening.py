@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import io
+import math
 import random
 import re
 import struct
@@ -300,6 +301,27 @@ def test_whitening_equals_plain_algebra(spark):
     assert all(len(s) == 1 for s in signs.values())
 
 
+@pytest.mark.parametrize("top", [900, 1 << 52])
+def test_rows_are_whitened_alike_in_any_batch(top):
+    draw = np.random.default_rng(3)
+    for d in (10, 37):
+        x = draw.integers(-900, 900, (501, d))
+        x[7] = draw.integers(-top, top, d)
+        total, units = x.sum(axis=0).tolist(), np.linalg.qr(draw.normal(size=(d, 4)))[0].T
+        whitener = whitening.Whitener(501, total, units, np.array([9.0, 7.0, 5.0, 3.0]), np.ones(4))
+        whole = whitener.whitened(whitener.numerators(x))
+        for step in (1, 3, 100):
+            assert all(np.array_equal(whitener.whitened(whitener.numerators(x[a : a + step])), whole[a : a + step]) for a in range(0, 501, step))
+
+
+def test_identity_error_is_summed_in_any_order():
+    draw = np.random.default_rng(4)
+    p = np.concatenate([draw.normal(size=(400, 3)), 1e9 * draw.normal(size=(3, 3)), 1e-15 * draw.normal(size=(400, 3))])
+    once, parts = whitening._units(p), [whitening._units(x) for x in np.array_split(p[draw.permutation(len(p))], 7)]
+    assert once == [sum(x) for x in zip(*parts)]
+    assert all(abs(u / 2**60 - math.fsum(c)) < 1e-12 for u, c in zip(once, p.T.tolist()))
+
+
 def test_whitening_in_floats_and_with_negative_zero(spark):
     draw = np.random.default_rng(8)
     rows = [(i, draw.normal(size=6).astype(np.float32).tolist()) for i in range(80)] + [(80, [-0.0] * 6), (81, [0.0] * 6)]

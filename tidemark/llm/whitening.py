@@ -192,7 +192,17 @@ class Whitener:
         return (u.astype(object) ** 2).sum(axis=1).tolist()
 
     def whitened(self, u: np.ndarray) -> np.ndarray:
-        return (u / self.n).astype(np.float64) @ (self.components / np.sqrt(self.eigenvalues)[:, None]).T
+        """The projections of each row of numerators, the same bit for bit whatever rows stand beside it.
+
+        A matrix product may round a row otherwise in a batch of another size, so
+        dimensions are added one by one.
+        """
+        y = (u if _largest(u) < _EXACT_FLOAT else u.astype(object)) / self.n
+        scaled = self.components / np.sqrt(self.eigenvalues)[:, None]
+        out = np.zeros((len(u), len(scaled)))
+        for column, weights in zip(y.astype(np.float64).T, scaled.T):
+            out += column[:, None] * weights
+        return out
 
 
 def fit_whitener(fit: DataFrame, d: int, most: int) -> Whitener:
@@ -208,22 +218,34 @@ def fit_whitener(fit: DataFrame, d: int, most: int) -> Whitener:
     return Whitener(n, total, (units * signs).T[:most], values[:most], values[:most] / np.trace(covariance))
 
 
+def _units(p: np.ndarray) -> list[int]:
+    """The sums of the columns of ``p`` in units of ``2**-60``, to which entries are rounded down."""
+    scaled = p * 2.0**20
+    high = np.floor(scaled)
+    low = np.floor((scaled - high) * 2.0**40)
+    return [(int(a) << 40) + int(b) for a, b in zip(high.astype(np.int64).sum(axis=0), low.astype(np.int64).sum(axis=0))]
+
+
 def _identity_error(fit: DataFrame, whitener: Whitener) -> float | None:
-    """The largest entry of the whitened fit list's covariance less the identity; its mean is zero by construction."""
+    """The largest entry of the whitened fit list's covariance less the identity; its mean is zero by construction.
+
+    Products are added up as whole numbers, so that the order of rows changes no digit.
+    """
     k, d = len(whitener.eigenvalues), whitener.dimensions
     if k == 0:
         return None
+    i, j = (v.ravel() for v in np.indices((k, k)))
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros((k, k))
+        out = [0] * (k * k)
         for batch in batches:
             w = whitener.whitened(whitener.numerators(_matrix(batch, d)))
-            out += w.T @ w
-        i, j = np.indices((k, k))
-        yield pa.RecordBatch.from_arrays([pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(out.ravel())], ["i", "j", "total"])
+            out = [a + b for a, b in zip(out, _units(w[:, i] * w[:, j]))]
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), _decimals(out)], ["i", "j", "total"])
 
-    found = fit.mapInArrow(multiply, "i int, j int, total double").groupBy("i", "j").agg(F.sum("total").alias("total")).collect()
-    return max(abs(r["total"] / whitener.n - (r["i"] == r["j"])) for r in found)
+    found = fit.mapInArrow(multiply, "i int, j int, total decimal(38,0)").groupBy("i", "j").agg(F.sum("total").alias("total")).collect()
+    whole = whitener.n << 60
+    return max(abs(int(r["total"]) - (whole if r["i"] == r["j"] else 0)) / whole for r in found)
 
 
 def whiten(rows: DataFrame, most: int = 4, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
