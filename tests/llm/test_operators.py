@@ -1,6 +1,7 @@
 """The operators against brute force on small tables with nulls, ties, repeats, long texts and clashing columns."""
 
 import collections
+import gc
 import hashlib
 import random
 import re
@@ -401,6 +402,20 @@ def test_hostile_pages_take_one_pass(kind):
     assert text == want[kind] if kind in want else text.startswith("Start") and tree.children
 
 
+def test_trees_are_built_without_collections():
+    gc.collect()
+    seen = []
+    gc.callbacks.append(lambda phase, info: seen.append(phase))
+    try:
+        tree = pages.parse("<p>Start</p>" + "<title>x" * 10_000)
+        assert seen.count("start") <= 1 and gc.isenabled() and len(tree.children) > 10_000  # one when it goes on again
+        with pytest.raises(AttributeError):
+            pages.parse(None)
+        assert gc.isenabled()
+    finally:
+        gc.callbacks.pop()
+
+
 def test_hostile_pages_leave_the_others_alone(spark):
     rows = [(i, f"http://a.example/{i}", page(i, f"<article><h1>Head {i}</h1><p>Text {i}</article>")) for i in range(5)]
     rows += [(100 + i, f"http://a.example/h{i}", html) for i, html in enumerate(HOSTILE.values())]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import re
 import sys
 import zlib
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
 from html import unescape
 
 import pandas as pd
@@ -122,6 +125,20 @@ class _Open:
             self.noise_at = None
 
 
+@contextlib.contextmanager
+def _uncollected() -> Iterator[None]:
+    """Without the cyclic collector, which would walk the trees of a large page time and again; they hold no cycles."""
+    if not gc.isenabled():
+        yield
+        return
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
+@_uncollected()
 def parse(html: str) -> Node:
     """A tree of elements and character data; end tags may miss, be too many or cross. Takes one pass, whatever the page is like."""
     scan, tree = _Scan(html), _Open()
@@ -593,10 +610,11 @@ def _extract_group(df: pd.DataFrame) -> pd.DataFrame:
     sys.setrecursionlimit(max(sys.getrecursionlimit(), 60 * DEPTH))  # trees are at most DEPTH deep
     df = df.sort_values(["digest", "page_id"], kind="stable")
     pages = {}
-    for digest, pressed in zip(df["digest"], df["html"]):
-        if digest not in pages:
-            pages[digest] = parse(zlib.decompress(pressed).decode("utf-8", "surrogatepass"))
-    texts = dict(zip(pages, (extract(tree, template) for tree, template in zip(pages.values(), induce(list(pages.values()))))))
+    with _uncollected():
+        for digest, pressed in zip(df["digest"], df["html"]):
+            if digest not in pages:
+                pages[digest] = parse(zlib.decompress(pressed).decode("utf-8", "surrogatepass"))
+        texts = dict(zip(pages, (extract(tree, template) for tree, template in zip(pages.values(), induce(list(pages.values()))))))
     found = [texts[d] for d in df["digest"]]
     return pd.DataFrame({"page_id": df["page_id"], "url": df["url"], "host": df["host"], "digest": df["digest"], "copied": df["copied"], "text": found, "n_chars": [len(t) for t in found]})
 
