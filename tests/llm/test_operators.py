@@ -3,6 +3,7 @@
 import collections
 import gc
 import hashlib
+import pathlib
 import random
 import re
 import time
@@ -17,6 +18,7 @@ import xxhash
 from tidemark.llm import decontaminate, line_chunks, mixing, pages, quality, queries, repeats, simhash, tokens, toxicity, vectors
 from tidemark.llm.components import connected_components
 from tidemark.llm.labelled import remainder
+from tidemark.session import job_folder
 
 DOCS = "doc_id long, text string, source string, lang string, n_chars long, __spans string, score double, n_removed long, copies long"
 
@@ -152,6 +154,36 @@ def test_planted_pairs_near_the_threshold(spark, monkeypatch, shard_rows, asking
     assert [(got[i].n_links, got[i].component_id) for i, _ in rows] == [(near[i].sum(), roots[i]) for i, _ in rows]
 
 
+def test_no_row_holds_a_shard_and_large_components_are_whole(spark, monkeypatch):
+    """Shards and blocks travel as names of files: rows with whole shards, copied for every block, cost an executor its memory."""
+    for name, value in (("SHARD_BYTES", 10_000), ("ASKING", 64), ("COUNTED", 40), ("LINKS_AT_ONCE", 500), ("TILE", 100), ("TASKS", 7)):
+        monkeypatch.setattr(vectors, name, value)
+    draw = np.random.default_rng(8)
+    x = np.concatenate([draw.normal(size=(600, 16)), draw.normal(size=16) + draw.normal(scale=0.1, size=(300, 16))]).astype(np.float32)
+    x[1:900:9], x[2] = 2 * x[::9], -0.0 * x[2]
+    x[2, 0] = 1.0
+    rows = [(str(i), v.tolist()) for i, v in enumerate(x)] + [("a", x[700].tolist()), ("b", x[700].tolist()), ("c", None), ("d", [0.0] * 16), (None, x[701].tolist()), ("e", [1.0]), ("f", [2.0])]
+    with job_folder(spark, "vectors") as folder:
+        got = vectors.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id string, embedding array<float>").repartition(3)).collect()
+        tables = [spark.read.parquet(str(t)) for t in pathlib.Path(folder).iterdir() if any(t.glob("*.parquet"))]
+        files = [f for name in ("vector-shards", "vector-blocks") for f in pathlib.Path(folder).glob(f"{name}*/*") if not f.name.startswith(".")]
+    assert len(tables) >= 4 and all(f.dataType.typeName() not in ("binary", "array") for t in tables for f in t.schema)
+    assert len(files) > 16
+    sound = [(i, np.array(v, np.float32).astype(float)) for i, v in rows if v and any(v)]
+    wide = [k for k, (_, v) in enumerate(sound) if len(v) == 16]
+    u = np.array([sound[k][1] / np.linalg.norm(sound[k][1]) for k in wide])
+    near = np.zeros((len(sound), len(sound)), bool)
+    near[np.ix_(wide, wide)] = u @ u.T >= 0.95
+    near[-2:, -2:] = True  # one component each, in the same direction
+    np.fill_diagonal(near, False)
+    roots = vectors._roots(*np.nonzero(near), len(sound))
+    heads = [min((i for (i, _), r in zip(sound, roots) if r == root and i is not None)) for root in roots]
+    want = collections.Counter((i, int(n), head, i == head) for (i, _), n, head in zip(sound, near.sum(axis=1), heads))
+    want.update([("c", 0, "c", True), ("d", 0, "d", True)])
+    assert near.sum(axis=1).max() > 250
+    assert collections.Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == want
+
+
 def test_different_vectors_with_one_hash(spark, monkeypatch):
     whole = vectors._node
     monkeypatch.setattr(vectors, "_node", lambda v, seed: whole(v, seed) if seed else pages.F.lit(7).cast("long"))
