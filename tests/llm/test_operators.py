@@ -638,6 +638,17 @@ def test_line_runs_equal_brute_force(spark):
     assert collections.Counter((r.doc_id, r.text, r.n_removed) for r in got) == collections.Counter((i, *(want[i] if t is not None else (None, 0))) for i, t in rows)
 
 
+def test_runs_of_lines_with_white_space_beyond_ascii_go(spark):
+    """Such lines are found as ink, so they have to go as ink; only blanks of ASCII beside blanks stay."""
+    odd = ["\u00a0", "\u2003", "\x1f", "\x85", "\u2028"]
+    rows = [(1, "\n".join(["a", *odd, "b"])), (2, "\n".join(["c", *odd, "d"])), (3, "\n".join(["e", *odd * 3])), (4, "f\n \n\t\n\r\ng"), (5, "h\n \n\t\n\r\ni"), (None, "\n".join(odd[1:3]))]
+    want = brute_runs([r for r in rows if r[0] not in (4, 5)])
+    assert want[2] == ("c\nd", 5) and want[None] == ("", 2)
+    want |= {i: (t, 0) for i, t in rows if i in (4, 5)}
+    got = line_chunks.drop_repeated_runs(make_docs(spark, [(i, t, "s") for i, t in rows])).collect()
+    assert {r.doc_id: (r.text, r.n_removed) for r in got} == want
+
+
 def test_main_text_is_the_same_beyond_the_broadcast(spark, monkeypatch):
     """The number of hosts and copies chooses how tables are joined, never the texts."""
     def page(host, k):

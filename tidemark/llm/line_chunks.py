@@ -23,6 +23,8 @@ from tidemark.llm.common import ROW, map_batches, numbered, row_key, stored, tex
 WINDOW, ENDS = 2, 3
 #: Independent rolling hashes that cut each text for repeated runs.
 CUTS = 2
+#: Blanks, as ``bytes.strip`` takes them from a unit; any other character is ink, white space beyond ASCII too.
+BLANKS = " \t\n\v\f\r"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -119,7 +121,7 @@ def _without(text: str, doomed: list[dict], units: Callable) -> tuple[str, int,
             gone[at : at + size] = b"\1" * size
             continue
         for k in range(at, at + size - 1):
-            if lines[k].strip() or lines[k + 1].strip():
+            if lines[k].strip(BLANKS) or lines[k + 1].strip(BLANKS):
                 gone[k : k + 2] = b"\1\1"
     return "\n".join(line for line, out in zip(lines, gone) if not out), len(lines), sum(gone)
 
